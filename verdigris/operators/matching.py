@@ -62,7 +62,7 @@ def _by_substrings(df: DataFrame, text: str, patterns: DataFrame, result: str, d
         .withColumn("__size", F.explode("__sizes"))
         .filter(F.col("__size") <= F.length("__text"))
         .withColumn("__at", F.explode(F.sequence(F.lit(1), F.length("__text") - F.col("__size") + 1)))
-        .select("__text", F.substring("__text", F.col("__at"), F.col("__size")).alias("__anchor"))
+        .select("__text", F.substr("__text", F.col("__at"), F.col("__size")).alias("__anchor"))
         .distinct()
     )
     hits = lookup(offered, keyed, "__anchor", how="inner").filter(

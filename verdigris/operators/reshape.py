@@ -22,7 +22,7 @@ def month_spine(spark: SparkSession, start: date, end: date, name: str = "month"
     if end < start:
         raise ValueError("the end of the range must not be before its start")
     months = F.sequence(F.lit(start), F.lit(end), F.expr("interval 1 month"))
-    return spark.range(1).select(F.date_format(F.explode(months), "yyyy-MM").alias(name))
+    return spark.range(1).select(F.explode(months).alias("__m")).select(F.date_format("__m", "yyyy-MM").alias(name))
 
 
 def stack_columns(df: DataFrame, columns: Mapping[str, str | Column], label: str, value: str, keep: Sequence[str] = ()) -> DataFrame:

@@ -27,7 +27,7 @@ def values(columns: dict[str, str], rows: list[tuple]) -> str:
 
 INPUTS["annual_cpi_index"] = values(
     {"year": "INT", "value": "DOUBLE"},
-    [(1995, 152.4), (1996, 156.9), (1997, 160.5), (1999, 166.6), (2000, 172.2)],
+    [(1995, 152.383), (1996, 156.858), (1997, 160.525), (1999, 166.583), (2000, 172.192)],
 )
 INPUTS["cost_object_warehouse"] = """
     SELECT c_name AS cost_collector_id, 'D' || CAST(n_nationkey AS STRING) AS dlc_key, n_name AS dlc_name,
@@ -55,7 +55,7 @@ INPUTS["expense_emission_mapper"] = values(
 )
 INPUTS["emission_factor_useeio_v2"] = values(
     {"Code": "STRING", "emission_factor": "DOUBLE"},
-    [("481000", 0.92), ("721000", 0.31), ("722211", 0.27), ("485000", 0.55), ("482000", 0.44), ("111111", 9.0)],
+    [("481000", 0.92117), ("721000", 0.31373), ("722211", 0.27191), ("485000", 0.55313), ("482000", 0.44171), ("111111", 9.0)],
 )
 
 # --- goods --------------------------------------------------------------------
@@ -89,7 +89,7 @@ INPUTS["purchased_goods_mapping"] = values(
 INPUTS["purchased_goods_duplicated_category"] = values({"duplicated_level3": "STRING"}, [("PROMO",), ("Travel",)])
 INPUTS["emission_factor_naics"] = values(
     {"Code": "STRING", "factor": "DOUBLE"},
-    [("C1", 0.25), ("C2", 0.41), ("C3", 0.11), ("233262", 0.32), ("230301", 0.28)],
+    [("C1", 0.25317), ("C2", 0.41273), ("C3", 0.11391), ("233262", 0.32219), ("230301", 0.28457)],
 )
 RENAMES["emission_factor_naics"] = {"factor": "Supply Chain Emission Factors with Margins"}
 
@@ -407,15 +407,15 @@ INPUTS["campus_building_mapping"] = """
 _SENSOR = "CASE WHEN user_id % 10 = 0 THEN 'Penthouse' ELSE CAST(user_id % 10 AS STRING) END"
 _READING = f"""
     SELECT event_id AS row_num, ts AS datetime_edt, {{t}} AS temperature_c,
-           CASE WHEN value > 100 THEN CAST(100 AS DOUBLE) ELSE value END AS relative_humidity_pct,
-           CASE WHEN event_type = 'error' THEN NULL ELSE 5 + value / 10 END AS dew_point_c, {_SENSOR} AS sensor_id,
+           CASE WHEN value > 100 THEN CAST(100 AS DOUBLE) ELSE value * CAST(0.97313 AS DOUBLE) END AS relative_humidity_pct,
+           CASE WHEN event_type = 'error' THEN NULL ELSE 5 + value / CAST(11.317 AS DOUBLE) END AS dew_point_c, {_SENSOR} AS sensor_id,
            event_type AS source_file, {{u}} AS last_update
     FROM {{events}}
 """
 INPUTS["indoor_heat_sensor"] = (
-    _READING.replace("{t}", "15 + value / 12").replace("{u}", "DATE '2024-03-01'")
+    _READING.replace("{t}", "15 + value / CAST(12.713 AS DOUBLE)").replace("{u}", "DATE '2024-03-01'")
     + " UNION ALL "
-    + _READING.replace("{t}", "16 + value / 12").replace("{u}", "DATE '2024-03-02'")
+    + _READING.replace("{t}", "16 + value / CAST(12.713 AS DOUBLE)").replace("{u}", "DATE '2024-03-02'")
     + " WHERE event_type = 'click'"
 )
 INPUTS["indoor_heat_sensor_config"] = values(

@@ -106,7 +106,7 @@ STAGES["stg_travel_spending"] = f"""
           FROM {{priced_travel}} p LEFT JOIN {{travel_mode}} m ON m.text = p.expense_type) p
          LEFT JOIN {{stg_cost_object_rollup}} r ON r.cost_object = p.cost_object
 """
-model("stg_travel_spending", "inflated_exp_amount mtco2", 8)
+model("stg_travel_spending", "inflated_exp_amount mtco2")
 
 STAGES["travel_FY_exp_group_summary"] = """
     SELECT fiscal_year, expense_group, sum(inflated_exp_amount) AS total_expense_amount, sum(mtco2) AS total_mtco2,
@@ -151,7 +151,7 @@ STAGES["stg_purchased_goods_invoice"] = f"""
     WHERE header_status = 'Approved' AND po_status IN ('Closed', 'Soft Closed', 'Issued')
       AND NOT EXISTS (SELECT 1 FROM {{purchased_goods_duplicated_category}} d WHERE d.duplicated_level3 = m.level_3)
 """
-model("stg_purchased_goods_invoice", "adjusted_spend_2021 inflated_spend mtco2", 8)
+model("stg_purchased_goods_invoice", "adjusted_spend_2021 inflated_spend mtco2")
 
 STAGES["purchased_goods_invoice_summary"] = """
     SELECT fiscal_year, level_3, sum(mtco2) AS mtco2, sum(inflated_spend) AS spend_usd, max(level_2) AS level_2,
@@ -166,7 +166,7 @@ STAGES["purchased_goods_invoice_po_summary"] = """
            string_agg(DISTINCT description, ', ' ORDER BY description) AS description
     FROM {stg_purchased_goods_invoice} GROUP BY po_number, fiscal_year
 """
-model("purchased_goods_invoice_po_summary", "mtco2 spend_usd", 8)
+model("purchased_goods_invoice_po_summary", "mtco2 spend_usd")
 STAGES["purchased_goods_invoice_supplier_summary"] = """
     SELECT fiscal_year, supplier_number, sum(mtco2) AS mtco2, sum(inflated_spend) AS spend_usd,
            string_agg(DISTINCT level_3, ', ' ORDER BY level_3) AS level_3,
@@ -191,7 +191,7 @@ STAGES["purchased_goods_invoice_dlc_supplier"] = """
           FROM {stg_purchased_goods_invoice} GROUP BY ALL) p
          LEFT JOIN {unit_areas} u USING (dlc_name)
 """
-model("purchased_goods_invoice_dlc_supplier", "emission inflated_spend", 7)
+model("purchased_goods_invoice_dlc_supplier", "emission inflated_spend")
 
 # --- construction -------------------------------------------------------------
 
@@ -673,12 +673,12 @@ STAGES["stg_indoor_heat_aligned"] = """
     FROM {heat_readings} GROUP BY ALL
 """
 _HEAT = "temperature_f relative_humidity_pct dew_point_f heat_index_f"
-model("stg_indoor_heat_aligned", _HEAT, 8)
+model("stg_indoor_heat_aligned", _HEAT, 5)
 STAGES["final_indoor_heat_combined"] = """
     SELECT a.*, c.* EXCLUDE (sensor_id) FROM {stg_indoor_heat_aligned} a
            LEFT JOIN {indoor_heat_sensor_config} c ON lower(a.sensor_id) = c.sensor_id
 """
-model("final_indoor_heat_combined", _HEAT, 8)
+model("final_indoor_heat_combined", _HEAT, 5)
 STAGES["indoor_heat_daily_summary"] = """
     SELECT sensor_id, floor, orientation, window_state, blinds_state, note, CAST(datetime_edt AS DATE) AS reading_date,
            avg(temperature_f) AS avg_temperature_f, max(temperature_f) AS max_temperature_f,
@@ -701,7 +701,7 @@ model(
         }.items()
         for f in fs
     ),
-    8,
+    5,
 )
 _CALIBRATED = ("temperature_f", "relative_humidity_pct", "heat_index_f")
 STAGES["indoor_heat_calibration_precision"] = " UNION ALL ".join(

@@ -20,15 +20,14 @@ STAGES: dict[str, str] = {}
 # columns whose stored names need quoting are renamed on the Spark side
 RENAMES: dict[str, dict[str, str]] = {}
 
-_REFERENCE = re.compile(r"\{(\w+)\}")
+_REFERENCE = re.compile(r"\{([A-Za-z_]\w*)\}")
 
 
 @dataclass(frozen=True)
 class Query:
     build: Callable[["Tables"], DataFrame]
     sql: str | None
-    rounded: tuple[str, ...]
-    digits: int
+    rounded: dict[str, int]
     dropped: tuple[str, ...]
 
 
@@ -63,12 +62,20 @@ def query(
     digits: int = 4,
     dropped: Sequence[str] = (),
 ) -> Callable:
-    """Register a query; ``rounded`` names the floating columns to round on both sides."""
+    """Register a query; ``rounded`` names the floating columns to round on both sides.
+
+    ``name:7`` overrides ``digits`` for one column.
+    """
+    places = {}
+    for item in rounded.split():
+        column, _, own = item.partition(":")
+        places[column] = int(own) if own else digits
+
 
     def add(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
         if name in QUERIES:
             raise ValueError(f"query {name} registered twice")
-        QUERIES[name] = Query(build, sql, tuple(rounded.split()), digits, tuple(dropped))
+        QUERIES[name] = Query(build, sql, places, tuple(dropped))
         return build
 
     return add
@@ -77,7 +84,7 @@ def query(
 def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
     entry = QUERIES[name]
     df = entry.build(Tables(spark, folder)).drop(*entry.dropped)
-    return df.withColumns({c: F.round(c, entry.digits) for c in entry.rounded}) if entry.rounded else df
+    return df.withColumns({c: F.round(f"`{c}`", n) for c, n in entry.rounded.items()}) if entry.rounded else df
 
 
 def render(text: str) -> str:
@@ -120,6 +127,6 @@ def oracle(name: str) -> str | None:
         return None
     body = entry.sql if entry.sql.lstrip().upper().startswith(("SELECT", "WITH")) else f"SELECT * FROM {entry.sql}"
     if entry.rounded:
-        cells = ", ".join(f'round("{c}", {entry.digits}) AS "{c}"' for c in entry.rounded)
+        cells = ", ".join(f'round("{c}", {n}) AS "{c}"' for c, n in entry.rounded.items())
         body = f"SELECT * REPLACE ({cells}) FROM ({body}) AS answer"
     return render(body)
