@@ -66,7 +66,7 @@ def _by_substrings(df: DataFrame, text: str, patterns: DataFrame, result: str, d
         .distinct()
     )
     hits = lookup(offered, keyed, "__anchor", how="inner").filter(
-        F.col("__text").like(F.concat(F.lit("%"), F.col("__pattern"), F.lit("%")))
+        F.like(F.col("__text"), F.concat(F.lit("%"), F.col("__pattern"), F.lit("%")))
     )
     best = keep_first(
         hits, ["__text"], [F.length("__pattern").desc(), F.asc("__pattern"), F.asc_nulls_last("__label")]

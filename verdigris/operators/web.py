@@ -16,7 +16,8 @@ from verdigris.params import SECTION_ROOTS
 # fixed values: markup patterns
 _HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 _MAIN = r"(?is)<main\b[^>]*>(.*?)</main\s*>"
-_BODY = r"(?is)<body\b[^>]*>(.*)</body\s*>"
+_HEAD = r"(?is)<head\b.*?</head\s*>"
+_BEFORE_BODY = r"(?is)^.*?<body\b[^>]*>"
 _TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
 _TAG = r"(?s)<[^>]*>"
 _ANCHOR = r"(?is)<a\s[^>]*?href\s*=\s*[^>]*>.*?</a\s*>"
@@ -42,10 +43,11 @@ def _decoded(text: Column) -> Column:
 
 
 def scope(html: Column | str) -> Column:
-    """Markup of the main element if there is one, else of the body."""
+    """Markup of the main element if there is one, else of the body, closed or not."""
     visible = F.regexp_replace(_col(html), _HIDDEN, "")
     main = F.regexp_extract(visible, _MAIN, 1)
-    return F.when(main != "", main).otherwise(F.regexp_extract(visible, _BODY, 1))
+    body = F.regexp_replace(F.regexp_replace(visible, _HEAD, ""), _BEFORE_BODY, "")
+    return F.when(main != "", main).otherwise(body)
 
 
 def visible_text(html: Column | str) -> Column:

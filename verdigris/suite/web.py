@@ -137,8 +137,9 @@ def _(t):
     f"""SELECT page_url, {_PATH} AS page_path,
                trim({{d}}regexp_extract(html, '(?s)<title[^>]*>(.*?)</title>', 1){{e}}) AS page_title,
                md5(body) AS content_hash, trim(regexp_replace(body, '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g'), ' ') AS content_text
-        FROM (SELECT page_url, html, {{d}}regexp_replace(regexp_extract(regexp_replace(html,
-                '(?s)<!--.*?-->|<script.*?</script>|<style.*?</style>', '', 'g'), '(?s)<body[^>]*>(.*)</body>', 1), '<[^>]*>', '', 'g'){{e}}
+        FROM (SELECT page_url, html, {{d}}regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
+                '(?s)<!--.*?-->|<script.*?</script>|<style.*?</style>', '', 'g'), '(?s)<head>.*?</head>', ''), '(?s)^.*?<body[^>]*>', ''),
+                '<[^>]*>', '', 'g'){{e}}
                 AS body
               FROM {{landed_pages}})""".replace("{d}", "replace(replace(replace(replace(replace(replace(").replace(
         "{e}",
