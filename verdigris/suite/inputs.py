@@ -145,11 +145,11 @@ INPUTS["small_stream_recycle"] = """
 INPUTS["waste_emission_factors_epa"] = values(
     {"material": "STRING", "recycled": "DOUBLE", "landfilled": "DOUBLE", "combusted": "DOUBLE", "composted": "DOUBLE"},
     [
-        ("Mixed MSW", None, 0.58, 0.43, None),
-        ("Yard Trimmings", None, 0.36, 0.05, 0.05),
-        ("Food Waste", None, 0.68, 0.05, 0.11),
-        ("Mixed Recyclables", 0.09, 0.75, 0.11, None),
-        ("Mixed Organics", None, 0.54, 0.05, 0.09),
+        ("Mixed MSW", None, 0.58173, 0.43291, None),
+        ("Yard Trimmings", None, 0.36119, 0.05237, 0.05411),
+        ("Food Waste", None, 0.68457, 0.05173, 0.11391),
+        ("Mixed Recyclables", 0.09317, 0.75431, 0.11293, None),
+        ("Mixed Organics", None, 0.54139, 0.05371, 0.09213),
         ("Aluminum Cans", 0.06, 0.02, 0.01, None),
     ],
 )

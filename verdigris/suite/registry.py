@@ -125,7 +125,7 @@ def oracle(name: str) -> str | None:
     entry = QUERIES[name]
     if entry.sql is None:
         return None
-    body = entry.sql if entry.sql.lstrip().upper().startswith(("SELECT", "WITH")) else f"SELECT * FROM {entry.sql}"
+    body = f"SELECT * FROM ({entry.sql}) AS body" if entry.sql.lstrip().upper().startswith("WITH") else entry.sql
     if entry.rounded:
         cells = ", ".join(f'round("{c}", {n}) AS "{c}"' for c, n in entry.rounded.items())
         body = f"SELECT * REPLACE ({cells}) FROM ({body}) AS answer"
