@@ -84,33 +84,48 @@ def resolve(base: Column | str, href: Column | str) -> Column:
     Web addresses lose their fragment and trailing slash, other schemes stay as
     they are.
     """
-    base, link = _col(base), F.trim(_col(href))
-    own_scheme = scheme(link)
-    base_path = path(base)
-    folder = F.regexp_replace(base_path, r"[^/]*$", "")
-    target = path(link)
+    base = _col(base)
+    parts = F.struct(*base_parts(base))
+    return resolve_against(parts, F.trim(_col(href)))
+
+
+def base_parts(base: Column | str) -> list[Column]:
+    """What resolving needs of a page's own address, for use once per page."""
+    base = _col(base)
+    return [
+        scheme(base).alias("scheme"),
+        host(base).alias("host"),
+        path(base).alias("path"),
+        F.regexp_extract(base, r"(\?[^#]*)", 1).alias("query"),
+    ]
+
+
+def resolve_against(base: Column, link: Column) -> Column:
+    """As :func:`resolve`, for a struct of :func:`base_parts` and a trimmed link."""
+    own_scheme, target = scheme(link), path(link)
+    folder = F.regexp_replace(base["path"], r"[^/]*$", "")
     tail = F.regexp_extract(link, r"(\?[^#]*)", 1)
     merged = (
-        F.when(target == "", base_path)
+        F.when(target == "", base["path"])
         .when(target.startswith("/"), _without_dots(target))
         .otherwise(_without_dots(F.regexp_replace(F.concat(F.lit("/"), folder, target), "/+", "/")))
     )
-    query = F.when((target == "") & (tail == ""), F.regexp_extract(base, r"(\?[^#]*)", 1)).otherwise(tail)
-    authority = F.concat(F.lit("//"), host(base))
+    query = F.when((target == "") & (tail == ""), base["query"]).otherwise(tail)
     absolute = (
         F.when((own_scheme != "") & ~own_scheme.isin("http", "https"), link)
-        .when((own_scheme != "") & (own_scheme != scheme(base)), link)
-        .when(link.rlike(_AFTER_SCHEME + "//"), _with_scheme(base, link))
-        .otherwise(F.concat(scheme(base), F.lit(":"), authority, merged, query))
+        .when((own_scheme != "") & (own_scheme != base["scheme"]), link)
+        .when(link.rlike(_AFTER_SCHEME + "//"), _with_scheme(base["scheme"], link))
+        .otherwise(F.concat(base["scheme"], F.lit("://"), base["host"], merged, query))
     )
+    web = F.when(own_scheme == "", base["scheme"]).otherwise(own_scheme).isin("http", "https")
     cleaned = F.regexp_replace(F.regexp_replace(absolute, r"#.*$", ""), r"/+$", "")
-    result = F.when(is_web(absolute), cleaned).otherwise(absolute)
+    result = F.when(web, cleaned).otherwise(absolute)
     return F.when(F.coalesce(link, F.lit("")).rlike(r"^(#.*)?$"), F.lit(None)).otherwise(result)
 
 
-def _with_scheme(base: Column, link: Column) -> Column:
+def _with_scheme(inherited: Column, link: Column) -> Column:
     """An address that names its own host; only the scheme may be inherited."""
-    own = F.when(scheme(link) == "", scheme(base)).otherwise(scheme(link))
+    own = F.when(scheme(link) == "", inherited).otherwise(scheme(link))
     return F.concat(own, F.lit(":"), F.regexp_replace(link, _AFTER_SCHEME, ""))
 
 

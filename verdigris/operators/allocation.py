@@ -26,7 +26,7 @@ def headcount_shares(people: DataFrame, unit: str) -> DataFrame:
 
 def allocate(totals: DataFrame, shares: DataFrame, on: str, amount: str, share: str, result: str) -> DataFrame:
     """Each total split among the shares of its own key; unmatched totals vanish."""
-    return lookup(shares, totals, on, how="inner").withColumn(result, F.col(amount) * F.col(share))
+    return lookup(shares, totals, on, how="inner", derived=True).withColumn(result, F.col(amount) * F.col(share))
 
 
 def allocate_to_all(totals: DataFrame, shares: DataFrame, amount: str, share: str, result: str) -> DataFrame:

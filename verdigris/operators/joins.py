@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 DEFAULT_SALTS = 16
 _SALT = "__salt"
@@ -22,10 +22,43 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(text[:-1]) * units[text[-1]] if text[-1:] in units else int(text)
 
 
+def leaf_bytes(df: DataFrame) -> int:
+    """Estimated size of everything the plan reads, whatever it joins."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+
+
 def fits_broadcast(df: DataFrame) -> bool:
     return plan_bytes(df) <= broadcast_limit(df)
 
 
+def measured_small(df: DataFrame) -> bool:
+    """Whether a plan over small inputs yields few enough rows, by counting them.
+
+    Catalyst multiplies the sizes of joined inputs, so a directory joined from
+    three small tables looks huge. It is counted only if all it reads is under
+    the limit, and the count stops one row past the allowance.
+    """
+    limit = broadcast_limit(df)
+    if leaf_bytes(df) > limit:
+        return False
+    width = int(df._jdf.queryExecution().optimizedPlan().schema().defaultSize()) + 8
+    allowed = max(limit // width, 1)
+    return df.limit(allowed + 1).count() <= allowed
+
+
+def _salt_columns(df: DataFrame, keys: Sequence[str]) -> list[str]:
+    """A few columns that tell rows of one key apart: numbers and times first.
+
+    Few, because hashed columns must be read even where nothing else needs them.
+    """
+    others = [f for f in df.schema.fields if f.name not in keys]
+    steady = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    varied = [f.name for f in others if isinstance(f.dataType, steady)]
+    texts = [f.name for f in others if isinstance(f.dataType, T.StringType)]
+    return (varied[:4] or texts[:2]) or list(keys)
+
+
 def lookup(
     fact: DataFrame,
     dim: DataFrame,
@@ -33,23 +66,27 @@ def lookup(
     how: str = "left",
     null_safe: bool = False,
     salts: int = DEFAULT_SALTS,
+    derived: bool = False,
 ) -> DataFrame:
     """Attach ``dim`` to ``fact`` by equal keys (``left`` or ``inner``).
 
-    A dimension whose estimated size is under the broadcast threshold is left to
-    Catalyst, which sends it to every task and never moves the fact rows. A
-    larger one is joined on (keys, salt): fact rows spread over ``salts``
-    sub-keys and each dimension row is repeated once per sub-key, so a key that
-    holds a third of the facts is shared by ``salts`` tasks. The salt is a hash
-    of the row, so a recomputed task gives the same rows again.
+    A dimension whose estimated or counted size is under the broadcast threshold
+    is sent to every task and the fact rows are never moved. A larger one is
+    joined on (keys, salt): fact rows spread over ``salts`` sub-keys and each
+    dimension row is repeated once per sub-key, so a key that holds a third of
+    the facts is shared by ``salts`` tasks. The salt is a hash of the row, so a
+    recomputed task gives the same rows again. ``derived`` marks a dimension
+    computed from the facts themselves, which must not be counted beforehand.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if how not in ("left", "inner"):
         raise ValueError("lookup keeps the fact side: use left or inner")
     if fits_broadcast(dim):
         left, right = fact, dim
+    elif not derived and measured_small(dim):
+        left, right = fact, F.broadcast(dim)
     else:
-        left = fact.withColumn(_SALT, F.pmod(F.xxhash64(*fact.columns), F.lit(salts)).cast("int"))
+        left = fact.withColumn(_SALT, F.pmod(F.xxhash64(*_salt_columns(fact, keys)), F.lit(salts)).cast("int"))
         right = dim.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     renamed = {key: f"__dim_{key}" for key in keys}
     right = right.withColumnsRenamed(renamed)

@@ -71,5 +71,5 @@ def _by_substrings(df: DataFrame, text: str, patterns: DataFrame, result: str, d
     best = keep_first(
         hits, ["__text"], [F.length("__pattern").desc(), F.asc("__pattern"), F.asc_nulls_last("__label")]
     ).select("__text", "__label")
-    tagged = lookup(df.withColumn("__text", F.lower(F.col(text))), best, "__text")
+    tagged = lookup(df.withColumn("__text", F.lower(F.col(text))), best, "__text", derived=True)
     return tagged.withColumn(result, F.coalesce("__label", F.lit(default))).drop("__text", "__label")

@@ -40,7 +40,7 @@ def prefix_sums(df: DataFrame, order: Sequence[str | Column], weight: str | None
     else:
         before = Window.partitionBy(_PART).orderBy(_SEQ).rowsBetween(Window.unboundedPreceding, -1)
         local = placed.withColumn("__local", F.coalesce(F.sum(amount).over(before), F.lit(0)))
-    joined = lookup(local, offsets, _PART, how="inner")
+    joined = local.join(offsets, _PART)
     return joined.withColumn(name, (F.col("__local") + F.col("__offset")).cast("long")).drop(
         _PART, _SEQ, "__local", "__offset"
     )
@@ -62,5 +62,5 @@ def position_within(df: DataFrame, group: str, order: Sequence[str], name: str,
     """Position inside each group; a large group spans many ranges."""
     numbered = prefix_sums(df, [group, *order], None, "__before")
     firsts = numbered.groupBy(group).agg(F.min("__before").alias("__first"))
-    joined = lookup(numbered, firsts, group, how="inner", null_safe=True)
+    joined = lookup(numbered, firsts, group, how="inner", null_safe=True, derived=True)
     return joined.withColumn(name, F.col("__before") - F.col("__first") + start).drop("__before", "__first")

@@ -73,9 +73,9 @@ def mean_factor_per_code(
     same_factor = titles.groupBy(code, key_factor).agg(
         F.sum("__entries").alias("__titles"), F.max("__title").alias("__only")
     )
-    tagged = lookup(titles.drop("__entries", "__title"), same_factor, [code, key_factor], null_safe=True)
+    tagged = lookup(titles.drop("__entries", "__title"), same_factor, [code, key_factor], null_safe=True, derived=True)
     variants = titles.groupBy(code).agg(F.count("*").alias("__variants"))
-    counted = lookup(tagged, variants, code, null_safe=True)
+    counted = lookup(tagged, variants, code, null_safe=True, derived=True)
     unwanted = (F.col("__variants") > 1) & (F.col("__titles") == 1) & F.col("__only").isin(list(excluded))
     kept = counted.filter(~F.coalesce(unwanted, F.lit(False)))
     return kept.groupBy(code).agg(*[F.avg(m).alias(m) for m in measures])

@@ -31,4 +31,4 @@ def score_distinct(
             yield pd.DataFrame({"__title": frame["__title"], result: scorer(frame["__title"])})
 
     scored = titled.select("__title").distinct().mapInPandas(batches, f"__title string, `{result}` {kind}")
-    return lookup(titled, scored, "__title").drop("__title")
+    return lookup(titled, scored, "__title", derived=True).drop("__title")

@@ -52,7 +52,7 @@ def calibration_entities(df: DataFrame, entity: str, ts: str, measures: Sequence
     A zero spread gives NULL ratios, never a flag.
     """
     means = df.groupBy(ts).agg(*[F.avg(m).alias(f"__{m}_mean") for m in measures])
-    residuals = lookup(df, means, ts).select(
+    residuals = lookup(df, means, ts, derived=True).select(
         entity, *[(F.col(m) - F.col(f"__{m}_mean")).alias(m) for m in measures]
     )
     stats = []
@@ -138,4 +138,4 @@ def hinge_trends(
     kind = daily.schema[series].dataType.simpleString()
     weights = sums.mapInPandas(solve, f"`{series}` {kind}, __w array<double>")
     trend = sum((F.col("__w")[i] * basis[i] for i in range(size)), F.lit(0.0))
-    return lookup(daily, weights, series).withColumn("trend", trend).drop("__w")
+    return lookup(daily, weights, series, derived=True).withColumn("trend", trend).drop("__w")

@@ -42,16 +42,17 @@ def _decoded(text: Column) -> Column:
     return text
 
 
-def scope(html: Column | str) -> Column:
-    """Markup of the main element if there is one, else of the body, closed or not."""
-    visible = F.regexp_replace(_col(html), _HIDDEN, "")
-    main = F.regexp_extract(visible, _MAIN, 1)
-    body = F.regexp_replace(F.regexp_replace(visible, _HEAD, ""), _BEFORE_BODY, "")
-    return F.when(main != "", main).otherwise(body)
-
-
-def visible_text(html: Column | str) -> Column:
-    return _decoded(F.regexp_replace(scope(html), _TAG, ""))
+def with_scope(df: DataFrame, html: str) -> DataFrame:
+    """Add ``__scope``: markup of the main element if there is one, else of the body, closed or not."""
+    visible = df.withColumn("__visible", F.regexp_replace(html, _HIDDEN, ""))
+    parts = visible.withColumns(
+        {
+            "__main": F.regexp_extract("__visible", _MAIN, 1),
+            "__body": F.regexp_replace(F.regexp_replace("__visible", _HEAD, ""), _BEFORE_BODY, ""),
+        }
+    )
+    chosen = F.when(F.col("__main") != "", F.col("__main")).otherwise(F.col("__body"))
+    return parts.withColumn("__scope", chosen).drop("__visible", "__main", "__body")
 
 
 def page_title(html: Column | str) -> Column:
@@ -86,13 +87,20 @@ def link_references(
     tracks every link.
     """
     home = urls.host(url) if base_host is None else base_host
-    anchors = F.regexp_extract_all(scope(html), F.lit(_ANCHOR), F.lit(0))
-    listed = pages.select(F.col(url).alias("source_page_url"), home_column(home).alias("__home"), F.posexplode(anchors).alias("__at", "__anchor"))
-    resolved = listed.select(
+    # one column per step: each markup pass and each address part is evaluated once
+    shown = with_scope(pages.select(F.col(url).alias("source_page_url"), home_column(home).alias("__home"), html), html)
+    listed = shown.withColumn("__base", F.struct(*urls.base_parts("source_page_url"))).select(
+        "source_page_url",
+        "__home",
+        "__base",
+        F.posexplode(F.regexp_extract_all("__scope", F.lit(_ANCHOR), F.lit(0))).alias("__at", "__anchor"),
+    )
+    targeted = listed.withColumn("__href", F.trim(_target(F.col("__anchor"))))
+    resolved = targeted.select(
         "source_page_url",
         "__home",
         "__at",
-        urls.resolve("source_page_url", _target(F.col("__anchor"))).alias("link_url"),
+        urls.resolve_against(F.col("__base"), F.col("__href")).alias("link_url"),
         F.nullif(F.trim(_decoded(F.regexp_replace("__anchor", _TAG, ""))), F.lit("")).alias("link_text"),
     ).filter(F.coalesce(F.col("link_url"), F.lit("")) != "")
     if sections is not None:
@@ -124,13 +132,14 @@ def unique_links(references: DataFrame) -> DataFrame:
 def attach_validation(references: DataFrame, validated: DataFrame) -> DataFrame:
     """Each reference with the result found for its link."""
     checked = validated.select("link_url", "health", "status_code", "final_url", "error")
-    return lookup(references, checked, "link_url")
+    return lookup(references, checked, "link_url", derived=True)
 
 
 def page_table(pages: DataFrame, url: str, html: str, status: str, references: DataFrame | None = None) -> DataFrame:
     """The published page columns; the hash covers the text before collapsing."""
-    text = visible_text(html)
-    described = pages.select(
+    shown = with_scope(pages, html).withColumn("__text", _decoded(F.regexp_replace("__scope", _TAG, "")))
+    text = F.col("__text")
+    described = shown.select(
         F.col(url).alias("page_url"),
         F.when(urls.path(url) == "", F.lit("/")).otherwise(urls.path(url)).alias("page_path"),
         page_title(html).alias("page_title"),
@@ -145,7 +154,7 @@ def page_table(pages: DataFrame, url: str, html: str, status: str, references: D
     if references is None:
         return described
     counts = references.groupBy(F.col("source_page_url").alias("page_url")).agg(F.count("*").alias("link_count"))
-    return lookup(described, counts, "page_url").withColumn("link_count", F.coalesce("link_count", F.lit(0)))
+    return lookup(described, counts, "page_url", derived=True).withColumn("link_count", F.coalesce("link_count", F.lit(0)))
 
 
 def page_summary(pages: DataFrame) -> DataFrame:

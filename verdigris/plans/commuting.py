@@ -83,7 +83,7 @@ def _emission(long: DataFrame, factors: DataFrame, amount: str, trips: float, sc
 
 
 def _answer(shares: DataFrame, emission: DataFrame, columns: list[str]) -> DataFrame:
-    joined = lookup(shares, emission, "mode")
+    joined = lookup(shares, emission, "mode", derived=True)
     return joined.select("mode", "share", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in columns])
 
 

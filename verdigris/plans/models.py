@@ -8,6 +8,7 @@ from typing import Callable, Mapping
 from pyspark.sql import DataFrame
 
 from verdigris.params import Params
+from verdigris.session import durable
 from verdigris.plans import (
     commuting,
     construction,
@@ -189,7 +190,8 @@ class Warehouse:
     Nothing runs here: a model is a lazy DataFrame over its inputs, and one plan
     spans all models up to the table asked for. ``raw`` is a mapping or a
     function of the name; ``stored`` names models to read from ``raw`` instead
-    of building them, for intermediates that are kept as tables.
+    of building them, and ``kept`` ones to build once and write to shared
+    storage, for intermediates that several models read.
     """
 
     def __init__(
@@ -197,10 +199,11 @@ class Warehouse:
         raw: Mapping[str, DataFrame] | Callable[[str], DataFrame],
         params: Params = Params(),
         stored: tuple[str, ...] = (),
+        kept: tuple[str, ...] = (),
     ):
         self._raw = raw if callable(raw) else raw.__getitem__
         self._params = params
-        self._stored = set(stored)
+        self._stored, self._kept = set(stored), set(kept)
         self._built: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
@@ -210,5 +213,6 @@ class Warehouse:
                 self._built[name] = self._raw(name)
             else:
                 extra = {"params": self._params} if model.tuned else {}
-                self._built[name] = model.build(*[self.table(i) for i in model.inputs], **extra)
+                plan = model.build(*[self.table(i) for i in model.inputs], **extra)
+                self._built[name] = durable(plan) if name in self._kept else plan
         return self._built[name]

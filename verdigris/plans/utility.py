@@ -61,7 +61,7 @@ def usage_and_cost(usage: DataFrame, collectors: DataFrame, months: DataFrame, a
     )
     usage_rows = summed.filter(F.col("__metered") > 0).drop("__metered", "utility_cost")
     keys = ["fiscal_year", "calendar_month", "cost_collector_id", "utility_type"]
-    return lookup(usage_rows, summed.select(*keys, "utility_cost"), keys)
+    return lookup(usage_rows, summed.select(*keys, "utility_cost"), keys, derived=True)
 
 
 def apply_overrides(df: DataFrame, overrides: Sequence[tuple] = OVERRIDES) -> DataFrame:
@@ -124,7 +124,7 @@ def year_summary(history: DataFrame, group: str = "main") -> DataFrame:
         F.sum("utility_usage").alias("total_usage"),
         F.sum("utility_mmbtu").alias("total_mmbtu"),
     )
-    return lookup(totals, areas, ["fiscal_year", "category"])
+    return lookup(totals, areas, ["fiscal_year", "category"], derived=True)
 
 
 def intensity(summary: DataFrame) -> DataFrame:

@@ -110,7 +110,7 @@ def split_streams(monthly: DataFrame, params: Params = Params()) -> DataFrame:
         stream("Hard-to-Recycle Materials").alias("__hard"),
         stream("C & D").alias("__debris"),
     )
-    joined = lookup(monthly, moved, "service_month")
+    joined = lookup(monthly, moved, "service_month", derived=True)
     gained = F.coalesce(F.col("__hard") * (1 - rule.hard_kept), F.lit(0.0)) + F.coalesce(
         F.col("__debris") * (1 - rule.debris_kept), F.lit(0.0)
     )

@@ -57,8 +57,12 @@ DERIVED = {
 }
 
 
-def warehouse(t: Tables) -> Warehouse:
-    return Warehouse(lambda name: DERIVED[name](t) if name in DERIVED else t(name), SUITE)
+def warehouse(t: Tables, kept: tuple[str, ...] = ()) -> Warehouse:
+    return Warehouse(lambda name: DERIVED[name](t) if name in DERIVED else t(name), SUITE, kept=kept)
+
+
+# intermediates that the footprint reads more than once
+SHARED = ("stg_travel_spending", "stg_purchased_goods_invoice")
 
 
 def model(name: str, rounded: str = "", digits: int = 4, dropped: tuple[str, ...] = ("last_update",)) -> None:
@@ -503,7 +507,9 @@ STAGES["final_footprint_records"] = """
     SELECT CAST(row_number() OVER (ORDER BY fiscal_year, category, emission, dlc_name, school_area NULLS FIRST) AS BIGINT) AS id, *
     FROM {footprint_parts} WHERE fiscal_year >= 1997
 """
-model("final_footprint_records", "emission")
+query("final_footprint_records", "SELECT * FROM {final_footprint_records}", "emission")(
+    lambda t: warehouse(t, SHARED).table("final_footprint_records")
+)
 
 # --- parking ------------------------------------------------------------------
 

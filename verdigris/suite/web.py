@@ -11,6 +11,7 @@ from verdigris.operators.graph import reachable
 from verdigris.operators.markup import markdown
 from verdigris.plans import web as plans
 from verdigris.plans import wiki
+from verdigris.session import durable
 from verdigris.suite.registry import INPUTS, STAGES, query
 
 INPUTS["landed_pages"] = """
@@ -88,7 +89,8 @@ STAGES["checked_links"] = f"""
 
 
 def _checked(t):
-    refs = plans.link_refs(t("landed_pages"), sections=None)
+    # references are read three times below; extracting them is the costly part
+    refs = durable(plans.link_refs(t("landed_pages"), sections=None))
     probes = refs.select("link_url").distinct().select(
         "link_url", F.expr(_STATUS).alias("status_code"), F.lit(None).cast("string").alias("final_url"), F.expr(_ERROR).alias("error")
     )
