@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from typing import Mapping, Sequence
+from typing import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -16,13 +16,27 @@ def with_totals(df: DataFrame, within: Sequence[str], measures: Mapping[str, str
 
     A second aggregate joined back, not a window: the window would put a whole
     group into one task. Totals are null-safe, so a NULL group has its own total.
+    Both sides read the same columns, see :func:`same_columns`, so ``df`` is
+    computed once and its exchange is reused.
     """
     sums = [F.sum(column).alias(name) for name, column in measures.items()]
     if not within:
         packed = df.agg(F.struct(*sums).alias("t")).scalar()
         held = df.withColumn("__t", packed)
         return held.select("*", *[F.col("__t")[name].alias(name) for name in measures]).drop("__t")
-    return lookup(df, df.groupBy(*within).agg(*sums), within, null_safe=True, derived=True)
+    totals = same_columns(df, lambda rows, pin: rows.groupBy(*within).agg(*sums, pin))
+    return lookup(df, totals, within, null_safe=True, derived=True)
+
+
+def same_columns(df: DataFrame, summarise: Callable[[DataFrame, Column], DataFrame]) -> DataFrame:
+    """A summary of ``df`` that keeps every column of ``df`` in use.
+
+    Column pruning would otherwise give the summary a narrower copy of the plan
+    below it, and two different copies cannot share an exchange: the facts would
+    be read twice. The pin is an aggregate over all columns that is always true.
+    """
+    pin = F.max(F.xxhash64(*df.columns)).alias("__pin")
+    return summarise(df, pin).filter(F.col("__pin").isNotNull()).drop("__pin")
 
 
 def share_of_total(

@@ -7,6 +7,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from verdigris.functions.measures import mmbtu, safe_ratio
+from verdigris.operators.aggregates import same_columns
 from verdigris.operators.joins import lookup
 from verdigris.params import (
     COMMODITY_ACCOUNTS,
@@ -59,9 +60,14 @@ def usage_and_cost(usage: DataFrame, collectors: DataFrame, months: DataFrame, a
         F.sum("utility_usage_amount").alias("utility_cost"),
         F.count_if(metered).alias("__metered"),
     )
-    usage_rows = summed.filter(F.col("__metered") > 0).drop("__metered", "utility_cost")
     keys = ["fiscal_year", "calendar_month", "cost_collector_id", "utility_type"]
-    return lookup(usage_rows, summed.select(*keys, "utility_cost"), keys, derived=True)
+    costs = same_columns(
+        summed, lambda rows, pin: rows.groupBy(*GRAIN).agg(F.max("utility_cost").alias("__cost"), pin)
+    ).select(*keys, "__cost", F.lit(True).alias("__found"))
+    joined = lookup(summed.filter(F.col("__metered") > 0), costs, keys, derived=True)
+    # every row finds at least itself; naming its own cost keeps both sides alike
+    cost = F.when(F.col("__found"), F.col("__cost")).otherwise(F.col("utility_cost"))
+    return joined.withColumn("utility_cost", cost).drop("__metered", "__cost", "__found")
 
 
 def apply_overrides(df: DataFrame, overrides: Sequence[tuple] = OVERRIDES) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from verdigris.functions.dates import fiscal_year, month_start
 from verdigris.functions.text import title_case
+from verdigris.operators.aggregates import same_columns
 from verdigris.operators.joins import lookup
 from verdigris.operators.reshape import month_columns_to_rows
 from verdigris.params import Params
@@ -105,11 +106,12 @@ def split_streams(monthly: DataFrame, params: Params = Params()) -> DataFrame:
     def stream(name: str) -> Column:
         return F.max(F.when(material == name, tons))
 
-    moved = monthly.groupBy("service_month").agg(
+    giving = [
         stream("Recycling").alias("__recycling"),
         stream("Hard-to-Recycle Materials").alias("__hard"),
         stream("C & D").alias("__debris"),
-    )
+    ]
+    moved = same_columns(monthly, lambda rows, pin: rows.groupBy("service_month").agg(*giving, pin))
     joined = lookup(monthly, moved, "service_month", derived=True)
     gained = F.coalesce(F.col("__hard") * (1 - rule.hard_kept), F.lit(0.0)) + F.coalesce(
         F.col("__debris") * (1 - rule.debris_kept), F.lit(0.0)
