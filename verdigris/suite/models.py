@@ -118,7 +118,7 @@ STAGES["travel_FY_exp_group_summary"] = """
            sum(mtco2) / sum(sum(mtco2)) OVER y AS mtco2_share
     FROM {stg_travel_spending} GROUP BY fiscal_year, expense_group WINDOW y AS (PARTITION BY fiscal_year)
 """
-model("travel_FY_exp_group_summary", "total_expense_amount total_mtco2 expense_amount_share mtco2_share")
+model("travel_FY_exp_group_summary", "total_expense_amount:2 total_mtco2 expense_amount_share mtco2_share")
 
 for _owner, _name in (("dlc_name", "dlc"), ("school_area", "school")):
     STAGES[f"travel_FY_{_name}_exp_group_summary"] = f"""
@@ -163,7 +163,7 @@ STAGES["purchased_goods_invoice_summary"] = """
            100 * sum(inflated_spend) / sum(sum(inflated_spend)) OVER y AS share_spend
     FROM {stg_purchased_goods_invoice} GROUP BY fiscal_year, level_3 WINDOW y AS (PARTITION BY fiscal_year)
 """
-model("purchased_goods_invoice_summary", "mtco2 spend_usd share_mtco2 share_spend")
+model("purchased_goods_invoice_summary", "mtco2 spend_usd:2 share_mtco2 share_spend")
 STAGES["purchased_goods_invoice_po_summary"] = """
     SELECT po_number, fiscal_year, string_agg(DISTINCT level_3, ', ' ORDER BY level_3) AS level_3, sum(mtco2) AS mtco2,
            sum(inflated_spend) AS spend_usd, max(level_2) AS level_2, max(level_1) AS level_1,
@@ -178,7 +178,7 @@ STAGES["purchased_goods_invoice_supplier_summary"] = """
            string_agg(DISTINCT description, ', ' ORDER BY description) AS description
     FROM {stg_purchased_goods_invoice} GROUP BY fiscal_year, supplier_number
 """
-model("purchased_goods_invoice_supplier_summary", "mtco2 spend_usd")
+model("purchased_goods_invoice_supplier_summary", "mtco2 spend_usd:2")
 STAGES["unit_areas"] = "SELECT DISTINCT dlc_name, school_area FROM {stg_cost_object_rollup}"
 STAGES["purchased_goods_invoice_dlc_category"] = """
     SELECT p.*, u.school_area
@@ -187,7 +187,7 @@ STAGES["purchased_goods_invoice_dlc_category"] = """
           FROM {stg_purchased_goods_invoice} GROUP BY fiscal_year, dlc_name, level_3) p
          LEFT JOIN {unit_areas} u USING (dlc_name)
 """
-model("purchased_goods_invoice_dlc_category", "emission inflated_spend")
+model("purchased_goods_invoice_dlc_category", "emission inflated_spend:2")
 STAGES["purchased_goods_invoice_dlc_supplier"] = """
     SELECT p.* EXCLUDE (supplier_number), u.school_area
     FROM (SELECT fiscal_year, dlc_name, supplier, supplier_number, sum(mtco2) AS emission,
@@ -221,7 +221,7 @@ STAGES["stg_dof_maintenance_cost"] = """
     FROM {dof_maintenance_cost} d JOIN {index_by_year} i ON i.year = d.fiscal_year
          LEFT JOIN {emission_factor_naics} n ON n.Code = '230301'
 """
-model("stg_dof_maintenance_cost", "expense_2021_equivalent ghg_emission")
+model("stg_dof_maintenance_cost", "expense_2021_equivalent:2 ghg_emission:3")
 STAGES["construction_expense_emission"] = """
     SELECT fiscal_year, expense_type, expense_2021_equivalent / 1e6 AS expense_2021, ghg_emission
     FROM {stg_dof_maintenance_cost}
@@ -274,7 +274,7 @@ query(
     "stg_waste_emission",
     """SELECT service_month, material, tons, adjusted AS tons_adjusted, co2eq, year, fiscal_year
        FROM {stg_waste_emission}""",
-    "tons tons_adjusted co2eq",
+    "tons tons_adjusted co2eq:8",
 )(lambda t: warehouse(t).table("stg_waste_emission"))
 STAGES["final_waste_emission"] = """
     SELECT fiscal_year, material, sum(tons) AS tons, sum(co2eq) AS co2eq FROM {stg_waste_emission} GROUP BY ALL
