@@ -150,15 +150,9 @@ SENSOR_HEADERS = {
 REQUIRED_READINGS = ("datetime_edt", "temperature_c", "relative_humidity_pct")
 _LOG_WIDTH = 24
 _LOG_ROW = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(_LOG_WIDTH)])
-_FILE_ID = r"(?:^|[\s+])(\S+)\s+\d{4}-\d{2}-\d{2}(?:\s|$)"
 _TOKEN_BEFORE_DATE = r"(\S+)\s+\d{4}-\d{2}-\d{2}(?:\s|$)"
 
 
-def file_stem(path: Column | str) -> Column:
-    name = F.regexp_extract(F.url_decode(F.regexp_replace(_as_col(path), r"\+", "%2B")), r"([^/]*)$", 1)
-    return F.regexp_replace(name, r"(?i)\.(xlsx|xls|csv)$", "")
-
-
 def _as_col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 

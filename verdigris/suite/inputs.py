@@ -333,7 +333,6 @@ RENAMES["transit_detail"] = {
     "bus": "Local Bus",
     "rapid": "Rapid Transit",
 }
-_MONTH = "CAST(year(ts) AS STRING) || '-' || lpad(CAST(month(ts) AS STRING), 2, '0')"
 INPUTS["historical_transit_monthly"] = """
     SELECT CAST(year(o_orderdate) AS STRING) || '-' || lpad(CAST(month(o_orderdate) AS STRING), 2, '0') AS month,
            CAST(sum(o_custkey % 3) AS BIGINT) AS local_bus, CAST(sum(o_custkey % 4) AS BIGINT) AS rapid_transit,
