@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from verdigris.llm.compression_bands import compression_bands
 from verdigris.llm.license_scan import license_scan
+from verdigris.llm.parity_join import jaccard_components
 from verdigris.llm.shared import documents, pages
 from verdigris.llm.suffix_dedup import remove_repeats
 from verdigris.llm.token_orc import token_orc
@@ -29,6 +30,10 @@ def op1_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression_bands(documents(spark, sf_dir))
 
 
+def op2_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(documents(spark, sf_dir))
+
+
 def op6_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc(documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json"))
 
@@ -49,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_compression_bands,
+        op2_parity_join,
         op6_token_orc,
         op8_winnowing,
         op9_license_scan,
@@ -61,6 +67,24 @@ _BLANK_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 _LETTER_WORDS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_parity_join": f"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, coalesce({_BLANK_WORDS.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}, []) AS w
+    FROM documents
+),
+s AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+    SELECT x, y FROM pairs JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 75 * (nx.n + ny.n - c)
+),
+reach AS (SELECT doc_id, doc_id AS other FROM d UNION SELECT reach.doc_id, y FROM reach JOIN links ON links.x = reach.other)
+SELECT d.doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(reach.other) AS component_id
+FROM d JOIN reach USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY 1
+""",
     "op8_winnowing": f"""
 WITH d AS (SELECT doc_id, coalesce({_LETTER_WORDS.format("text")}, []) AS w FROM documents),
 b AS (SELECT item_id, {_LETTER_WORDS.format("text")} AS w FROM benchmark WHERE text IS NOT NULL),
