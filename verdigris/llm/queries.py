@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from verdigris.llm.compression_bands import compression_bands
 from verdigris.llm.license_scan import license_scan
+from verdigris.llm.markov_secrets import secret_report
 from verdigris.llm.parity_join import jaccard_components
 from verdigris.llm.shared import documents, pages
 from verdigris.llm.suffix_dedup import remove_repeats
@@ -34,6 +35,10 @@ def op2_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir))
 
 
+def op4_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_report(documents(spark, sf_dir))
+
+
 def op6_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc(documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json"))
 
@@ -55,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_compression_bands,
         op2_parity_join,
+        op4_markov_secrets,
         op6_token_orc,
         op8_winnowing,
         op9_license_scan,
