@@ -11,6 +11,7 @@ from verdigris.llm.compression_bands import compression_bands
 from verdigris.llm.license_scan import license_scan
 from verdigris.llm.markov_secrets import secret_report
 from verdigris.llm.parity_join import jaccard_components
+from verdigris.llm.sentencepiece_viterbi import round_trip
 from verdigris.llm.shared import documents, pages
 from verdigris.llm.suffix_dedup import remove_repeats
 from verdigris.llm.token_orc import token_orc
@@ -39,6 +40,10 @@ def op4_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(documents(spark, sf_dir))
 
 
+def op5_sentencepiece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(documents(spark, sf_dir), tokenizer_file("piece_bpe_32k.model"))
+
+
 def op6_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc(documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json"))
 
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_compression_bands,
         op2_parity_join,
         op4_markov_secrets,
+        op5_sentencepiece_viterbi,
         op6_token_orc,
         op8_winnowing,
         op9_license_scan,

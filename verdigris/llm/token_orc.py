@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from verdigris.llm.words import slices
+from verdigris.llm.words import WordTable, slices
 from verdigris.session import scratch_path
 
 END_ID = 1
@@ -52,10 +52,8 @@ class WordEncoder:
         self.forget()
 
     def forget(self) -> None:
-        self.number: dict[str, int] = {}
+        self.table = WordTable()
         self.atoms = {"": np.empty(0, dtype=np.int32)}
-        # ids of all known words one after the other, where each word's begin, and how many it has
-        self.ids, self.first, self.sizes = (np.empty(0, dtype=t) for t in (np.int32, np.int64, np.int64))
 
     def _atoms(self, atoms: list[str]) -> list[np.ndarray]:
         """Ids of strings that the pre-tokenizer keeps whole: each ends at its first id with a word end."""
@@ -84,36 +82,18 @@ class WordEncoder:
         lengths = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
         word = np.repeat(np.arange(len(words)), [2 if pair else 1 for pair in pieces])
         sizes = np.bincount(word, weights=lengths, minlength=len(words)).astype(np.int64)
-        self.number.update(zip(words, range(len(self.number), len(self.number) + len(words))))
-        self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(sizes) - sizes])
-        self.sizes = np.concatenate([self.sizes, sizes])
-        self.ids = np.concatenate([self.ids, *parts])
+        self.table.add(words, parts, sizes)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids with the end id after each text, and where each text starts (one entry more)."""
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        words = [w for part in split for w in part]
-        fresh = set(words).difference(self.number)
-        if len(self.number) + len(fresh) > WORDS_KEPT:
+        fresh = set().union(*split).difference(self.table.number)
+        if len(self.table.number) + len(fresh) > WORDS_KEPT:
             self.forget()
-            fresh = set(words)
+            fresh = set().union(*split)
         if fresh:
             self.learn(sorted(fresh))
-        numbers = np.fromiter(map(self.number.__getitem__, words), dtype=np.int64, count=len(words))
-        sizes = self.sizes[numbers]
-        # each text has its words and then the end id
-        text = np.repeat(np.arange(len(texts)), [len(part) for part in split])
-        ends = np.cumsum(sizes) + text
-        out = np.full(int(sizes.sum()) + len(texts), END_ID, dtype=np.int32)
-        place = np.repeat(ends - sizes, sizes) + _ranges(sizes)
-        out[place] = self.ids[np.repeat(self.first[numbers], sizes) + _ranges(sizes)]
-        per_text = np.bincount(text, weights=sizes, minlength=len(texts)).astype(np.int64) + 1
-        return out, np.concatenate(([0], np.cumsum(per_text)))
-
-
-def _ranges(sizes: np.ndarray) -> np.ndarray:
-    """0 .. size - 1 for each size, one after the other."""
-    return np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        return self.table.put_together(split, [END_ID])
 
 
 def with_ids(docs: DataFrame, tokenizer_path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -129,3 +129,41 @@ def slices(batches: Iterable, column: str = "text", size: int = 2_000_000) -> It
             total += len(text)
         if texts:
             yield batch.slice(start, len(texts) - start), texts[start:]
+
+
+def ranges(sizes: np.ndarray) -> np.ndarray:
+    """0 .. size - 1 for each size, one after the other."""
+    return np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
+class WordTable:
+    """Ids of distinct words, in one array; texts are put together from it without a step per word."""
+
+    def __init__(self) -> None:
+        self.number: dict[str, int] = {}
+        # where each word's ids begin, and how many it has
+        self.ids, self.first, self.sizes = (np.empty(0, dtype=t) for t in (np.int32, np.int64, np.int64))
+
+    def add(self, words: list[str], parts: list[np.ndarray], sizes: np.ndarray) -> None:
+        """New words; ``parts`` hold their ids one after the other, ``sizes`` how many each word has."""
+        self.number.update(zip(words, range(len(self.number), len(self.number) + len(words))))
+        self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.ids = np.concatenate([self.ids, *parts])
+
+    def put_together(self, split: list[list[str]], end: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts given as known words, each with the ids ``end`` after it, and where each starts."""
+        count = [len(part) for part in split]
+        numbers = np.fromiter((n for part in split for n in map(self.number.__getitem__, part)), dtype=np.int64, count=sum(count))
+        sizes = self.sizes[numbers]
+        text = np.repeat(np.arange(len(split)), count)
+        extra = len(end)
+        ends = np.cumsum(sizes) + extra * text
+        own = np.bincount(text, weights=sizes, minlength=len(split)).astype(np.int64)
+        starts = np.concatenate(([0], np.cumsum(own + extra)))
+        out = np.empty(int(starts[-1]), dtype=np.int32)
+        inside = ranges(sizes)
+        out[np.repeat(ends - sizes, sizes) + inside] = self.ids[np.repeat(self.first[numbers], sizes) + inside]
+        for k, value in enumerate(end):
+            out[starts[1:] - extra + k] = value
+        return out, starts
