@@ -15,6 +15,7 @@ from verdigris.llm.sentencepiece_viterbi import round_trip
 from verdigris.llm.shared import documents, pages
 from verdigris.llm.suffix_dedup import remove_repeats
 from verdigris.llm.token_orc import token_orc
+from verdigris.llm.warc import archive_pages
 from verdigris.llm.winnowing import winnow
 
 
@@ -36,6 +37,10 @@ def op2_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(pages(spark, sf_dir))
+
+
 def op4_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(documents(spark, sf_dir))
 
@@ -65,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_compression_bands,
         op2_parity_join,
+        op3_warc,
         op4_markov_secrets,
         op5_sentencepiece_viterbi,
         op6_token_orc,
@@ -96,6 +102,15 @@ links AS (
 reach AS (SELECT doc_id, doc_id AS other FROM d UNION SELECT reach.doc_id, y FROM reach JOIN links ON links.x = reach.other)
 SELECT d.doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(reach.other) AS component_id
 FROM d JOIN reach USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY 1
+""",
+    "op3_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+q AS (SELECT page_id, CAST(strlen(h) AS BIGINT) AS n, sha256(h) AS d FROM p),
+f AS (SELECT d, min(page_id) AS first FROM q WHERE n >= 100 GROUP BY d)
+SELECT page_id, n AS payload_bytes, q.d AS payload_digest,
+    CASE WHEN n >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN n >= 100 AND page_id <> first THEN first END AS refers_to
+FROM q LEFT JOIN f ON f.d = q.d
 """,
     "op8_winnowing": f"""
 WITH d AS (SELECT doc_id, coalesce({_LETTER_WORDS.format("text")}, []) AS w FROM documents),
