@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from verdigris.llm.compression_bands import compression_bands
+from verdigris.llm.html_templates import extract_main_text
 from verdigris.llm.license_scan import license_scan
 from verdigris.llm.markov_secrets import secret_report
 from verdigris.llm.parity_join import jaccard_components
@@ -53,6 +54,10 @@ def op6_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc(documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json"))
 
 
+def op7_html_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(pages(spark, sf_dir))
+
+
 def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -74,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_markov_secrets,
         op5_sentencepiece_viterbi,
         op6_token_orc,
+        op7_html_templates,
         op8_winnowing,
         op9_license_scan,
         op10_suffix_dedup,

@@ -110,10 +110,11 @@ class _Window:
 class _Packed:
     """One gzip member, inflated only as far as asked."""
 
-    def __init__(self, window: _Window, at: int):
-        self.window, self.at = window, at
+    def __init__(self, window: _Window, at: int, size: int):
+        self.window, self.at, self.step = window, at, size
         self.packer = zlib.decompressobj(31)
         self.out = bytearray()
+        self.small = True  # inflate a little for the headers, all there is for a payload
 
     def until(self, stop) -> bool:
         """Inflates till ``stop(bytes so far)`` holds or the member ends; whether it held."""
@@ -122,11 +123,11 @@ class _Packed:
                 return False
             rest = self.packer.unconsumed_tail
             if not rest:
-                rest = self.window.get(self.at, min(_READ, self.window.size - self.at))
+                rest = self.window.get(self.at, min(self.step, self.window.size - self.at))
                 if not rest:
                     raise ValueError("a WARC file ends inside a record")
                 self.at += len(rest)
-            self.out += self.packer.decompress(rest, 1 << 16)
+            self.out += self.packer.decompress(rest, 1 << 12 if self.small else 0)
         return True
 
     def end(self) -> int:
@@ -149,7 +150,8 @@ def read_records(path: str, wanted, need_payload: bool) -> Iterator[tuple[dict[s
             if window.get(at, 2) == b"\x1f\x8b":
                 head = window.get(at, min(24, window.size - at))
                 known = len(head) == 24 and head[3] & 4 and head[12:14] == b"sl" and head[14:16] == b"\x08\x00"
-                source = _Packed(window, at)
+                # as much at once as the member has, or little where that isn't known
+                source = _Packed(window, at, struct.unpack("<I", head[16:20])[0] if known else 1 << 14)
                 if not source.until(lambda out: b"\r\n\r\n" in out):
                     raise ValueError("a WARC record without an end of its headers")
                 cut = source.out.index(b"\r\n\r\n")
@@ -157,6 +159,7 @@ def read_records(path: str, wanted, need_payload: bool) -> Iterator[tuple[dict[s
                 block = None
                 if wanted(headers) and need_payload:
                     length = int(headers["content-length"])
+                    source.small = False
                     source.until(lambda out: len(out) >= cut + 4 + length)
                     block = bytes(source.out[cut + 4 : cut + 4 + length])
                 at = at + struct.unpack("<I", head[16:20])[0] if known else source.end()
