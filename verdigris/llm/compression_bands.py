@@ -121,3 +121,16 @@ def compression_bands(docs: DataFrame, id_column: str = "doc_id", text_column: s
             yield pa.RecordBatch.from_arrays(arrays, names=[id_column, *names])
 
     return source.mapInArrow(run, schema)
+
+
+def keep_good(docs: DataFrame, text_column: str = "text", limits: Limits | None = None) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, all columns as they are. No shuffle; nulls as in ``compression_bands``."""
+    limits = limits or Limits()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compressor = zstandard.ZstdCompressor(level=limits.level)
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index(text_column)).to_pylist()
+            yield batch.filter(pa.array([measure(t, limits, compressor)[6] for t in texts], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

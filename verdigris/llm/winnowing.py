@@ -136,13 +136,18 @@ def _lists(values: list, owner: np.ndarray, n: int, kind: pa.DataType) -> pa.Lis
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
 
 
-def _pass(docs: DataFrame, block, id_column: str, text_column: str) -> DataFrame:
-    schema = f"{docs.select(id_column).schema[0].simpleString().replace(':', ' ', 1)}, text_key long, n_words long, firsts array<long>, ends array<long>, items array<string>"
-    source = docs.select(docs[id_column], F.xxhash64(docs[text_column]).alias("text_key"), docs[text_column].alias("text"))
+def _pass(rows: DataFrame, block, text_column: str, number: int, keep_text: bool) -> DataFrame:
+    """``rows`` and what the block has in common with their texts, in columns of this pass's number."""
+    kept = [f for f in rows.schema.fields if keep_text or f.name != text_column]
+    names = [f.name for f in kept] + [f"_{c}{number}" for c in ("words", "firsts", "ends", "items")]
+    schema = ", ".join(
+        [f"`{f.name}` {f.dataType.simpleString()}" for f in kept]
+        + [f"_words{number} long, _firsts{number} array<long>, _ends{number} array<long>, _items{number} array<string>"]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(NOT_WORD, lower=True)
-        for batch, texts in slices(batches):
+        for batch, texts in slices(batches, text_column):
             hashes, cuts = hasher.words(texts)
             n = len(texts)
             first, end, item = find_spans(hashes, cuts, block.value)
@@ -158,84 +163,75 @@ def _pass(docs: DataFrame, block, id_column: str, text_column: str) -> DataFrame
             closes = np.flatnonzero(covered & (~after | begins[1:])) + 1
             whose = np.searchsorted(cuts, opens, side="right") - 1
             pairs = np.unique(np.stack([owner, item], axis=1), axis=0) if len(owner) else np.empty((0, 2), dtype=np.int64)
-            names = [block.value.names[i] for i in pairs[:, 1]]
-            columns = [
-                batch.column(0),
-                batch.column(1),
+            found = [block.value.names[i] for i in pairs[:, 1]]
+            columns = [batch.column(batch.schema.get_field_index(f.name)) for f in kept] + [
                 pa.array(np.diff(cuts), pa.int64()),
                 _lists(opens - cuts[whose], whose, n, pa.int64()),
                 _lists(closes - cuts[whose], whose, n, pa.int64()),
-                _lists(names, pairs[:, 0], n, pa.string()),
+                _lists(found, pairs[:, 0], n, pa.string()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=[id_column, "text_key", "n_words", "firsts", "ends", "items"])
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return source.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
-def winnow(
+def mark_contamination(
     docs: DataFrame,
     benchmark: DataFrame,
-    id_column: str = "doc_id",
     text_column: str = "text",
     item_column: str = "item_id",
     item_text_column: str = "text",
     block_bytes: int = BLOCK_BYTES,
+    keep_text: bool = True,
 ) -> DataFrame:
-    """Per row of ``docs``: words, words inside a benchmark window, items found and their checksum, verdict.
+    """``docs`` with n_words, n_hit, n_items, items_sha256 and contaminated; columns of these names are replaced.
 
     A window is 13 consecutive item words; an item of fewer is one window. Fingerprints are
     the smallest 6-gram hash of each 13 words, so that texts with a common window have a common fingerprint;
     equal fingerprints are extended word by word (by 64-bit word hashes) to the shared span.
 
     The benchmark is cut into blocks of about ``block_bytes`` of text by a hash of the row; each
-    block is broadcast, whatever the size of the whole, and meets all documents in a pass of
-    its own. Spans and items of a document are united over the passes. The
-    documents are not shuffled when there is one block, and never their texts.
+    block is broadcast, whatever the size of the whole, and meets every row in a step of
+    its own. Nothing is shuffled.
 
-    Null or empty texts have no words and no hits; null ids stay; repeated rows are repeated in the
-    result. An item without words can't occur, one with a null id is called ``null``. Empty tables: no
-    documents give no rows, no benchmark no hits. Other columns are not read.
+    Null or empty texts have no words and no hits; null ids and repeated rows stay. An item without words can't occur,
+    one with a null id is called ``null``. Empty tables: no documents give no rows, no benchmark no hits.
     """
     spark = docs.sparkSession
+    results = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    rows = docs.drop(*(c for c in results if c != text_column))
+    own = [c for c in rows.columns if keep_text or c != text_column]
     items = benchmark.select(F.coalesce(benchmark[item_column].cast("string"), F.lit("null")).alias("name"), benchmark[item_text_column].alias("body"))
     total = items.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     blocks = max(1, -(-int(total) // block_bytes))
     number = F.pmod(F.xxhash64("name", "body"), F.lit(blocks))
-    parts = []
     for b in range(blocks):
-        rows = items.where(number == b).collect()  # one block
-        block = spark.sparkContext.broadcast(build_block([(r.name, r.body) for r in rows]))
-        parts.append(_pass(docs, block, id_column, text_column))
-    spans = parts[0]
-    if blocks > 1:
-        for other in parts[1:]:
-            spans = spans.union(other)
-        spans = (
-            spans.groupBy(id_column, "text_key", "n_words")
-            .agg(
-                F.flatten(F.collect_list("firsts")).alias("firsts"),
-                F.flatten(F.collect_list("ends")).alias("ends"),
-                F.flatten(F.collect_list("items")).alias("items"),
-                (F.count("*") / blocks).cast("int").alias("copies"),
-            )
-            .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-        )
-    sorted_spans = F.array_sort(F.arrays_zip("firsts", "ends"))
-    start = F.struct(F.lit(0).cast("long").alias("total"), F.lit(0).cast("long").alias("until"))
+        part = items.where(number == b).collect()  # one block
+        block = spark.sparkContext.broadcast(build_block([(r.name, r.body) for r in part]))
+        rows = _pass(rows, block, text_column, b, keep_text or b < blocks - 1)
+    every = [F.concat(*[F.col(f"_{c}{b}") for b in range(blocks)]) for c in ("firsts", "ends", "items")]
+    spans = rows.select(*[F.col(f"`{c}`") for c in own], F.col("_words0").alias("n_words"), *[e.alias(a) for e, a in zip(every, ("_firsts", "_ends", "_items"))])
+    nothing = F.lit(0).cast("long")
     united = F.aggregate(
-        sorted_spans,
-        start,
+        F.array_sort(F.arrays_zip("_firsts", "_ends")),
+        F.struct(nothing.alias("total"), nothing.alias("until")),
         lambda acc, s: F.struct(
-            (acc["total"] + F.greatest(F.lit(0).cast("long"), s["ends"] - F.greatest(s["firsts"], acc["until"]))).alias("total"),
-            F.greatest(acc["until"], s["ends"]).alias("until"),
+            (acc["total"] + F.greatest(nothing, s["_ends"] - F.greatest(s["_firsts"], acc["until"]))).alias("total"),
+            F.greatest(acc["until"], s["_ends"]).alias("until"),
         ),
         lambda acc: acc["total"],
     )
-    names = F.array_sort(F.array_distinct("items"))
-    return spans.select(
-        id_column,
-        "n_words",
-        united.alias("n_hit"),
-        F.size(names).cast("long").alias("n_items"),
-        F.sha2(F.array_join(names, ","), 256).alias("items_sha256"),
-    ).withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
+    names = F.array_sort(F.array_distinct("_items"))
+    return (
+        spans.withColumn("n_hit", united)
+        .withColumn("n_items", F.size(names).cast("long"))
+        .withColumn("items_sha256", F.sha2(F.array_join(names, ","), 256))
+        .withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
+        .drop("_firsts", "_ends", "_items")
+    )
+
+
+def winnow(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Per row of ``docs``: the id and what ``mark_contamination`` finds."""
+    narrow = docs.select(docs[id_column], docs[text_column].alias("_text"))
+    return mark_contamination(narrow, benchmark, "_text", block_bytes=block_bytes, keep_text=False)
