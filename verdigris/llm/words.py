@@ -72,8 +72,8 @@ class Hasher:
         if self.lower:
             data = _LOWER[data]
         if len(data) + 1 > len(self.up):
-            self.up = _powers(_BASE, 2 * len(data))
-            self.down = _powers(_BASE_INVERSE, 2 * len(data))
+            size = 1 << len(data).bit_length()
+            self.up, self.down = _powers(_BASE, size), _powers(_BASE_INVERSE, size)
         inside = self.keep[data]
         edge = np.flatnonzero(np.diff(inside, prepend=False))
         first, last = edge[0::2], edge[1::2]
