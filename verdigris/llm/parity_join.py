@@ -68,18 +68,27 @@ def blocks(band: int) -> int:
         n += max(1, n // 50)
 
 
-def set_keys(values: np.ndarray) -> np.ndarray:
-    """Join keys of one set of shingle hashes; linked sets have one in common, or are equal."""
+def set_keys(values: np.ndarray, hot: np.ndarray | None = None) -> np.ndarray:
+    """Join keys of one set of shingle hashes; linked sets have one in common, or are equal.
+
+    Leaving the same shingles out of both sets changes no more blocks, so the first layout is without ``hot`` ones
+    (sorted hashes): passages of many documents would make alike blocks in all of them.
+    A set with too few non-empty blocks to be sure of an equal one tries other layouts, of all its shingles.
+    """
+    cold = values
+    if hot is not None and len(hot) and len(values):
+        cold = values[hot[np.minimum(np.searchsorted(hot, values), len(hot) - 1)] != values]
     out = []
-    for band in bands_of(len(values)):
+    for band in bands_of(len(values)) if len(values) else ():
         n = blocks(band)
         allowed = difference(len(values), band_range(band)[1])
         for seed in range(SEEDS):
+            used = values if seed else cold
             factors = constants(3, 100 + band * 8 + seed)
-            place = ((mix(values ^ factors[0]) >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
+            place = ((mix(used ^ factors[0]) >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
             place = place.astype(np.int64)
             parity = np.zeros(n, dtype=np.uint64)
-            np.bitwise_xor.at(parity, place, mix(values + factors[1]))
+            np.bitwise_xor.at(parity, place, mix(used + factors[1]))
             full = np.flatnonzero(np.bincount(place, minlength=n))
             out.append(mix(parity[full] + (full.astype(np.uint64) + np.uint64(1)) * factors[2]))
             if len(full) > allowed:
@@ -113,23 +122,57 @@ def shingle_sets(texts: list[bytes], hasher: Hasher) -> list[np.ndarray]:
     return out
 
 
+#: A shingle is hot if this share of all rows has it, but at least so many; found from counts of
+#: parts of the input, so that a rarer one may be missed, which costs time but no link.
+HOT_SHARE = 0.001
+HOT_LEAST = 20
+_PART_SHINGLES = 2_000_000
+_PART_LEAST = 4
+
+
 def set_sizes(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(id, n_shingles, h1, h2): size of each row's set and 128 bits that tell sets apart; null where empty."""
+    """(kind, id, n_shingles, h1, h2). Kind 0: size of each row's set and 128 bits that tell sets apart, null where empty.
+    Kind 1: a shingle h1 that n_shingles sets of one part of the input have."""
+    names = ["kind", "id", "n_shingles", "h1", "h2"]
+
+    def frequent(sets: list[np.ndarray]) -> pa.RecordBatch:
+        values, counts = np.unique(np.concatenate(sets), return_counts=True)
+        values, counts = values[counts >= _PART_LEAST], counts[counts >= _PART_LEAST]
+        none = pa.nulls(len(values), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array([1] * len(values), pa.int32()), none, pa.array(counts, pa.int64()), pa.array(values.view(np.int64)), none], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(SPACES, lower=True)
+        held: list[np.ndarray] = []
+        size = 0
         for batch, texts in slices(batches):
             sets = shingle_sets(texts, hasher)
             h1 = [int(np.bitwise_xor.reduce(mix(s)).astype(np.int64)) if len(s) else None for s in sets]
             h2 = [int(np.add.reduce(mix(s + np.uint64(77))).astype(np.int64)) if len(s) else None for s in sets]
             sizes = pa.array([len(s) for s in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), sizes, pa.array(h1, pa.int64()), pa.array(h2, pa.int64())], names=["id", "n_shingles", "h1", "h2"])
+            kind = pa.array([0] * len(sets), pa.int32())
+            yield pa.RecordBatch.from_arrays([kind, batch.column(0), sizes, pa.array(h1, pa.int64()), pa.array(h2, pa.int64())], names=names)
+            held.extend(sets)
+            size += sum(map(len, sets))
+            if size >= _PART_SHINGLES:
+                yield frequent(held)
+                held, size = [], 0
+        if held:
+            yield frequent(held)
 
-    return docs.select(docs[id_column].cast("long").alias("id"), docs[text_column].alias("text")).mapInArrow(run, "id long, n_shingles long, h1 long, h2 long")
+    source = docs.select(docs[id_column].cast("long").alias("id"), docs[text_column].alias("text"))
+    return source.mapInArrow(run, "kind int, id long, n_shingles long, h1 long, h2 long")
 
 
-def _block_keys(source: DataFrame, n: int) -> DataFrame:
-    """Packed keys of the sets; of equal sets in one part of the input only the first is sent on."""
+def hot_shingles(measured: DataFrame, rows: int) -> np.ndarray:
+    """Sorted hashes of the hot shingles: at most the mean set size / HOT_SHARE of them, whatever the number of rows."""
+    least = max(HOT_LEAST, rows * HOT_SHARE)
+    found = measured.where("kind = 1").groupBy("h1").agg(F.sum("n_shingles").alias("n")).where(F.col("n") >= least).select("h1")
+    return np.sort(np.array([r.h1 for r in found.collect()], dtype=np.int64).view(np.uint64))
+
+
+def _block_keys(source: DataFrame, n: int, hot) -> DataFrame:
+    """Packed keys of the sets; of equal sets in one part of the input only that of the smallest id is sent on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(SPACES, lower=True)
@@ -137,10 +180,10 @@ def _block_keys(source: DataFrame, n: int) -> DataFrame:
             sets = shingle_sets(texts, hasher)
             ids = batch.column(0).to_numpy()
             tags = np.array([int(np.bitwise_xor.reduce(mix(s)).astype(np.int64)) if len(s) else 0 for s in sets], dtype=np.int64)
-            _, first = np.unique(tags, return_index=True)
+            order = np.lexsort((ids, tags))
             keep = np.zeros(len(sets), dtype=bool)
-            keep[first] = True
-            keys = [set_keys(s) if k else np.empty(0, dtype=np.uint64) for s, k in zip(sets, keep)]
+            keep[order[np.append(True, tags[order][1:] != tags[order][:-1])]] = True
+            keys = [set_keys(s, hot.value) if k else np.empty(0, dtype=np.uint64) for s, k in zip(sets, keep)]
             owner = np.repeat(np.arange(len(sets)), [len(k) for k in keys])
             if len(owner):
                 yield dealing.pack(np.concatenate(keys), owner, ids, tags, n)
@@ -148,15 +191,38 @@ def _block_keys(source: DataFrame, n: int) -> DataFrame:
     return source.mapInArrow(run, dealing.SCHEMA)
 
 
+#: Up to so many sets with one key are compared each with each; more in steps.
+SMALL_GROUP = 12
+
+
 def _shared(packed: DataFrame) -> DataFrame:
-    """(key, id) for keys that several different sets have."""
+    """Who has a key in common. Small groups: pairs (a, b), b < a, each once per bucket; larger ones: (key, a) with null b."""
 
     def run(table: pa.Table) -> pa.Table:
         keys, ids = dealing.shared_keys(*dealing.unpack(table))
-        marks = keys + (np.uint64(table.column("bucket")[0].as_py()) << np.uint64(8 * dealing.KEY_BYTES))
-        return pa.table([pa.array(marks.view(np.int64)), pa.array(ids)], names=["key", "id"])
-
-    return packed.groupBy("bucket").applyInArrow(run, "key long, id long")
+        new = np.flatnonzero(np.diff(keys, prepend=keys[0] ^ np.uint64(1))) if len(keys) else np.empty(0, dtype=np.int64)
+        sizes = np.diff(np.append(new, len(keys)))
+        found = [np.empty((0, 2), dtype=np.int64)]
+        for m in range(2, SMALL_GROUP + 1):
+            rows = ids[new[sizes == m][:, None] + np.arange(m)]
+            for i in range(m - 1):
+                for j in range(i + 1, m):
+                    found.append(np.stack([rows[:, j], rows[:, i]], axis=1))
+            if len(rows):
+                found = [np.unique(np.concatenate(found), axis=0)]
+        pairs = np.unique(np.concatenate(found), axis=0)
+        pairs = pairs[pairs[:, 0] != pairs[:, 1]]
+        large = np.repeat(sizes > SMALL_GROUP, sizes)
+        marks = keys[large] + (np.uint64(table.column("bucket")[0].as_py()) << np.uint64(8 * dealing.KEY_BYTES))
+        members = ids[large]
+        columns = [
+            pa.concat_arrays([pa.nulls(len(pairs), pa.int64()), pa.array(marks.view(np.int64))]),
+            pa.array(np.concatenate([pairs[:, 0], members])),
+            pa.concat_arrays([pa.array(np.ascontiguousarray(pairs[:, 1])), pa.nulls(len(members), pa.int64())]),
+        ]
+        return pa.table(columns, names=["key", "a", "b"])
+
+    return packed.groupBy("bucket").applyInArrow(run, "key long, a long, b long")
 
 
 def _set_table(texts: DataFrame) -> DataFrame:
@@ -188,10 +254,10 @@ def _matrix(column: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(column), dtype="<u8").reshape(len(column), SKETCH_WORDS)
 
 
-def _star_edges(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Of pairs (a, b) those whose sketches allow a link."""
-    left = sketches.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-    right = sketches.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+def _near_pairs(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Of pairs (a, b) with sizes na and nb those whose sketches allow a link."""
+    left = sketches.select(F.col("id").alias("a"), F.col("sketch").alias("sa"))
+    right = sketches.select(F.col("id").alias("b"), F.col("sketch").alias("sb"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -295,30 +361,38 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
     and a null component. Rows that share an id are one node. Ids are integers. An empty table
     gives no rows; other columns are not read.
 
-    Equal sets are one node before the join. All rows of a key are compared with the key's
-    smallest row; components are then known for most, and only pairs of one key in
-    different components are compared further, first by sketches, in tiles of a set size.
+    Equal sets are one node before the join. Few rows with one key are compared each with each; many
+    with their smallest one: components are then known for most, and only pairs in
+    different components are compared further, in tiles of a set size. Sizes and sketches come before whole sets.
     """
-    base = stored(set_sizes(docs, id_column, text_column), "set-sizes")
+    measured = stored(set_sizes(docs, id_column, text_column), "set-sizes")
+    base = measured.where("kind = 0").select("id", "n_shingles", "h1", "h2")
     whole = base.where("h1 IS NOT NULL AND id IS NOT NULL")
     nodes = stored(whole.groupBy("n_shingles", "h1", "h2").agg(F.min("id").alias("node")), "nodes")
     total = nodes.agg(F.sum("n_shingles")).first()[0] or 0
     n = max(1, -(-int(total) // BUCKET_KEYS))
     source = docs.select(docs[id_column].cast("long").alias("id"), docs[text_column].alias("text")).where("id IS NOT NULL AND text IS NOT NULL")
-    shared = stored(_shared(_block_keys(source, n)), "shared-keys")
-    involved = shared.select("id").distinct()
+    hot = docs.sparkSession.sparkContext.broadcast(hot_shingles(measured, base.count()))
+    shared = stored(_shared(_block_keys(source, n, hot)), "shared-keys")
+    members = shared.where("b IS NULL").select("key", F.col("a").alias("id"))
+    least = members.groupBy("key").agg(F.min("id").alias("b"))
+    stars = members.join(least, "key").where("id <> b").select(F.col("id").alias("a"), "b")
+    pairs = shared.where("b IS NOT NULL").select("a", "b").union(stars).distinct()
+    sizes = nodes.select(F.col("node").alias("id"), F.col("n_shingles").alias("n"))
+    na, nb = (sizes.select(F.col("id").alias(c), F.col("n").alias(f"n{c}")) for c in "ab")
+    near_size = 100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")
+    sized = stored(pairs.join(na, "a").join(nb, "b").where(near_size), "pairs")
+    involved = sized.select(F.col("a").alias("id")).union(sized.select("b")).union(members.select("id")).distinct()
     sets = stored(_set_table(source.join(involved, "id").dropDuplicates(["id"])), "sets")
     sketches = sets.select("id", "n", "sketch")
-    least = shared.groupBy("key").agg(F.min("id").alias("a"))
-    stars = shared.join(least, "key").where("id <> a").select(F.col("id").alias("b"), "a").distinct()
-    links = stored(_verified(_star_edges(stars.select("a", "b"), sketches), sets), "links")
+    links = stored(_verified(_near_pairs(sized, sketches), sets), "links")
     # rows with equal sets or equal ids are linked from the start
     equal = whole.join(nodes, ["n_shingles", "h1", "h2"]).where("id <> node").select(F.col("id").alias("a"), F.col("node").alias("b"))
     edges = stored(links.union(equal), "links-and-copies")
     reached = stored(components(edges), "components")
-    members = shared.join(reached.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-    mixed = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-    rest = members.join(mixed, "key").dropDuplicates(["key", "id"])
+    grouped = members.join(reached.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+    mixed = grouped.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
+    rest = grouped.join(mixed, "key").dropDuplicates(["key", "id"])
     untried = stored(_rest_pairs(rest.join(sketches, "id")), "rest")
     more = stored(_verified(untried, sets), "more-links")
     if more.take(1):
