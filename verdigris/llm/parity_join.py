@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verdigris.llm import dealing
-from verdigris.llm.shared import components, stored
+from verdigris.llm.shared import components, stored, where_listed
 from verdigris.llm.words import SPACES, Hasher, constants, mix, ngrams, slices, utf8
 
 SHINGLE = 5
@@ -225,22 +225,32 @@ def _shared(packed: DataFrame) -> DataFrame:
     return packed.groupBy("bucket").applyInArrow(run, "key long, a long, b long")
 
 
-def _set_table(texts: DataFrame) -> DataFrame:
-    """(id, n, sketch, shingles) of the given rows (id, text)."""
+#: Bytes kept of each shingle hash where whole sets are compared: 48 bits tell the shingles of two sets apart.
+_SHINGLE_BYTES = 6
+
+
+def _set_table(texts: DataFrame, whole: bool) -> DataFrame:
+    """(id, n, sketch), or (id, shingles), of the given rows (id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(SPACES, lower=True)
         for batch, parts in slices(batches):
             sets = shingle_sets(parts, hasher)
-            columns = [
-                batch.column(0),
-                pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([sketch(s, SKETCH_WORDS).tobytes() for s in sets], pa.binary()),
-                pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "sketch", "shingles"])
+            if whole:
+                low = [np.sort(s & np.uint64((1 << 48) - 1)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_SHINGLE_BYTES].tobytes() for s in sets]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(low, pa.binary())], names=["id", "shingles"])
+            else:
+                columns = [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([sketch(s, SKETCH_WORDS).tobytes() for s in sets], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "sketch"])
+
+    return texts.mapInArrow(run, "id long, shingles binary" if whole else "id long, n long, sketch binary")
+
 
-    return texts.mapInArrow(run, "id long, n long, sketch binary, shingles binary")
+def _shingles(data: pa.Buffer) -> np.ndarray:
+    raw = np.frombuffer(data, dtype=np.uint8).reshape(-1, _SHINGLE_BYTES)
+    out = np.zeros((len(raw), 8), dtype=np.uint8)
+    out[:, :_SHINGLE_BYTES] = raw
+    return out.view("<u8").ravel()
 
 
 def _near(n1: np.ndarray, n2: np.ndarray, s1: np.ndarray, s2: np.ndarray) -> np.ndarray:
@@ -271,8 +281,10 @@ def _near_pairs(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Of pairs (a, b) those that are linked, by their whole sets."""
+def _verified(pairs: DataFrame, source: DataFrame) -> DataFrame:
+    """Of stored pairs (a, b) those that are linked, by the whole sets of their texts in ``source``."""
+    listed = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    sets = stored(_set_table(where_listed(source, "id", listed), whole=True), "sets").dropDuplicates(["id"])
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
 
@@ -280,7 +292,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for batch in batches:
             ok = []
             for x, y in zip(batch.column(2), batch.column(3)):
-                one, other = (np.frombuffer(v.as_buffer(), dtype="<u8") for v in (x, y))
+                one, other = _shingles(x.as_buffer()), _shingles(y.as_buffer())
                 small, large = (one, other) if len(one) <= len(other) else (other, one)
                 at = np.minimum(np.searchsorted(large, small), len(large) - 1)
                 common = int((large[at] == small).sum())
@@ -383,9 +395,8 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
     near_size = 100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")
     sized = stored(pairs.join(na, "a").join(nb, "b").where(near_size), "pairs")
     involved = sized.select(F.col("a").alias("id")).union(sized.select("b")).union(members.select("id")).distinct()
-    sets = stored(_set_table(source.join(involved, "id").dropDuplicates(["id"])), "sets")
-    sketches = sets.select("id", "n", "sketch")
-    links = stored(_verified(_near_pairs(sized, sketches), sets), "links")
+    sketches = stored(_set_table(where_listed(source, "id", involved), whole=False), "sketches").dropDuplicates(["id"])
+    links = stored(_verified(stored(_near_pairs(sized, sketches), "near-pairs"), source), "links")
     # rows with equal sets or equal ids are linked from the start
     equal = whole.join(nodes, ["n_shingles", "h1", "h2"]).where("id <> node").select(F.col("id").alias("a"), F.col("node").alias("b"))
     edges = stored(links.union(equal), "links-and-copies")
@@ -394,9 +405,10 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
     mixed = grouped.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
     rest = grouped.join(mixed, "key").dropDuplicates(["key", "id"])
     untried = stored(_rest_pairs(rest.join(sketches, "id")), "rest")
-    more = stored(_verified(untried, sets), "more-links")
-    if more.take(1):
-        reached = stored(components(edges.union(more)), "components")
+    if untried.take(1):
+        more = stored(_verified(untried, source), "more-links")
+        if more.take(1):
+            reached = stored(components(edges.union(more)), "components")
     return (
         base.join(reached.withColumnRenamed("node", "id"), "id", "left")
         .select(F.col("id").alias(id_column), "n_shingles", F.coalesce("component", "id").alias("component_id"))

@@ -2,11 +2,58 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from verdigris.llm.words import mix
 from verdigris.session import scratch_path
 
+#: Most bits of an id filter: 8 MB, whatever the number of ids.
+MOST_BITS = 1 << 26
+
+
+def id_filter(ids: DataFrame) -> Callable[[np.ndarray], np.ndarray]:
+    """A test for long ids of the one column of ``ids``: true for each of them, and for a few others.
+
+    One bit per hash, in a map of at most MOST_BITS: rows that the map lets through in vain, more of them the more ids
+    there are, cost time only. The bits are put together in Spark; at most MOST_BITS / 64 numbers come to the driver.
+    """
+    spark = ids.sparkSession
+    (name,) = ids.columns
+    bits = 1 << 16
+    wanted = 32 * ids.count()
+    while bits < min(wanted, MOST_BITS):
+        bits *= 2
+    place = F.pmod(F.xxhash64(F.col(name)), F.lit(bits))
+    words = ids.select(place.alias("p")).groupBy((F.col("p") / 64).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("v"))
+    table = np.zeros(bits // 64, dtype=np.int64)
+    for r in words.toLocalIterator():
+        table[r.w] = r.v
+    sent = spark.sparkContext.broadcast(table)
+
+    def test(hashed: np.ndarray) -> np.ndarray:
+        at = np.mod(hashed, bits)
+        return ((sent.value[at // 64] >> (at % 64)) & 1) == 1
+
+    return test
+
+
+def where_listed(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """Rows with an id of ``ids`` in ``column``, and a few others (see ``id_filter``). No shuffle."""
+    test = id_filter(ids)
+    hashed = rows.withColumn("_hash", F.xxhash64(F.col(column)))
+
+    def run(batches):
+        for batch in batches:
+            kept = batch.filter(pa.array(test(batch.column(batch.num_columns - 1).to_numpy())))
+            yield pa.RecordBatch.from_arrays(kept.columns[:-1], schema=pa.schema(list(kept.schema)[:-1]))
+
+    return hashed.mapInArrow(run, rows.schema)
+
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Written once to the shared folder and read from there: cuts the lineage."""
