@@ -16,12 +16,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verdigris.llm import dealing
-from verdigris.llm.shared import stored
-from verdigris.llm.words import SPACES, Hasher, ngrams, slices, utf8
+from verdigris.llm.shared import stored, where_listed
+from verdigris.llm.words import SPACES, Hasher, mix, ngrams, slices, utf8
 
 WINDOW = 13
 #: Window hashes in one bucket, about: what one task sorts.
-BUCKET_KEYS = 3_000_000
+BUCKET_KEYS = 4_000_000
 #: Bytes of reference and of streamed words in one shard, about.
 SHARD_BYTES = 4_000_000
 
@@ -141,18 +141,33 @@ def _window_keys(source: DataFrame, n: int) -> DataFrame:
     return source.mapInArrow(run, dealing.SCHEMA)
 
 
-def _first_sources(packed: DataFrame) -> DataFrame:
-    """(id, marks, sources): windows that several texts have, with the smallest id that has each."""
+def _first_sources(packed: DataFrame, n: int) -> DataFrame:
+    """(id, marks, sources, repeats): windows that several texts have, with the smallest id that has each.
 
-    def run(table: pa.Table) -> pa.Table:
+    ``repeats``: whether one of them is of another id. Packed by part of the ids, then one row for each id.
+    """
+
+    def parts_of(ids: np.ndarray) -> np.ndarray:
+        return (mix(ids.view(np.uint64)) % np.uint64(n)).astype(np.int64)
+
+    def search(table: pa.Table) -> pa.Table:
         keys, ids = dealing.shared_keys(*dealing.unpack(table))
         sources = ids[dealing.group_starts(keys)]
         marks = keys + (np.uint64(table.column("bucket")[0].as_py()) << np.uint64(8 * dealing.KEY_BYTES))
-        rows = [(i, marks[at].tobytes(), sources[at].tobytes()) for i, at in dealing.by_id(ids)]
-        columns = list(zip(*rows)) if rows else [(), (), ()]
-        return pa.table([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.binary()), pa.array(columns[2], pa.binary())], names=["id", "marks", "sources"])
+        rows = [(p, ids[at].tobytes(), marks[at].tobytes(), sources[at].tobytes()) for p, at in dealing.by_id(parts_of(ids))]
+        columns = list(zip(*rows)) if rows else [()] * 4
+        kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
+        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=["part", "ids", "marks", "sources"])
+
+    def gather(table: pa.Table) -> pa.Table:
+        ids, marks, sources = (np.frombuffer(b"".join(table.column(c).to_pylist()), dtype=t) for c, t in (("ids", "<i8"), ("marks", "<u8"), ("sources", "<i8")))
+        rows = [(i, marks[at].tobytes(), sources[at].tobytes(), bool((sources[at] != i).any())) for i, at in dealing.by_id(ids)]
+        columns = list(zip(*rows)) if rows else [()] * 4
+        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.bool_())
+        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=["id", "marks", "sources", "repeats"])
 
-    return packed.groupBy("bucket").applyInArrow(run, "id long, marks binary, sources binary")
+    found = packed.groupBy("bucket").applyInArrow(search, "part int, ids binary, marks binary, sources binary")
+    return found.groupBy("part").applyInArrow(gather, "id long, marks binary, sources binary, repeats boolean")
 
 
 def _pieces(marked: DataFrame, n: int) -> DataFrame:
@@ -165,14 +180,13 @@ def _pieces(marked: DataFrame, n: int) -> DataFrame:
             for at in range(0, whole_batch.num_rows, 256):
                 batch = whole_batch.slice(at, 256)
                 rows: list[tuple] = []
-                for number, key, text, found in zip(*(c.to_pylist() for c in batch.columns)):
+                for number, key, text, mark, first_ids in zip(*(c.to_pylist() for c in batch.columns)):
                     data = utf8(text)
                     hashes, _ = hasher.words([data])
                     if len(hashes) < WINDOW:
                         continue
                     marks = dealing.marks_of(ngrams(hashes, WINDOW), n)
-                    known = np.frombuffer(b"".join(f["marks"] for f in found), dtype="<u8")
-                    source = np.frombuffer(b"".join(f["sources"] for f in found), dtype="<i8")
+                    known, source = np.frombuffer(mark, dtype="<u8"), np.frombuffer(first_ids, dtype="<i8")
                     order = np.argsort(known)
                     known, source = known[order], source[order]
                     place = np.minimum(np.searchsorted(known, marks), len(known) - 1)
@@ -189,7 +203,7 @@ def _pieces(marked: DataFrame, n: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
     schema = "source long, id long, text_key long, start int, reference boolean, words binary"
-    return marked.select("id", "text_key", "text", "found").mapInArrow(run, schema)
+    return marked.select("id", "text_key", "text", "marks", "sources").mapInArrow(run, schema)
 
 
 def _verified(pieces: DataFrame) -> DataFrame:
@@ -239,15 +253,15 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     Window hashes travel packed, in buckets of a set number of keys; equal spans are
     verified once per source, and sources with much to verify are split over tasks. The
-    texts are shuffled once.
+    texts concerned are shuffled by id, twice.
     """
     base = stored(measured(docs, id_column, text_column), "words")
     total = base.agg(F.sum("n_words")).first()[0] or 0
     n = max(1, -(-int(total) // BUCKET_KEYS))
     source = docs.select(docs[id_column].cast("long").alias("id"), F.xxhash64(docs[text_column]).alias("text_key"), docs[text_column].alias("text")).where("id IS NOT NULL")
-    marks = _first_sources(_window_keys(source, n)).groupBy("id").agg(F.collect_list(F.struct("marks", "sources")).alias("found"))
-    texts = source.where("text IS NOT NULL")
-    marked = stored(texts.join(marks, "id").select("id", "text_key", "text", "found"), "marked")
+    marks = stored(_first_sources(_window_keys(source, n), n), "marks")
+    texts = where_listed(source.where("text IS NOT NULL"), "id", marks.select("id"))
+    marked = stored(texts.join(marks, "id").select("id", "text_key", "text", "marks", "sources", "repeats"), "marked")
     pieces = stored(_pieces(marked, n).withColumn("piece", F.unhex(F.md5("words"))), "pieces")
     found = (
         pieces.where(~F.col("reference"))
@@ -274,7 +288,8 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["id", "sha", "n_removed", "kept_sha256", "kept_text"])
 
     removed = (
-        marked.select("id", "text_key", "text")
+        marked.where("repeats")
+        .select("id", "text_key", "text")
         .join(found, ["id", "text_key"])
         .select("id", "text", "spans")
         .mapInArrow(run, "id long, sha string, n_removed long, kept_sha256 string, kept_text string")
