@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from verdigris.functions import dates, measures, text, urls
 from verdigris.functions.health import link_health, page_health
-from verdigris.operators.markup import to_markdown
+from verdigris.operators.markup import markdown
 
 SITE = "https://site.example.org"
 
@@ -147,7 +147,10 @@ def test_page_health(spark):
     assert [one(spark, page_health(F.lit(s).cast("int"))) for s in (None, 200, 301, 404)] == ["unreachable", "healthy", "redirect", "broken"]
 
 
-def test_markdown():
+def test_markdown(spark):
+    def to_markdown(text, base):
+        return one(spark, markdown(F.lit(text).cast("string"), base))
+
     page = """
         <h1>Overview</h1>
         <p>Read the <a href="/display/SPACE/Runbook">runbook</a>.</p>
@@ -161,3 +164,5 @@ def test_markdown():
     assert kept == "Hidden **body**"
     assert to_markdown("<ol><li>a<ul><li>b</li></ul></li></ol><pre>x</pre><blockquote>q</blockquote>", "x") == "1. a\n\n  - b\n\n```\nx\n```\n\n> q"
     assert to_markdown(None, "x") is None
+    assert to_markdown("<p>a &amp;lt; b&#x20AC;&#8364;</p>", "x") == "a &lt; b€€"
+    assert to_markdown('<p><a href="x/y">l</a> <a href="#t">m</a><br/>n</p>', "https://h") == "[l](https://h/x/y) [m](#t)\nn"

@@ -91,16 +91,16 @@ def test_deflate_falls_back_to_the_newest_year(spark):
 
 
 def test_longest_match_paths_agree(spark):
-    texts = ["Airfare - Domestic", "AIR taxi", "Taxi", "meal", None, "", "100% off", "x_y", "hotel/air taxi stop"]
+    texts = ["Airfare - Domestic", "AIR taxi", "Taxi", "meal", None, "", "100% off", "x_y", "hotel/air taxi stop", "a_b", "a%b"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     patterns = spark.createDataFrame(
-        [("air", "air"), ("airfare", "flight"), ("taxi", "car"), ("air taxi", "heli"), ("100%o", "wild"), ("x_y", "under"), ("me_l", "one")],
+        [("air", "air"), ("airfare", "flight"), ("taxi", "car"), ("air taxi", "heli"), ("100%o", "wild"), ("x_y", "under"), ("me_l", "one"), ("a\\_b", "esc"), ("a\\%", "cent"), (None, "none")],
         "p string, c string",
     )
     args = (df, "t", patterns, "p", "c", "mode")
     first, second = (rows(matching.longest_match(*args, case_limit=n).select("i", "mode"), "i") for n in (256, 0))
     assert first == second
-    assert [m for _, m in first] == ["flight", "heli", "car", "one", "misc.", "misc.", "wild", "under", "heli"]
+    assert [m for _, m in first] == ["flight", "heli", "car", "one", "misc.", "misc.", "wild", "under", "heli", "esc", "cent"]
 
 
 def test_allocation_keeps_totals(spark):

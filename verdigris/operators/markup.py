@@ -1,104 +1,102 @@
-"""Wiki storage markup to markdown-like text."""
+"""Wiki storage markup to markdown-like text, by column expressions alone."""
 
 from __future__ import annotations
 
-import re
-from html import unescape
-from html.parser import HTMLParser
-
-import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 # fixed values: what each tag turns into
-SKIPPED_MACROS = ("toc",)
-BLOCKS = "p div section article table tr ac:layout ac:layout-section ac:layout-cell".split()
-INLINE = {"strong": "**", "b": "**", "em": "_", "i": "_", "code": "`"}
-KEPT_SCHEMES = ("http://", "https://", "mailto:", "#")
-
-
-class _Markdown(HTMLParser):
-    """Collects text pieces of one page."""
-
-    def __init__(self, base: str):
-        super().__init__(convert_charrefs=True)
-        self.base, self.out, self.lists, self.links, self.muted = base.rstrip("/"), [], [], [], 0
-
-    def gap(self) -> None:
-        """End the block: pad the text so far to one blank line."""
-        if self.out and not self.out[-1].endswith("\n\n"):
-            self.out.append("\n" if self.out[-1].endswith("\n") else "\n\n")
-
-    def absolute(self, href: str) -> str:
-        if not href or href.startswith(KEPT_SCHEMES):
-            return href
-        return f"{self.base}/{href.lstrip('/')}" if not href.startswith("/") else self.base + href
-
-    def handle_starttag(self, tag, attrs):
-        values = dict(attrs)
-        if tag == "ac:structured-macro" and values.get("ac:name") in SKIPPED_MACROS:
-            self.muted += 1
-        elif not self.muted:
-            self.opened(tag, values)
-
-    def opened(self, tag: str, values: dict) -> None:
-        heading = re.fullmatch(r"h([1-6])", tag)
-        if tag in INLINE:
-            self.out.append(INLINE[tag])
-        elif tag == "br":
-            self.out.append("\n")
-        elif tag == "li":
-            mark = "1. " if self.lists[-1:] == ["ol"] else "- "
-            self.out.append("\n" + "  " * max(len(self.lists) - 1, 0) + mark)
-        elif tag == "a":
-            self.out.append("[")
-            self.links.append(self.absolute((values.get("href") or "").strip()))
-        elif heading or tag in BLOCKS or tag in ("blockquote", "pre", "ul", "ol"):
-            if tag in ("ul", "ol"):
-                self.lists.append(tag)
-            self.gap()
-            lead = {"blockquote": "> ", "pre": "```\n"}.get(tag, "")
-            lead = "#" * int(heading[1]) + " " if heading else lead
-            if lead:
-                self.out.append(lead)
-
-    def handle_endtag(self, tag):
-        if self.muted:
-            self.muted -= tag == "ac:structured-macro"
-        elif tag in INLINE:
-            self.out.append(INLINE[tag])
-        elif tag == "a":
-            href = self.links.pop() if self.links else ""
-            self.out.append(f"]({href})" if href else "]")
-        elif tag in BLOCKS or tag in ("blockquote", "pre", "ul", "ol") or re.fullmatch(r"h[1-6]", tag):
-            if tag == "pre":
-                self.out.append("\n```\n")
-            if self.lists[-1:] == [tag]:
-                self.lists.pop()
-            self.gap()
-
-    def handle_data(self, data):
-        if self.muted:
-            return
-        if unescape(data).strip():
-            self.out.append(unescape(data))
-        elif self.out and not self.out[-1].endswith((" ", "\n")):
-            self.out.append(" ")
-
-
-def to_markdown(text: str | None, base: str) -> str | None:
-    if text is None:
-        return None
-    parser = _Markdown(base)
-    parser.feed(text)
-    parser.close()
-    return re.sub(r"\n{3,}", "\n\n", "".join(parser.out).replace("\r", "")).strip()
+BLOCK_TAGS = "p|div|section|article|table|tr|blockquote|pre|ul|ol|h[1-6]|ac:layout|ac:layout-section|ac:layout-cell"
+INLINE = {"strong|b": "**", "em|i": "_", "code": "`"}
+KEPT_SCHEMES = "https?://|mailto:|#"
+# character references that storage markup uses, beside numbers; the ampersand comes last
+REFERENCES = {
+    "nbsp": " ", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "ndash": "–", "mdash": "—", "lsquo": "‘", "rsquo": "’",
+    "ldquo": "“", "rdquo": "”", "hellip": "…", "bull": "•", "middot": "·", "copy": "©", "reg": "®", "trade": "™", "euro": "€",
+    "pound": "£", "deg": "°", "times": "×", "rarr": "→", "larr": "←", "auml": "ä", "ouml": "ö", "uuml": "ü", "szlig": "ß",
+    "eacute": "é", "egrave": "è", "agrave": "à", "ccedil": "ç", "ntilde": "ñ",
+}
+# places between blocks, and white space between tags, until the end
+_GAP, _BLANK = "\x01", "\x02"
+
+
+def _tag(names: str, slash: str = "/?") -> str:
+    return rf"(?i)<{slash}(?:{names})(?=[\s/>])[^>]*>"
+
+
+def _drop(text: Column) -> Column:
+    text = F.regexp_replace(text, "[\r\x01\x02]", "")
+    text = F.regexp_replace(text, r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>", "")
+    text = F.regexp_replace(text, r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>", "")
+    toc = r'(?is)<ac:structured-macro(?=[^>]*\bac:name="toc")'
+    return F.regexp_replace(F.regexp_replace(text, toc + r"[^>]*/>", ""), toc + r"[^>]*>.*?</ac:structured-macro\s*>", "")
+
+
+def _links(text: Column, base: str) -> Column:
+    """``[label](address)``, the address made absolute by its start; without one the label alone in brackets."""
+    root = base.rstrip("/").replace("\\", "\\\\").replace("$", "\\$")
+    label = r'(?:\s[^>]*)?>(.*?)</a\s*>'
+    address = r'(?is)<a\s(?:[^>]*?\s)?href\s*=\s*"\s*'
+    text = F.regexp_replace(text, rf'{address}((?:{KEPT_SCHEMES})[^"]*?)\s*"{label}', "[$2]($1)")
+    text = F.regexp_replace(text, rf'{address}(/[^"]*?)\s*"{label}', rf"[$2]({root}$1)")
+    text = F.regexp_replace(text, rf'{address}([^"\s][^"]*?)\s*"{label}', rf"[$2]({root}/$1)")
+    return F.regexp_replace(text, rf"(?is)<a{label}", "[$1]")
+
+
+def _lists(text: Column) -> Column:
+    """Items on lines of their own, indented by depth. The open lists are one letter each, inmost last."""
+    parts = F.regexp_extract_all(text, F.lit(r"(?is)(<[^>]*>|[^<]+|<)"), 1)
+
+    def step(acc: Column, part: Column) -> Column:
+        tag = F.lower(F.regexp_extract(part, r"^<(/?\w+)", 1))
+        opened = acc["open"]
+        inner = F.right(opened, F.lit(1))
+        lead = F.concat(F.lit("\n"), F.repeat(F.lit("  "), F.greatest(F.length(opened) - 1, F.lit(0))), F.when(inner == "o", "1. ").otherwise("- "))
+        return F.struct(
+            F.when(tag.isin("ol", "ul"), F.concat(opened, F.left(tag, F.lit(1))))
+            .when(tag.isin("/ol", "/ul") & (inner == F.substring(tag, 2, 1)), F.left(opened, F.length(opened) - 1))
+            .otherwise(opened)
+            .alias("open"),
+            F.concat(acc["out"], F.array(F.when(tag == "li", lead).otherwise(part))).alias("out"),
+        )
+
+    start = F.struct(F.lit("").alias("open"), F.array().cast("array<string>").alias("out"))
+    shown = F.aggregate(parts, start, step, lambda acc: F.array_join(acc["out"], ""))
+    return F.when(text.rlike(r"(?i)<li[\s/>]"), shown).otherwise(text)
+
+
+def _references(text: Column) -> Column:
+    for name, value in REFERENCES.items():
+        text = F.replace(text, F.lit(f"&{name};"), F.lit(value))
+    # numbers: the text between them, and the character of each
+    numbers = F.regexp_extract_all(text, F.lit(r"&#(x?[0-9A-Fa-f]{1,6});"), 1)
+    code = lambda n: F.when(n.startswith("x"), F.conv(F.substr(n, F.lit(2)), 16, 10)).otherwise(n).try_cast("int")
+    # char() knows one byte only; the four bytes of UTF-32 name any character
+    shown = F.transform(numbers, lambda n: F.decode(F.unhex(F.lpad(F.hex(code(n)), 8, "0")), "UTF-32"))
+    gaps = F.split(text, r"&#x?[0-9A-Fa-f]{1,6};", -1)
+    joined = F.array_join(F.transform(F.arrays_zip(gaps.alias("g"), shown.alias("s")), lambda z: F.concat(z["g"], F.coalesce(z["s"], F.lit("")))), "")
+    return F.replace(F.when(text.rlike(r"&#x?[0-9A-Fa-f]{1,6};"), joined).otherwise(text), F.lit("&amp;"), F.lit("&"))
 
 
 def markdown(column: Column | str, base: str) -> Column:
-    """Markdown of a markup column, an Arrow batch at a time; NULL stays NULL."""
-
-    @F.pandas_udf("string")
-    def convert(batch: pd.Series) -> pd.Series:
-        return batch.map(lambda text: to_markdown(text, base))
-
-    return convert(column)
+    """Markdown of a markup column; NULL stays NULL.
+
+    Tables of contents, comments, scripts and styles go; other macros keep what they hold. Blocks are
+    set apart by an empty line, items of lists by a line each. References are read once, those of
+    ``REFERENCES`` and numbers; tags without a meaning go.
+    """
+    text = _links(_drop(F.col(column) if isinstance(column, str) else column), base)
+    text = F.regexp_replace(F.regexp_replace(text, r">\s+<", f">{_BLANK}<"), r"^\s+|\s+$", "")
+    for names, mark in INLINE.items():
+        text = F.regexp_replace(text, _tag(names), mark)
+    text = F.regexp_replace(text, _tag("br"), "\n")
+    text = _lists(text)
+    for level in range(1, 7):
+        text = F.regexp_replace(text, _tag(f"h{level}", ""), _GAP + "#" * level + " ")
+    text = F.regexp_replace(text, _tag("blockquote", ""), f"{_GAP}> ")
+    text = F.regexp_replace(F.regexp_replace(text, _tag("pre", ""), f"{_GAP}```\n"), _tag("pre", "/"), f"\n```\n{_GAP}")
+    text = F.regexp_replace(text, _tag(BLOCK_TAGS), _GAP)
+    text = F.regexp_replace(text, r"(?s)</?[A-Za-z!?][^>]*>", "")
+    text = F.regexp_replace(F.regexp_replace(text, rf"(^|[\n {_GAP}]){_BLANK}+", "$1"), _BLANK + "+", " ")
+    text = F.regexp_replace(F.regexp_replace(text, rf"\n*{_GAP}[\n{_GAP}]*", "\n\n"), r"\n{3,}", "\n\n")
+    return F.regexp_replace(_references(text), r"^\s+|\s+$", "")

@@ -52,7 +52,8 @@ def _by_substrings(df: DataFrame, text: str, patterns: DataFrame, result: str, d
     all its substrings of the lengths that occur. Candidates with an equal key
     are verified with LIKE, and the best one is joined back to the rows.
     """
-    runs = F.split("__pattern", "[%_]")
+    # a sign after a backslash stands for itself
+    runs = F.transform(F.split("__pattern", r"(?<!\\)(?:\\\\)*[%_]"), lambda r: F.regexp_replace(r, r"\\(.)", "$1"))
     anchor = F.element_at(F.array_sort(runs, lambda a, b: F.length(b) - F.length(a)), 1)
     keyed = patterns.withColumn("__anchor", anchor).withColumn("__size", F.length("__anchor"))
     lengths = keyed.agg(F.collect_set("__size").alias("s")).scalar()

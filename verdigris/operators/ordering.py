@@ -40,7 +40,8 @@ def prefix_sums(df: DataFrame, order: Sequence[str | Column], weight: str | None
     else:
         before = Window.partitionBy(_PART).orderBy(_SEQ).rowsBetween(Window.unboundedPreceding, -1)
         local = placed.withColumn("__local", F.coalesce(F.sum(amount).over(before), F.lit(0)))
-    joined = local.join(offsets, _PART)
+    # one row per part
+    joined = local.join(F.broadcast(offsets), _PART)
     return joined.withColumn(name, (F.col("__local") + F.col("__offset")).cast("long")).drop(
         _PART, _SEQ, "__local", "__offset"
     )

@@ -148,8 +148,8 @@ SENSOR_HEADERS = {
     "Dew Point, °F": "dew_point_f",
 }
 REQUIRED_READINGS = ("datetime_edt", "temperature_c", "relative_humidity_pct")
-_LOG_WIDTH = 24
-_LOG_ROW = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(_LOG_WIDTH)])
+# a comma outside of quotes
+_COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 _TOKEN_BEFORE_DATE = r"(\S+)\s+\d{4}-\d{2}-\d{2}(?:\s|$)"
 
 
@@ -178,8 +178,8 @@ def read_sensor_logs(spark: SparkSession, paths: str | Sequence[str]) -> tuple[D
         F.monotonically_increasing_id().alias("at"),
         F.regexp_replace("value", r"^﻿", "").alias("line"),
     )
-    parsed = raw.filter(F.trim("line") != "").select("path", "block", "at", F.from_csv("line", _LOG_ROW.simpleString()[7:-1].replace(":", " ")).alias("row"))
-    cells = parsed.select("path", "block", "at", F.array(*[F.col(f"row.c{i}") for i in range(_LOG_WIDTH)]).alias("cells"))
+    unquoted = lambda c: F.nullif(F.replace(F.regexp_replace(F.trim(c), r'^"(.*)"$', "$1"), F.lit('""'), F.lit('"')), F.lit(""))
+    cells = raw.filter(F.trim("line") != "").select("path", "block", "at", F.transform(F.split("line", _COMMA, -1), unquoted).alias("cells"))
     is_header = F.exists("cells", lambda c: F.coalesce(c.startswith("Date-Time"), F.lit(False)))
 
     names = F.create_map(*[F.lit(x) for pair in SENSOR_HEADERS.items() for x in pair])
@@ -214,6 +214,12 @@ def read_sensor_logs(spark: SparkSession, paths: str | Sequence[str]) -> tuple[D
 
     lines = lookup(cells.filter(~is_header), accepted.select("path", "names", "sensor_id", "source_file"), "path", how="inner")
 
+    # a file with a time that no layout reads is rejected whole: its readings can't be told apart
+    unread = cell("datetime_edt").isNotNull() & _reading_time(cell("datetime_edt")).isNull()
+    odd = lines.filter(unread).select("path", "source_file").distinct()
+    rejected = rejected.union(odd.select("source_file", F.lit("unreadable datetime_edt").alias("reason")))
+    lines = lines.join(odd.select("path"), "path", "left_anti")
+
     def number(name: str) -> Column:
         return cell(name).try_cast("double")
 
@@ -238,7 +244,18 @@ def read_sensor_logs(spark: SparkSession, paths: str | Sequence[str]) -> tuple[D
 
 
 def _reading_time(text: Column) -> Column:
-    layouts = ("MM/dd/yyyy HH:mm:ss", "MM/dd/yy HH:mm:ss", "MM/dd/yyyy HH:mm", "yyyy-MM-dd HH:mm:ss")
+    layouts = (
+        "M/d/yyyy H:mm[:ss]",
+        "M/d/yy H:mm[:ss]",
+        "M/d/yyyy h:mm[:ss] a",
+        "M/d/yy h:mm[:ss] a",
+        "yyyy-MM-dd H:mm[:ss]",
+        "yyyy-MM-dd h:mm[:ss] a",
+        "yyyy-MM-dd'T'HH:mm[:ss][.SSS]",
+        "d MMM yyyy H:mm[:ss]",
+        "MMM d, yyyy H:mm[:ss]",
+        "MMM d, yyyy h:mm[:ss] a",
+    )
     return F.coalesce(*[F.try_to_timestamp(text, F.lit(layout)) for layout in layouts]).cast("timestamp_ntz")
 
 

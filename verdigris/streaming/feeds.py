@@ -58,13 +58,14 @@ def _read_batches(spark: SparkSession, target: str) -> DataFrame | None:
 
 
 def align_feed(
-    feed: DataFrame, key: str, ts: str, seconds: int, measures: Sequence[str], lateness: str = "1 hour"
+    feed: DataFrame, key: str, ts: str, seconds: int, measures: Sequence[str], lateness: str
 ) -> DataFrame:
     """Mean per key and rounded time on a stream.
 
     The event time is shifted by half a bin before the watermark, so that plain
     tumbling windows round to the nearest bin (ties go up). Repeated readings
-    are dropped while they are inside the watermark; the first one stays.
+    are dropped while they are inside the watermark; the first one stays. Readings later
+    than ``lateness`` are dropped, and counted in the query's progress (``numRowsDroppedByWatermark``).
     """
     shifted = feed.withColumn("__at", F.col(ts).cast("timestamp") + F.make_dt_interval(secs=F.lit(seconds / 2)))
     unique = shifted.withWatermark("__at", lateness).dropDuplicatesWithinWatermark([key, "__at"])

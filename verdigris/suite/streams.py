@@ -22,7 +22,7 @@ def _feed(t: Tables):
     "value:8",
 )
 def _(t):
-    aligned = feeds.align_feed(_feed(t), "user_id", "ts", 1200, ["value"])
+    aligned = feeds.align_feed(_feed(t), "user_id", "ts", 1200, ["value"], lateness="1 hour")
     folder = scratch_path(t.spark, "stream-align")
     return feeds.latest_updates(aligned, ["user_id", "ts"], f"{folder}/out", f"{folder}/state")
 

@@ -204,10 +204,15 @@ INPUTS["wiki_listing"] = """
 
 @query(
     "wiki_snapshot",
-    """SELECT page_id, refreshed, CASE WHEN refreshed THEN 'now' ELSE 'before' END AS synced_at,
+    """SELECT page_id, refreshed, CASE WHEN refreshed THEN text_of_page ELSE '' END AS markdown_content,
+              md5(CASE WHEN refreshed THEN text_of_page ELSE '' END) AS content_hash,
+              CASE WHEN refreshed THEN 'now' ELSE 'before' END AS synced_at,
               CASE WHEN refreshed THEN '["' || author || '", "' || title || '"]' ELSE '[]' END AS labels,
               CASE WHEN refreshed THEN version ELSE 1 END AS version
-       FROM (SELECT *, author = 'fr' OR version > 1 OR updated_at LIKE '2024-02%' AS refreshed FROM {wiki_listing})""",
+       FROM (SELECT *, author = 'fr' OR version > 1 OR updated_at LIKE '2024-02%' AS refreshed,
+                    -- the documents hold no markup, so the text stays, but for the white space at its ends and empty lines
+                    regexp_replace(regexp_replace(text, '^\s+|\s+$', '', 'g'), '\n{3,}', chr(10) || chr(10), 'g') AS text_of_page
+             FROM {wiki_listing})""",
 )
 def _(t):
     listing = t("wiki_listing").withColumns(
@@ -227,4 +232,4 @@ def _(t):
         F.lit("before").alias("synced_at"),
     )
     built = wiki.refreshed(listing, stored, "https://wiki.example.org", "now")
-    return built.select("page_id", "refreshed", "synced_at", "labels", "version")
+    return built.select("page_id", "refreshed", "markdown_content", "content_hash", "synced_at", "labels", "version")
