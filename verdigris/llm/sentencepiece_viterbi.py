@@ -21,11 +21,13 @@ from verdigris.llm.words import WordTable, constants, mix, slices
 
 SPACE = "▁"
 #: Distinct words whose ids a task keeps.
-WORDS_KEPT = 600_000
+WORDS_KEPT = 300_000
+#: Pairs of neighbours whose verdict a task keeps.
+PAIRS_KEPT = 1_000_000
 #: Words of one length that advance together, times that length, at most.
-CELLS = 1_000_000
-#: Bytes of text encoded at once: large, so that many words have one length.
-SLICE_BYTES = 8_000_000
+CELLS = 200_000
+#: Bytes of text encoded at once: enough for many words of one length, few for the memory of a task.
+SLICE_BYTES = 2_000_000
 #: Before a word that has no blank of its own before it. A text with this character is cut by _WORD.
 _BARE = "\x02"
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -136,6 +138,8 @@ class PieceModel:
     def compatible(self, before: np.ndarray, piece: np.ndarray) -> np.ndarray:
         """Whether each piece may follow the one before it; -1 is a word's start."""
         wanted, place = np.unique(before * self.size + piece, return_inverse=True)
+        if len(self.known_pairs) > PAIRS_KEPT:
+            self.known_pairs = {}
         known = self.known_pairs
         fresh = np.array([p for p in wanted.tolist() if p >= 0 and p not in known], dtype=np.int64)
         if len(fresh):
@@ -157,7 +161,7 @@ class PieceModel:
             width = size - length + 1
             sums = sums[:, :width] + hashed[:, length - 1 :] * self.factors[length - 1]
             key = mix(sums + np.uint64(length))
-            found = np.full(key.shape, -1, dtype=np.int64)
+            found = np.full(key.shape, -1, dtype=np.int32)
             maybe = self.perhaps[(key & np.uint64(len(self.perhaps) - 1)).astype(np.int64)]
             probes = key[maybe]
             at = np.minimum(np.searchsorted(self.keys, probes), len(self.keys) - 1)
@@ -165,7 +169,7 @@ class PieceModel:
             matched.append(found)
         for end in range(1, size + 1):
             for length in range(min(self.longest, end), 0, -1):
-                piece = matched[length - 1][:, end - length]
+                piece = matched[length - 1][:, end - length].astype(np.int64)
                 before = last[:, end - length]
                 try_it = np.flatnonzero((piece >= 0) & (before != -2) & (last[:, end] == -2))
                 if len(try_it):

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: The separators of the contract's words: space and \x09-\x0D.
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -118,17 +120,20 @@ def utf8(text: str | None) -> bytes:
 
 
 def slices(batches: Iterable, column: str = "text", size: int = 2_000_000) -> Iterator[tuple[object, list[bytes]]]:
-    """Arrow batches cut so that each part holds about ``size`` bytes of text, or one text."""
+    """Arrow batches cut so that each part holds about ``size`` bytes of text, or one text.
+
+    Only the texts of one part are Python objects at a time.
+    """
     for batch in batches:
-        texts = [utf8(t) for t in batch.column(batch.schema.get_field_index(column)).to_pylist()]
+        texts = batch.column(batch.schema.get_field_index(column)).cast(pa.binary())
         start, total = 0, 0
-        for i, text in enumerate(texts):
-            if total and total + len(text) > size:
-                yield batch.slice(start, i - start), texts[start:i]
+        for i, length in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+            if total and total + length > size:
+                yield batch.slice(start, i - start), [t or b"" for t in texts.slice(start, i - start).to_pylist()]
                 start, total = i, 0
-            total += len(text)
-        if texts:
-            yield batch.slice(start, len(texts) - start), texts[start:]
+            total += length
+        if len(texts):
+            yield batch.slice(start), [t or b"" for t in texts.slice(start).to_pylist()]
 
 
 def ranges(sizes: np.ndarray) -> np.ndarray:
