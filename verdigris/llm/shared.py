@@ -104,6 +104,8 @@ def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
         if now == before:
             break
         before = now
+    else:
+        raise RuntimeError(f"components are not settled after {rounds} rounds")
     found = current.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "node")
     roots = found.select("component").distinct()
     return found.union(roots.select(F.col("component").alias("node"), "component"))
