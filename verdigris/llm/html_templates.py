@@ -240,6 +240,21 @@ def templates(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: flo
     return recurring.groupBy("host").agg(F.collect_set("hash").alias("hashes"))
 
 
+#: A host with more than one page in so many of the table is hot, so there are fewer hot hosts than this.
+HOT_PARTS = 1_000
+
+
+def hot_hosts(pages: DataFrame) -> DataFrame:
+    """(host, salts): the hosts with over 1 / HOT_PARTS of all rows, and into how many parts of that size each goes.
+
+    Fewer than HOT_PARTS rows, whatever the input. Pages without host count as a host.
+    """
+    sizes = pages.groupBy("host").agg(F.count("*").alias("pages"))
+    total = sizes.agg(F.sum("pages").alias("total"))
+    parts = F.ceil(F.col("pages") * HOT_PARTS / F.col("total"))
+    return sizes.join(F.broadcast(total)).where(F.col("pages") * HOT_PARTS > F.col("total")).select("host", parts.alias("salts"))
+
+
 def extract_main_text(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
     """(page_id, url, text, n_chars): the main text of each row of ``pages`` (page_id, url, html).
 
@@ -252,6 +267,14 @@ def extract_main_text(pages: DataFrame, least_pages: int = LEAST_PAGES, least_sh
     narrow = pages.select(pages["page_id"], pages["url"], pages["html"])
     hosted = narrow.withColumn("host", F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), _HOST, 1)))
     found = templates(hosted, least_pages, least_share)
+    # hosts with a large share of all pages are dealt over several tasks, each with a copy of the host's templates
+    salts = hot_hosts(hosted)
+    dealt = hosted.join(F.broadcast(salts), "host", "left").withColumn(
+        "salt", F.coalesce(F.pmod(F.xxhash64("page_id", "url", "html"), F.col("salts")), F.lit(0)).cast("int")
+    )
+    copies = found.join(F.broadcast(salts), "host", "left").withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("salts"), F.lit(1)).cast("int") - 1))
+    )
     schema = f"{narrow.select('page_id').schema[0].simpleString().replace(':', ' ', 1)}, url string, text string, n_chars long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,4 +288,5 @@ def extract_main_text(pages: DataFrame, least_pages: int = LEAST_PAGES, least_sh
             columns = [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "text", "n_chars"])
 
-    return hosted.join(found, "host", "left").select("page_id", "url", "html", "hashes").mapInArrow(run, schema)
+    joined = dealt.drop("salts").join(copies.drop("salts"), ["host", "salt"], "left")
+    return joined.select("page_id", "url", "html", "hashes").mapInArrow(run, schema)
