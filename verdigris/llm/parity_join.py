@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verdigris.llm import dealing
-from verdigris.llm.shared import components, stored, where_listed
+from verdigris.llm.shared import components, id_filter, listed, stored, with_hash
 from verdigris.llm.words import SPACES, Hasher, constants, mix, ngrams, slices, utf8
 
 SHINGLE = 5
@@ -229,12 +229,16 @@ def _shared(packed: DataFrame) -> DataFrame:
 _SHINGLE_BYTES = 6
 
 
-def _set_table(texts: DataFrame, whole: bool) -> DataFrame:
-    """(id, n, sketch), or (id, shingles), of the given rows (id, text)."""
+def _set_table(texts: DataFrame, ids: DataFrame, whole: bool) -> DataFrame:
+    """(id, n, sketch), or (id, shingles), of the rows (id, text) with an id of ``ids``, and of a few others.
+
+    One Python step: two in a row would hold two Python processes for each task.
+    """
+    test = id_filter(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(SPACES, lower=True)
-        for batch, parts in slices(batches):
+        for batch, parts in slices(listed(batches, test)):
             sets = shingle_sets(parts, hasher)
             if whole:
                 low = [np.sort(s & np.uint64((1 << 48) - 1)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_SHINGLE_BYTES].tobytes() for s in sets]
@@ -243,7 +247,7 @@ def _set_table(texts: DataFrame, whole: bool) -> DataFrame:
                 columns = [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([sketch(s, SKETCH_WORDS).tobytes() for s in sets], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "sketch"])
 
-    return texts.mapInArrow(run, "id long, shingles binary" if whole else "id long, n long, sketch binary")
+    return with_hash(texts, "id").mapInArrow(run, "id long, shingles binary" if whole else "id long, n long, sketch binary")
 
 
 def _shingles(data: pa.Buffer) -> np.ndarray:
@@ -283,8 +287,8 @@ def _near_pairs(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
 
 def _verified(pairs: DataFrame, source: DataFrame) -> DataFrame:
     """Of stored pairs (a, b) those that are linked, by the whole sets of their texts in ``source``."""
-    listed = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    sets = stored(_set_table(where_listed(source, "id", listed), whole=True), "sets").dropDuplicates(["id"])
+    involved = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    sets = stored(_set_table(source, involved, whole=True), "sets").dropDuplicates(["id"])
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
 
@@ -395,7 +399,7 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
     near_size = 100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")
     sized = stored(pairs.join(na, "a").join(nb, "b").where(near_size), "pairs")
     involved = sized.select(F.col("a").alias("id")).union(sized.select("b")).union(members.select("id")).distinct()
-    sketches = stored(_set_table(where_listed(source, "id", involved), whole=False), "sketches").dropDuplicates(["id"])
+    sketches = stored(_set_table(source, involved, whole=False), "sketches").dropDuplicates(["id"])
     links = stored(_verified(stored(_near_pairs(sized, sketches), "near-pairs"), source), "links")
     # rows with equal sets or equal ids are linked from the start
     equal = whole.join(nodes, ["n_shingles", "h1", "h2"]).where("id <> node").select(F.col("id").alias("a"), F.col("node").alias("b"))

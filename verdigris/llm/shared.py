@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,17 +42,22 @@ def id_filter(ids: DataFrame) -> Callable[[np.ndarray], np.ndarray]:
     return test
 
 
+def with_hash(rows: DataFrame, column: str) -> DataFrame:
+    """``rows`` with the hash of ``column`` as the last column, for ``listed``."""
+    return rows.withColumn("_hash", F.xxhash64(F.col(column)))
+
+
+def listed(batches: Iterable[pa.RecordBatch], test: Callable[[np.ndarray], np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Batches of ``with_hash``, without the hash: rows with an id that the filter was made of, and a few others."""
+    for batch in batches:
+        kept = batch.filter(pa.array(test(batch.column(batch.num_columns - 1).to_numpy())))
+        yield pa.RecordBatch.from_arrays(kept.columns[:-1], schema=pa.schema(list(kept.schema)[:-1]))
+
+
 def where_listed(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     """Rows with an id of ``ids`` in ``column``, and a few others (see ``id_filter``). No shuffle."""
     test = id_filter(ids)
-    hashed = rows.withColumn("_hash", F.xxhash64(F.col(column)))
-
-    def run(batches):
-        for batch in batches:
-            kept = batch.filter(pa.array(test(batch.column(batch.num_columns - 1).to_numpy())))
-            yield pa.RecordBatch.from_arrays(kept.columns[:-1], schema=pa.schema(list(kept.schema)[:-1]))
-
-    return hashed.mapInArrow(run, rows.schema)
+    return with_hash(rows, column).mapInArrow(lambda batches: listed(batches, test), rows.schema)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
