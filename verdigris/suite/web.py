@@ -204,7 +204,7 @@ INPUTS["wiki_listing"] = """
 
 @query(
     "wiki_snapshot",
-    """SELECT page_id, refreshed, CASE WHEN refreshed THEN text_of_page ELSE '' END AS markdown_content,
+    r"""SELECT page_id, refreshed, CASE WHEN refreshed THEN text_of_page ELSE '' END AS markdown_content,
               md5(CASE WHEN refreshed THEN text_of_page ELSE '' END) AS content_hash,
               CASE WHEN refreshed THEN 'now' ELSE 'before' END AS synced_at,
               CASE WHEN refreshed THEN '["' || author || '", "' || title || '"]' ELSE '[]' END AS labels,
