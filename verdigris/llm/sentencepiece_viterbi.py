@@ -243,18 +243,16 @@ class Encoder:
             else np.concatenate([none, *(done[r] if ordinary else self.model.bytes[list(r.encode("utf-8", "surrogatepass"))].astype(np.int32) for r, ordinary in own)])
             for own in runs
         ]
-        self.table.add(words, parts, np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)))
+        self.table.add(np.concatenate(parts), np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and where each text's begin (one entry more)."""
-        split = [self.words(t) for t in texts]
-        fresh = set().union(*split).difference(self.table.number)
-        if len(self.table.number) + len(fresh) > WORDS_KEPT:
+        if len(self.table.number) > WORDS_KEPT:
             self.table = WordTable()
-            fresh = set().union(*split)
+        numbers, count, fresh = self.table.numbers([self.words(t) for t in texts])
         if fresh:
-            self.learn(sorted(fresh))
-        return self.table.put_together(split, [])
+            self.learn(fresh)
+        return self.table.put_together(numbers, count, [])
 
 
 class Decoder:

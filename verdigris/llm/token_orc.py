@@ -5,12 +5,14 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from verdigris.llm.shared import stored
 from verdigris.llm.words import WordTable, slices
 from verdigris.session import scratch_path
 
@@ -52,48 +54,39 @@ class WordEncoder:
         self.forget()
 
     def forget(self) -> None:
-        self.table = WordTable()
-        self.atoms = {"": np.empty(0, dtype=np.int32)}
+        self.table, self.atoms = WordTable(), WordTable()
 
-    def _atoms(self, atoms: list[str]) -> list[np.ndarray]:
-        """Ids of strings that the pre-tokenizer keeps whole: each ends at its first id with a word end."""
+    def _atoms(self, atoms: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of letter runs and sign runs, and how many each has: each ends at its first id with a word end."""
         lines = [" ".join(atoms[i : i + ATOMS_A_CALL]) for i in range(0, len(atoms), ATOMS_A_CALL)]
         encoded = self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
-        ids = np.fromiter((i for e in encoded for i in e.ids), dtype=np.int32)
+        ids = np.fromiter(chain.from_iterable(e.ids for e in encoded), dtype=np.int32)
         ends = np.flatnonzero(self.ends_word[ids]) + 1
         assert len(ends) == len(atoms), "a letter run or a sign run has become more than one word"
-        return np.split(ids, ends[:-1]) if atoms else []
+        return ids, np.diff(ends, prepend=0)
 
     def learn(self, words: list[str]) -> None:
         cut = [_PLAIN.fullmatch(w) for w in words]
-        pieces = [(m[1].lower(), m[2]) if m else None for m in cut]
-        known = self.atoms
-        atoms = sorted({a for pair in pieces if pair for a in pair}.difference(known))
-        known.update(zip(atoms, self._atoms(atoms)))
-        rest = [w for w, pair in zip(words, pieces) if not pair]
-        encoded = iter(self.tokenizer.encode_batch_fast(rest, add_special_tokens=False) if rest else ())
-        parts = []
-        for pair in pieces:
-            if pair:
-                parts.append(known[pair[0]])
-                parts.append(known[pair[1]])
-            else:
-                parts.append(np.array(next(encoded).ids, dtype=np.int32))
-        lengths = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
-        word = np.repeat(np.arange(len(words)), [2 if pair else 1 for pair in pieces])
-        sizes = np.bincount(word, weights=lengths, minlength=len(words)).astype(np.int64)
-        self.table.add(words, parts, sizes)
+        # any other word is an atom by itself, behind a blank, which no run has
+        atoms = [((m[1].lower(), m[2]) if m[2] else (m[1].lower(),)) if m else (" " + w,) for m, w in zip(cut, words)]
+        runs = self.atoms.numbers([a for a, m in zip(atoms, cut) if m])[2]
+        self.atoms.add(*self._atoms(runs))
+        rest = self.atoms.numbers([a for a, m in zip(atoms, cut) if not m])[2]
+        encoded = [e.ids for e in self.tokenizer.encode_batch_fast([w[1:] for w in rest], add_special_tokens=False)] if rest else []
+        sizes = np.fromiter(map(len, encoded), dtype=np.int64, count=len(encoded))
+        self.atoms.add(np.fromiter(chain.from_iterable(encoded), dtype=np.int32), sizes)
+        numbers, count, _ = self.atoms.numbers(atoms)
+        ids, ends = self.atoms.put_together(numbers, count, [])
+        self.table.add(ids, np.diff(ends))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids with the end id after each text, and where each text starts (one entry more)."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        fresh = set().union(*split).difference(self.table.number)
-        if len(self.table.number) + len(fresh) > WORDS_KEPT:
+        if len(self.table.number) > WORDS_KEPT:
             self.forget()
-            fresh = set().union(*split)
+        numbers, count, fresh = self.table.numbers([t.replace("\n", " ").split(" ") for t in texts])
         if fresh:
-            self.learn(sorted(fresh))
-        return self.table.put_together(split, [END_ID])
+            self.learn(fresh)
+        return self.table.put_together(numbers, count, [END_ID])
 
 
 def with_ids(docs: DataFrame, tokenizer_path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -148,9 +141,10 @@ def summarise(tokens: DataFrame) -> DataFrame:
             columns = [batch.column(0), batch.column(1), batch.column(2), pa.array(np.diff(offsets).astype("int64")), pa.array(sums, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["part", "row", "doc_id", "n_tokens", "ids_crc32"])
 
-    rows = tokens.mapInArrow(run, "part int, row long, doc_id long, n_tokens long, ids_crc32 long")
+    # kept, so that the ids are read once
+    rows = stored(tokens.mapInArrow(run, "part int, row long, doc_id long, n_tokens long, ids_crc32 long"), "token-counts")
     # one row for each part, as many as the files have writers
-    totals = tokens.groupBy("part").agg(F.sum(F.size("ids").cast("long")).alias("total"))
+    totals = rows.groupBy("part").agg(F.sum("n_tokens").alias("total"))
     before = F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     offsets = totals.select("part", F.coalesce(before, F.lit(0)).alias("offset"))
     inside = F.sum("n_tokens").over(Window.partitionBy("part").orderBy("row").rowsBetween(Window.unboundedPreceding, -1))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -141,34 +142,52 @@ def ranges(sizes: np.ndarray) -> np.ndarray:
     return np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
+class _Numbers(dict):
+    """Words numbered in the order in which they are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 class WordTable:
     """Ids of distinct words, in one array; texts are put together from it without a step per word."""
 
     def __init__(self) -> None:
-        self.number: dict[str, int] = {}
+        self.number = _Numbers()
         # where each word's ids begin, and how many it has
         self.ids, self.first, self.sizes = (np.empty(0, dtype=t) for t in (np.int32, np.int64, np.int64))
 
-    def add(self, words: list[str], parts: list[np.ndarray], sizes: np.ndarray) -> None:
-        """New words; ``parts`` hold their ids one after the other, ``sizes`` how many each word has."""
-        self.number.update(zip(words, range(len(self.number), len(self.number) + len(words))))
+    def numbers(self, split: Sequence[Sequence[str]]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        """Numbers of all words, how many each text has, and the words not met before: give their ids to ``add``."""
+        known = len(self.number)
+        count = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
+        found = np.fromiter(map(self.number.__getitem__, chain.from_iterable(split)), dtype=np.int64, count=int(count.sum()))
+        # new words are the last of the table
+        return found, count, list(islice(reversed(self.number), len(self.number) - known))[::-1]
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Ids of the new words one after the other, and how many each has."""
         self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(sizes) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
-        self.ids = np.concatenate([self.ids, *parts])
+        self.ids = np.concatenate([self.ids, ids])
 
-    def put_together(self, split: list[list[str]], end: list[int]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of texts given as known words, each with the ids ``end`` after it, and where each starts."""
-        count = [len(part) for part in split]
-        numbers = np.fromiter((n for part in split for n in map(self.number.__getitem__, part)), dtype=np.int64, count=sum(count))
+    def put_together(self, numbers: np.ndarray, count: np.ndarray, end: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts given as ``count`` word numbers each, with the ids ``end`` after each text, and where each starts."""
         sizes = self.sizes[numbers]
-        text = np.repeat(np.arange(len(split)), count)
+        text = np.repeat(np.arange(len(count)), count)
         extra = len(end)
-        ends = np.cumsum(sizes) + extra * text
-        own = np.bincount(text, weights=sizes, minlength=len(split)).astype(np.int64)
+        own = np.bincount(text, weights=sizes, minlength=len(count)).astype(np.int64)
         starts = np.concatenate(([0], np.cumsum(own + extra)))
         out = np.empty(int(starts[-1]), dtype=np.int32)
-        inside = ranges(sizes)
-        out[np.repeat(ends - sizes, sizes) + inside] = self.ids[np.repeat(self.first[numbers], sizes) + inside]
+        # each word's place in the table, less its place in the result
+        shift = self.first[numbers] - (np.cumsum(sizes) - sizes)
+        taken = self.ids[np.repeat(shift, sizes) + np.arange(int(sizes.sum()))]
+        if not extra:
+            return taken, starts
+        inside = np.ones(len(out), dtype=bool)
         for k, value in enumerate(end):
             out[starts[1:] - extra + k] = value
+            inside[starts[1:] - extra + k] = False
+        out[inside] = taken
         return out, starts
