@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -18,7 +19,7 @@ from verdigris.session import scratch_path
 
 END_ID = 1
 #: Distinct words whose ids a task keeps; the table is emptied when it is full.
-WORDS_KEPT = 600_000
+WORDS_KEPT = 300_000
 #: New letter or sign runs that the tokenizer gets as one text.
 ATOMS_A_CALL = 200
 #: A run of Latin letters and the run of signs after it: two words for the pre-tokenizer, whatever
@@ -31,7 +32,7 @@ ORC_OPTIONS = {
     "orc.bloom.filter.fpp": "0.01",
     "orc.create.index": "true",
     "orc.row.index.stride": "1000",
-    "orc.stripe.size": str(64 << 20),
+    "orc.stripe.size": str(16 << 20),
 }
 
 
@@ -45,6 +46,8 @@ class WordEncoder:
     """
 
     def __init__(self, path: str):
+        # one thread: a task has one core, and each more thread holds memory of its own
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
