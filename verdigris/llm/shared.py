@@ -31,8 +31,9 @@ def id_filter(ids: DataFrame) -> Callable[[np.ndarray], np.ndarray]:
     place = F.pmod(F.xxhash64(F.col(name)), F.lit(bits))
     words = ids.select(place.alias("p")).groupBy((F.col("p") / 64).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("v"))
     table = np.zeros(bits // 64, dtype=np.int64)
-    for r in words.toLocalIterator():
-        table[r.w] = r.v
+    # one job for all parts: 12 bytes a number, so 12 MB at most
+    found = words.toArrow()
+    table[found.column("w").to_numpy()] = found.column("v").to_numpy()
     sent = spark.sparkContext.broadcast(table)
 
     def test(hashed: np.ndarray) -> np.ndarray:
