@@ -310,6 +310,19 @@ def test_license_scan(spark):
     assert license_scan.evaluate("OR a") is None and license_scan.evaluate("a WITH") is None and license_scan.evaluate("") is None
 
 
+def test_license_scan_reads_long_expressions(spark):
+    names = [f"Lic-{i}.0" for i in range(150)]
+    nested = " AND ".join(f"({a} OR {b})" for a, b in zip(names[::2], names[1::2]))
+    deep = "(" * 3000 + "mit" + ")" * 3000 + " or isc"
+    assert len(nested) > 1_500 and len(f"({nested}) OR {nested}") > 2_000
+    texts = [f"x SPDX-License-Identifier: ({nested}) OR {nested} */\nAND Other", f"SPDX-License-Identifier: {deep}", f"SPDX-License-Identifier: MIT {'x ' * 300}SPDX-License-Identifier: ISC"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.labels, r.score, r.n_expressions) for r in license_scan.license_scan(df).collect()}
+    assert got == {0: (",".join(sorted(n.lower() for n in names)), 1.0, 1), 1: ("isc,mit", 1.0, 1), 2: ("isc,mit", 1.0, 2)}
+    # alternatives stay alternatives, however many
+    assert len(license_scan.evaluate(" AND ".join(f"({a} OR {b})" for a, b in zip(names[:16:2], names[1:16:2])))) == 256
+
+
 def removed_plain(rows):
     split = lambda t: re.findall(r"[^\x20\x09-\x0D]+", t or "")
     first = {}

@@ -40,21 +40,35 @@ TAG = "spdx license identifier"
 _TO_WORDS = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256)).translate(
     bytes(32 if b in NOT_WORD else b for b in range(256))
 )
-_EXPRESSION = re.compile(r"spdx-license-identifier\s*:[ \t]*([^\r\n]{0,400})", re.IGNORECASE)
-_TOKEN = re.compile(r"\(|\)|[A-Za-z0-9][A-Za-z0-9.+-]*")
+_EXPRESSION = re.compile(r"spdx-license-identifier\s*:[ \t]*", re.IGNORECASE)
+_TOKEN = re.compile(r"[()\r\n]|[A-Za-z0-9][A-Za-z0-9.+-]*")
 _OPERATORS = {"or": 1, "and": 2, "with": 3}
 
+#: A licence (with its exception), or an operator, ``or`` or ``and``, between two trees.
+Tree = str | tuple[str, "Tree", "Tree"]
 Choices = frozenset[frozenset[str]]
 
 
-def evaluate(expression: str) -> Choices | None:
-    """The sets of licences that satisfy an SPDX expression; None if it is malformed.
+def licences(tree: Tree) -> set[str]:
+    """All licences named in a tree: its leaves."""
+    found: set[str] = set()
+    stack = [tree]
+    while stack:
+        node = stack.pop()
+        if isinstance(node, str):
+            found.add(node)
+        else:
+            stack.extend(node[1:])
+    return found
+
 
-    ``or`` joins the choices, ``and`` unites each choice of one side with each of
-    the other, ``with`` adds an exception to the licence before it; ``with`` binds
-    most, ``or`` least. Reading stops at the first word that can't go on, as a comment's end.
+def parse(text: str, at: int = 0) -> Tree | None:
+    """The tree of the SPDX expression that starts at ``at``, whatever its length; None if it is malformed.
+
+    ``with`` adds an exception to the licence before it; it binds most, ``or`` least. Reading
+    stops at the end of the line and at the first word that can't go on, as a comment's end.
     """
-    output: list[Choices] = []
+    output: list[Tree] = []
     stack: list[str] = []
 
     def apply() -> bool:
@@ -62,21 +76,20 @@ def evaluate(expression: str) -> Choices | None:
         if name == "(" or len(output) < 2:
             return False
         right, left = output.pop(), output.pop()
-        if name == "or":
-            output.append(left | right)
-        elif name == "and":
-            # beyond 64 choices all licences named count as one choice
-            pairs = frozenset(a | b for a in left for b in right) if len(left) * len(right) <= 64 else frozenset([frozenset().union(*left, *right)])
-            output.append(pairs)
-        else:
-            if len(left) != 1 or len(right) != 1 or len(a := min(left)) != 1:
+        if name == "with":
+            named, exception = licences(left), licences(right)
+            if len(named) != 1 or len(exception) != 1:
                 return False
-            output.append(frozenset([frozenset([f"{min(a)} with {min(min(right))}"])]))
+            output.append(f"{min(named)} with {min(exception)}")
+        else:
+            output.append((name, left, right))
         return True
 
     operand = False  # whether the last token ended an operand
-    for token in _TOKEN.findall(expression):
-        word = token.lower()
+    for token in _TOKEN.finditer(text, at):
+        word = token[0].lower()
+        if word in "\r\n":
+            break
         if word == "(":
             if operand:
                 break
@@ -99,7 +112,7 @@ def evaluate(expression: str) -> Choices | None:
         else:
             if operand:
                 break
-            output.append(frozenset([frozenset([word])]))
+            output.append(word)
             operand = True
     if not operand or "(" in stack:
         return None
@@ -109,6 +122,29 @@ def evaluate(expression: str) -> Choices | None:
     return output[0] if len(output) == 1 else None
 
 
+def evaluate(expression: str) -> Choices | None:
+    """The sets of licences that satisfy an SPDX expression; None if it is malformed.
+
+    ``or`` joins the choices, ``and`` unites each choice of one side with each of the other. Each
+    ``and`` of alternatives multiplies the choices; the tree of ``parse`` says the same in the expression's length.
+    """
+    tree = parse(expression)
+    if tree is None:
+        return None
+    output: list[Choices] = []
+    stack: list[tuple[Tree, bool]] = [(tree, False)]
+    while stack:
+        node, ready = stack.pop()
+        if isinstance(node, str):
+            output.append(frozenset([frozenset([node])]))
+        elif not ready:
+            stack += [(node, True), (node[2], False), (node[1], False)]
+        else:
+            right, left = output.pop(), output.pop()
+            output.append(left | right if node[0] == "or" else frozenset(a | b for a in left for b in right))
+    return output[0]
+
+
 def build_automaton():
     import ahocorasick
 
@@ -152,10 +188,10 @@ def scan(text: str | None, automaton) -> tuple:
     valid = 0
     if tags:
         for match in _EXPRESSION.finditer(text):
-            choices = evaluate(match[1])
-            if choices:
+            tree = parse(text, match.end())
+            if tree is not None:
                 valid += 1
-                more.update(name for choice in choices for name in choice)
+                more |= licences(tree)
         score = 1.0 if valid else max(score, 0.3)
     first, last = (min(places), max(places)) if places else (None, None)
     labels = base | {label.replace(",", "") for label in more}
@@ -173,7 +209,7 @@ def license_scan(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     Words are runs of 0-9, a-z (A-Z lowered) and characters from U+0080 on; a phrase counts where
     its words stand one after the other, whatever separates them. Score: 1 with a valid identifier
     expression, 0.9 with a base phrase, 0.6 with another phrase, 0.3 with a tag
-    whose expression can't be read, else 0. A null or empty text has no words,
+    whose expression can't be read, else 0. Expressions are read to their end, each of several in a line. A null or empty text has no words,
     null places, empty labels, score 0. Null ids and repeated rows stay as they
     are; an empty table gives none. No shuffle; other columns are not read.
     """
