@@ -97,6 +97,27 @@ def test_compression_bands_reject_loops_and_noise(spark):
     assert got[1].kept and got[2].reason == "incompressible" and got[3].reason == "repetitive" and not got[4].kept
 
 
+def test_compression_bands_judge_noise_at_either_end(spark):
+    r = random.Random(5)
+    vocabulary = ["".join(r.choices(SYLLABLES, k=r.randint(1, 4))) for _ in range(400)]
+
+    def prose(size):
+        return " ".join(r.choices(vocabulary, k=size))[: size - 1] + " "
+
+    def noise(size):
+        return "".join(r.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=size))
+
+    texts = []
+    for clean, dirty in ((4_097, 3_900), (4_200, 3_700), (8_192, 4_095), (12_289, 4_096), (20_000, 12_000)):
+        good, bad = prose(clean), noise(dirty)
+        texts += [bad + " " + good, good + " " + bad, good]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [(r.n_chunks, r.n_bad_chunks, r.reason) for r in compression_bands.compression_bands(df).orderBy("doc_id").collect()]
+    assert got[0::3] == got[1::3] and got[0] == (2, 1, "chunks") == got[1]
+    assert all(g[1:] == (0, None) for g in got[2::3])
+    assert [g[0] for g in got[2::3]] == [-(-len(t) // 4_096) if len(t) > 4_096 else 0 for t in texts[2::3]]
+
+
 def components_plain(rows):
     low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     sets = {}

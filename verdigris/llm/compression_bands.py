@@ -27,7 +27,7 @@ BANDS = (
 
 @dataclass(frozen=True)
 class Limits:
-    """``chunk``: bytes of a fixed chunk; of the full chunks at most ``chunk_share`` may be outside their band."""
+    """``chunk``: bytes of a chunk; of a text's chunks at most ``chunk_share`` may be outside their band."""
 
     bands: Sequence[tuple[float, float, float]] = BANDS
     level: int = 3
@@ -71,20 +71,25 @@ def duplicate_lines(data: bytes) -> int:
 
 
 def ratio_verdict(data: bytes, limits: Limits, compressor: zstandard.ZstdCompressor) -> tuple[float, int, int, str | None]:
-    """Ratio of the whole text, its full chunks, those outside the band, and why it is rejected (None: it isn't)."""
+    """Ratio of the whole text, its chunks, those outside the band, and why it is rejected (None: it isn't).
+
+    A text longer than a chunk is covered by as few chunks as can hold it, all of full size, the first at its
+    start, the last at its end, those between at even steps: each byte is judged, and both ends count alike.
+    """
     if not data:
         return 0.0, 0, 0, None
     ratio = len(data) / len(compressor.compress(data))
     low, high = next((lo, hi) for below, lo, hi in limits.bands if len(data) < below)
-    full = len(data) // limits.chunk if len(data) > limits.chunk else 0
+    chunks = -(-len(data) // limits.chunk) if len(data) > limits.chunk else 0
     bad = 0
-    for k in range(full):
-        part = data[k * limits.chunk : (k + 1) * limits.chunk]
+    for k in range(chunks):
+        start = k * (len(data) - limits.chunk) // (chunks - 1)
+        part = data[start : start + limits.chunk]
         bad += not limits.chunk_low <= len(part) / len(compressor.compress(part)) <= limits.chunk_high
     reason = "repetitive" if ratio > high else "incompressible" if ratio < low else None
-    if reason is None and bad > limits.chunk_share * full:
+    if reason is None and bad > limits.chunk_share * chunks:
         reason = "chunks"
-    return ratio, full, bad, reason
+    return ratio, chunks, bad, reason
 
 
 def measure(text: str | None, limits: Limits, compressor: zstandard.ZstdCompressor) -> tuple:
