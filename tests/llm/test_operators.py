@@ -293,6 +293,19 @@ def test_html(spark):
     assert html_templates.extract_main_text(df.where("page_id > 99")).count() == 0
 
 
+def test_html_keeps_the_blocks_of_copies(spark):
+    bare = "<body><h1>Title</h1><div class=body><p>one</p><ul><li>two</ul></div></body>"
+    article = "<title>{}</title><article><div class=body><p>one</p></div><section>two</section></article><footer>{}</footer>"
+    rows = [(i, "http://a/", bare) for i in range(6)] + [(10 + i, "http://b/", article.format(i, i)) for i in range(6)]
+    # copies beside other pages: what these share is template in both
+    frame = "<div id=brand>Old Inn</div>"
+    rows += [(20 + i, "http://c/", frame + bare) for i in range(6)] + [(30 + i, "http://c/", f"{frame}<p>own {i}</p>") for i in range(6)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_templates.extract_main_text(df).collect()}
+    wanted = {i: "Title\none\ntwo" for i in (*range(6), *range(20, 26))} | {10 + i: "one\ntwo" for i in range(6)} | {30 + i: f"own {i}" for i in range(6)}
+    assert got == wanted
+
+
 @pytest.mark.parametrize("block_bytes", [8_000_000, 60])
 def test_winnowing(spark, docs, empty, block_bytes):
     texts = [t for t in made_texts() if t]

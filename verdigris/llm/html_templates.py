@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 import zlib
@@ -12,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from verdigris.llm.shared import stored
+
 #: A subtree is template if at least so many pages of its host, and this share of them, have it.
 LEAST_PAGES = 5
 LEAST_SHARE = 0.3
@@ -216,26 +219,37 @@ def text_of(roots: list[Node], template: frozenset[int] | set[int], hashes: dict
 _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 
 
-def templates(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
-    """(host, hashes): of each host the subtrees that recur across its pages.
-
-    Counts are grouped by (host, hash) before the shuffle. A host has at most 1 / ``least_share`` times as many
-    template subtrees as a page has subtrees on average, so the list of a host doesn't grow with its pages.
-    """
+def subtrees(pages: DataFrame) -> DataFrame:
+    """(host, page, hashes): of each row with a host, the hash of its main text, all blocks that no element or word
+    marks, and its candidate elements. Stored, so that pages are parsed once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, values = [], []
-            for host, page in zip(*(c.to_pylist() for c in batch.columns)):
+            texts, found = [], []
+            for page in batch.column(1).to_pylist():
                 root = parse(page)
-                found = set(subtree_hashes(root, main_roots(root)).values())
-                values.extend(found)
-                hosts.extend([host] * len(found))
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(values, pa.int64())], names=["host", "hash"])
+                roots = main_roots(root)
+                text = text_of(roots, frozenset(), {}).encode("utf-8", "surrogatepass")
+                texts.append(int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "big", signed=True))
+                found.append(list(set(subtree_hashes(root, roots).values())))
+            columns = [batch.column(0), pa.array(texts, pa.int64()), pa.array(found, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["host", "page", "hashes"])
 
     source = pages.where("host <> '' AND html IS NOT NULL").select("host", "html")
-    counts = source.mapInArrow(run, "host string, hash long").groupBy("host", "hash").agg(F.count("*").alias("n"))
-    sizes = pages.where("host <> '' AND html IS NOT NULL").groupBy("host").agg(F.count("*").alias("pages"))
+    return stored(source.mapInArrow(run, "host string, page long, hashes array<long>"), "subtrees")
+
+
+def templates(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
+    """(host, hashes): of each host the subtrees that recur across its pages.
+
+    Pages of one main text count once, so that copies of an article don't make its blocks template. A host has at most
+    1 / ``least_share`` times as many template subtrees as a page has subtrees on average, so the list of a host doesn't
+    grow with its pages.
+    """
+    found = subtrees(pages)
+    each = found.select("host", "page", F.explode("hashes").alias("hash")).distinct()
+    counts = each.groupBy("host", "hash").agg(F.count("*").alias("n"))
+    sizes = found.groupBy("host").agg(F.count_distinct("page").alias("pages"))
     recurring = counts.where(F.col("n") >= least_pages).join(sizes, "host").where(F.col("n") >= least_share * F.col("pages"))
     return recurring.groupBy("host").agg(F.collect_set("hash").alias("hashes"))
 
@@ -260,7 +274,7 @@ def extract_main_text(pages: DataFrame, least_pages: int = LEAST_PAGES, least_sh
 
     The main text is that of the articles, else of the main element, else of the page; without menus,
     headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments, known by element
-    or by a word of class, id or role, and without subtrees that recur across the host's pages. Running text inside an
+    or by a word of class, id or role, and without subtrees that recur across the host's pages, those of one main text counted once. Running text inside an
     article stays, however often it recurs. A null or empty html has an empty text; a null or odd url has no host and no
     templates; null ids and repeated rows stay; an empty table gives no rows; other columns are not read.
     """
