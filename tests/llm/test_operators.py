@@ -306,6 +306,21 @@ def test_html_keeps_the_blocks_of_copies(spark):
     assert got == wanted
 
 
+def test_html_templates_of_sections_of_a_big_host(spark):
+    # each tenth of the host has its own strip, and all have a frame
+    page = "<div id=brand>Old Inn</div><div class=strip><b>strip {}</b></div><p>own {}</p><div>twin {}</div>"
+    rows = [(i, f"http://{host}/{i}", page.format(i % 10, i, i // 4)) for host, n in (("big", 400), ("small", 40)) for i in range(n)]
+    rows = [(i, *r[1:]) for i, r in enumerate(rows)] + [(None, "http://big/x", page.format(3, 7, 1)), (1, rows[1][1], rows[1][2]), (900, None, page.format(3, 7, 1))]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = html_templates.extract_main_text(df).collect()
+    assert len(got) == len(rows)
+    texts = {(r.page_id, r.url): r.text for r in got}
+    assert all(texts[i, rows[i][1]] == f"own {i}\ntwin {i // 4}" for i in range(400))
+    # four pages of a strip are too few
+    assert texts[405, rows[405][1]] == "strip 5\nown 5\ntwin 1"
+    assert texts[None, "http://big/x"] == "own 7\ntwin 1" and texts[900, None].startswith("Old Inn")
+
+
 @pytest.mark.parametrize("block_bytes", [8_000_000, 60])
 def test_winnowing(spark, docs, empty, block_bytes):
     texts = [t for t in made_texts() if t]

@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 from verdigris.llm.shared import stored
 
-#: A subtree is template if at least so many pages of its host, and this share of them, have it.
+#: A subtree is template if at least so many pages of its host have it, and this power of the host's
+#: number of pages: 5 of 16, 10 of 100, 100 of 10,000.
 LEAST_PAGES = 5
-LEAST_SHARE = 0.3
+GROWTH = 0.5
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose text is not markup.
@@ -220,56 +221,63 @@ _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 
 
 def subtrees(pages: DataFrame) -> DataFrame:
-    """(host, page, hashes): of each row with a host, the hash of its main text, all blocks that no element or word
-    marks, and its candidate elements. Stored, so that pages are parsed once."""
+    """(host, doc, part, page, hashes): of each row with a host, the hash of its main text, all blocks that no element or
+    word marks, and its candidate elements; ``doc`` and ``part`` are kept. Stored, so that pages are parsed once for it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, found = [], []
-            for page in batch.column(1).to_pylist():
+            for page in batch.column(3).to_pylist():
                 root = parse(page)
                 roots = main_roots(root)
                 text = text_of(roots, frozenset(), {}).encode("utf-8", "surrogatepass")
                 texts.append(int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "big", signed=True))
                 found.append(list(set(subtree_hashes(root, roots).values())))
-            columns = [batch.column(0), pa.array(texts, pa.int64()), pa.array(found, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["host", "page", "hashes"])
+            columns = [*batch.columns[:3], pa.array(texts, pa.int64()), pa.array(found, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["host", "doc", "part", "page", "hashes"])
 
-    source = pages.where("host <> '' AND html IS NOT NULL").select("host", "html")
-    return stored(source.mapInArrow(run, "host string, page long, hashes array<long>"), "subtrees")
+    source = pages.where("host <> '' AND html IS NOT NULL").select("host", "doc", "part", "html")
+    return stored(source.mapInArrow(run, "host string, doc long, part long, page long, hashes array<long>"), "subtrees")
 
 
-def templates(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
-    """(host, hashes): of each host the subtrees that recur across its pages.
+def templates(found: DataFrame, least_pages: int = LEAST_PAGES, growth: float = GROWTH) -> DataFrame:
+    """(host, hash): of each host the subtrees that recur across its pages, from the rows of ``subtrees``.
 
-    Pages of one main text count once, so that copies of an article don't make its blocks template. A host has at most
-    1 / ``least_share`` times as many template subtrees as a page has subtrees on average, so the list of a host doesn't
-    grow with its pages.
+    Pages of one main text count once, so that copies of an article don't make its blocks template.
     """
-    found = subtrees(pages)
     each = found.select("host", "page", F.explode("hashes").alias("hash")).distinct()
     counts = each.groupBy("host", "hash").agg(F.count("*").alias("n"))
     sizes = found.groupBy("host").agg(F.count_distinct("page").alias("pages"))
-    recurring = counts.where(F.col("n") >= least_pages).join(sizes, "host").where(F.col("n") >= least_share * F.col("pages"))
-    return recurring.groupBy("host").agg(F.collect_set("hash").alias("hashes"))
+    recurring = counts.where(F.col("n") >= least_pages).join(sizes, "host").where(F.col("n") >= F.pow("pages", F.lit(growth)))
+    return recurring.select("host", "hash")
 
 
-#: A host with more than one page in so many of the table is hot, so there are fewer hot hosts than this.
+#: A key with more than one row in so many of the table is hot, so there are fewer hot keys than this.
 HOT_PARTS = 1_000
 
 
-def hot_hosts(pages: DataFrame) -> DataFrame:
-    """(host, salts): the hosts with over 1 / HOT_PARTS of all rows, and into how many parts of that size each goes.
+def hot_keys(rows: DataFrame, *keys: str) -> DataFrame:
+    """(keys, salts): those with over 1 / HOT_PARTS of all rows, and into how many parts of that size each goes.
 
-    Fewer than HOT_PARTS rows, whatever the input. Pages without host count as a host.
+    Fewer than HOT_PARTS rows, whatever the input.
     """
-    sizes = pages.groupBy("host").agg(F.count("*").alias("pages"))
-    total = sizes.agg(F.sum("pages").alias("total"))
-    parts = F.ceil(F.col("pages") * HOT_PARTS / F.col("total"))
-    return sizes.join(F.broadcast(total)).where(F.col("pages") * HOT_PARTS > F.col("total")).select("host", parts.alias("salts"))
+    sizes = rows.groupBy(*keys).agg(F.count("*").alias("n"))
+    total = sizes.agg(F.sum("n").alias("total"))
+    parts = F.ceil(F.col("n") * HOT_PARTS / F.col("total"))
+    return sizes.join(F.broadcast(total)).where(F.col("n") * HOT_PARTS > F.col("total")).select(*keys, parts.alias("salts"))
 
 
-def extract_main_text(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
+def dealt_join(rows: DataFrame, few: DataFrame, hot: DataFrame, keys: list[str], others: list[str], how: str) -> DataFrame:
+    """``rows`` (with a hash ``part``) joined with ``few`` on ``keys`` and ``others``; the rows of a key of ``hot``
+    are dealt over several tasks, each with a copy of what ``few`` has for it."""
+    dealt = rows.join(F.broadcast(hot), keys, "left").withColumn("salt", F.coalesce(F.pmod("part", F.col("salts")), F.lit(0)).cast("int"))
+    copies = few.join(F.broadcast(hot), keys, "left").withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("salts"), F.lit(1)).cast("int") - 1))
+    )
+    return dealt.drop("salts").join(copies.drop("salts"), [*keys, "salt", *others], how)
+
+
+def extract_main_text(pages: DataFrame, least_pages: int = LEAST_PAGES, growth: float = GROWTH) -> DataFrame:
     """(page_id, url, text, n_chars): the main text of each row of ``pages`` (page_id, url, html).
 
     The main text is that of the articles, else of the main element, else of the page; without menus,
@@ -279,16 +287,16 @@ def extract_main_text(pages: DataFrame, least_pages: int = LEAST_PAGES, least_sh
     templates; null ids and repeated rows stay; an empty table gives no rows; other columns are not read.
     """
     narrow = pages.select(pages["page_id"], pages["url"], pages["html"])
-    hosted = narrow.withColumn("host", F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), _HOST, 1)))
-    found = templates(hosted, least_pages, least_share)
-    # hosts with a large share of all pages are dealt over several tasks, each with a copy of the host's templates
-    salts = hot_hosts(hosted)
-    dealt = hosted.join(F.broadcast(salts), "host", "left").withColumn(
-        "salt", F.coalesce(F.pmod(F.xxhash64("page_id", "url", "html"), F.col("salts")), F.lit(0)).cast("int")
-    )
-    copies = found.join(F.broadcast(salts), "host", "left").withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("salts"), F.lit(1)).cast("int") - 1))
+    hosted = (
+        narrow.withColumn("host", F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), _HOST, 1)))
+        .withColumn("doc", F.xxhash64("html"))
+        .withColumn("part", F.xxhash64("page_id", "url", "html"))
     )
+    found = subtrees(hosted)
+    # each page gets the templates that it has itself, however many its host has
+    each = found.select("host", "doc", "part", F.explode("hashes").alias("hash"))
+    own = dealt_join(each, templates(found, least_pages, growth), hot_keys(found, "host"), ["host"], ["hash"], "inner")
+    lists = own.groupBy("host", "doc").agg(F.collect_set("hash").alias("hashes"))
     schema = f"{narrow.select('page_id').schema[0].simpleString().replace(':', ' ', 1)}, url string, text string, n_chars long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -302,5 +310,5 @@ def extract_main_text(pages: DataFrame, least_pages: int = LEAST_PAGES, least_sh
             columns = [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "text", "n_chars"])
 
-    joined = dealt.drop("salts").join(copies.drop("salts"), ["host", "salt"], "left")
+    joined = dealt_join(hosted, lists, hot_keys(hosted, "host", "doc"), ["host", "doc"], [], "left")
     return joined.select("page_id", "url", "html", "hashes").mapInArrow(run, schema)
