@@ -166,3 +166,16 @@ def test_markdown(spark):
     assert to_markdown(None, "x") is None
     assert to_markdown("<p>a &amp;lt; b&#x20AC;&#8364;</p>", "x") == "a &lt; b€€"
     assert to_markdown('<p><a href="x/y">l</a> <a href="#t">m</a><br/>n</p>', "https://h") == "[l](https://h/x/y) [m](#t)\nn"
+
+
+def test_markdown_reads_every_reference_and_address(spark):
+    from html import unescape
+
+    names = "&oacute;&iacute;&Auml;&uacute;&sect;&laquo;&nbsp;&NotEqualTilde;&fjlig;&copy 1 &notit; &notin; &unknown; &amp;oacute; &ampx & &; AT&T"
+    numbers = "&#233;&#xE9;&#XE9 &#128;&#0;&#xD800;&#x110000;&#99999999999;&#1;&#xFFFE;&#x1F642;&#00000000065;&#x;"
+    links = """<a href='x y'>a</a> <a class=k href=/b>b</a> <a href=https://o.org/?q=1>c</a> <a href = ' #t '>d</a> <a href="it's">e</a> <a href=f>f</a>
+    <a href='mailto:a@b'>g</a> <a href=''>h</a> <a name=n>i</a> <a href="" class='x'>j</a>"""
+    wanted = "[a](https://h/x y) [b](https://h/b) [c](https://o.org/?q=1) [d](#t) [e](https://h/it's) [f](https://h/f) [g](mailto:a@b) [h] [i] [j]"
+    df = spark.createDataFrame([(0, f"<p>x{names}</p>"), (1, f"<p>{numbers}y</p>"), (2, links)], "id int, text string")
+    got = [r[0] for r in df.orderBy("id").select(markdown("text", "https://h")).collect()]
+    assert got[0] == "x" + unescape(names) and got[1] == unescape(numbers) + "y" and got[2].split() == wanted.split()

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from html import unescape
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,13 +12,13 @@ from pyspark.sql import functions as F
 BLOCK_TAGS = "p|div|section|article|table|tr|blockquote|pre|ul|ol|h[1-6]|ac:layout|ac:layout-section|ac:layout-cell"
 INLINE = {"strong|b": "**", "em|i": "_", "code": "`"}
 KEPT_SCHEMES = "https?://|mailto:|#"
-# character references that storage markup uses, beside numbers; the ampersand comes last
-REFERENCES = {
-    "nbsp": " ", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "ndash": "–", "mdash": "—", "lsquo": "‘", "rsquo": "’",
-    "ldquo": "“", "rdquo": "”", "hellip": "…", "bull": "•", "middot": "·", "copy": "©", "reg": "®", "trade": "™", "euro": "€",
-    "pound": "£", "deg": "°", "times": "×", "rarr": "→", "larr": "←", "auml": "ä", "ouml": "ö", "uuml": "ü", "szlig": "ß",
-    "eacute": "é", "egrave": "è", "agrave": "à", "ccedil": "ç", "ntilde": "ñ",
-}
+# the named character references of HTML, with their semicolon; some are known without it too
+REFERENCES = {name: value for name, value in html5.items() if name.endswith(";")}
+_BARE = "|".join(sorted((name for name in html5 if not name.endswith(";")), key=len, reverse=True))
+_NAMED = "[A-Za-z][A-Za-z0-9]{1,31};"
+_REFERENCE = rf"&(#[0-9]+;?|#[xX][0-9A-Fa-f]+;?|{_NAMED}|(?:{_BARE}))"
+# numbers that do not stand for the character of that number
+_CONTROLS = {str(n): unescape(f"&#{n};") for n in range(160) if unescape(f"&#{n};") != chr(n)}
 # places between blocks, and white space between tags, until the end
 _GAP, _BLANK = "\x01", "\x02"
 
@@ -36,10 +39,11 @@ def _links(text: Column, base: str) -> Column:
     """``[label](address)``, the address made absolute by its start; without one the label alone in brackets."""
     root = base.rstrip("/").replace("\\", "\\\\").replace("$", "\\$")
     label = r'(?:\s[^>]*)?>(.*?)</a\s*>'
-    address = r'(?is)<a\s(?:[^>]*?\s)?href\s*=\s*"\s*'
-    text = F.regexp_replace(text, rf'{address}((?:{KEPT_SCHEMES})[^"]*?)\s*"{label}', "[$2]($1)")
-    text = F.regexp_replace(text, rf'{address}(/[^"]*?)\s*"{label}', rf"[$2]({root}$1)")
-    text = F.regexp_replace(text, rf'{address}([^"\s][^"]*?)\s*"{label}', rf"[$2]({root}/$1)")
+    for start, more, prefix in ((f"(?:{KEPT_SCHEMES})", "*", ""), ("/", "*", root), ("", "+", f"{root}/")):
+        # in double quotes, in single quotes, or bare
+        double, single = rf'"\s*({start}(?!\s)[^"]{more}?)\s*"', rf"'\s*({start}(?!\s)[^']{more}?)\s*'"
+        bare = rf"""({start}{'' if start else "(?![\"'])"}[^\s>]{more})"""
+        text = F.regexp_replace(text, rf"(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(?:{double}|{single}|{bare}){label}", rf"[$4]({prefix}$1$2$3)")
     return F.regexp_replace(text, rf"(?is)<a{label}", "[$1]")
 
 
@@ -65,25 +69,44 @@ def _lists(text: Column) -> Column:
     return F.when(text.rlike(r"(?i)<li[\s/>]"), shown).otherwise(text)
 
 
+def _table(entries: dict[str, str]) -> Column:
+    """One literal for a whole map."""
+    return F.str_to_map(F.lit("\x1e".join(f"{k}\x1f{v}" for k, v in entries.items())), F.lit("\x1e"), F.lit("\x1f"))
+
+
 def _references(text: Column) -> Column:
-    for name, value in REFERENCES.items():
-        text = F.replace(text, F.lit(f"&{name};"), F.lit(value))
-    # numbers: the text between them, and the character of each
-    numbers = F.regexp_extract_all(text, F.lit(r"&#(x?[0-9A-Fa-f]{1,6});"), 1)
-    code = lambda n: F.when(n.startswith("x"), F.conv(F.substr(n, F.lit(2)), 16, 10)).otherwise(n).try_cast("int")
-    # char() knows one byte only; the four bytes of UTF-32 name any character
-    shown = F.transform(numbers, lambda n: F.decode(F.unhex(F.lpad(F.hex(code(n)), 8, "0")), "UTF-32"))
-    gaps = F.split(text, r"&#x?[0-9A-Fa-f]{1,6};", -1)
+    """References as ``html.unescape`` reads them: names, the longest of those without semicolon, and numbers."""
+
+    def number(body: Column) -> Column:
+        digits = F.regexp_replace(body, "^#[xX]?0*|;$", "")
+        value = F.when(body.rlike("^#[xX]"), F.conv(digits, 16, 10)).otherwise(digits)
+        # as many digits as this name no character; none are a zero
+        code = F.when(F.length(digits) > 7, F.lit(0x110000)).when(digits == "", F.lit(0)).otherwise(value.try_cast("int"))
+        missing = (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
+        none = code.between(0xFDD0, 0xFDEF) | (F.pmod(code, F.lit(0x10000)) >= 0xFFFE)
+        # char() knows one byte only; the four bytes of UTF-32 name any character
+        shown = F.when(missing, F.lit("�")).when(none, F.lit("")).otherwise(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+        return F.when(code < 160, F.coalesce(F.try_element_at(_table(_CONTROLS), code.cast("string")), shown)).otherwise(shown)
+
+    def character(body: Column) -> Column:
+        bare = F.regexp_extract(body, f"^(?:{_BARE})", 0)
+        name = F.when(bare == "", F.concat(F.lit("&"), body)).otherwise(
+            F.concat(F.try_element_at(_table({k: v for k, v in html5.items() if not k.endswith(";")}), bare), F.substr(body, F.length(bare) + 1))
+        )
+        return F.when(body.startswith("#"), number(body)).otherwise(F.coalesce(F.try_element_at(_table(REFERENCES), body), name))
+
+    shown = F.transform(F.regexp_extract_all(text, F.lit(_REFERENCE), 1), character)
+    gaps = F.split(text, _REFERENCE, -1)
     joined = F.array_join(F.transform(F.arrays_zip(gaps.alias("g"), shown.alias("s")), lambda z: F.concat(z["g"], F.coalesce(z["s"], F.lit("")))), "")
-    return F.replace(F.when(text.rlike(r"&#x?[0-9A-Fa-f]{1,6};"), joined).otherwise(text), F.lit("&amp;"), F.lit("&"))
+    return F.when(text.rlike(_REFERENCE), joined).otherwise(text)
 
 
 def markdown(column: Column | str, base: str) -> Column:
     """Markdown of a markup column; NULL stays NULL.
 
     Tables of contents, comments, scripts and styles go; other macros keep what they hold. Blocks are
-    set apart by an empty line, items of lists by a line each. References are read once, those of
-    ``REFERENCES`` and numbers; tags without a meaning go.
+    set apart by an empty line, items of lists by a line each. References are read once, all
+    names of HTML and numbers; tags without a meaning go.
     """
     text = _links(_drop(F.col(column) if isinstance(column, str) else column), base)
     text = F.regexp_replace(F.regexp_replace(text, r">\s+<", f">{_BLANK}<"), r"^\s+|\s+$", "")
