@@ -8,6 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from verdigris.llm.compression_bands import compression_bands
+from verdigris.llm.conversation_repair import repair
+from verdigris.llm.conversation_sql import SQL as REPAIR_SQL
 from verdigris.llm.html_templates import extract_main_text
 from verdigris.llm.license_scan import license_scan
 from verdigris.llm.markov_secrets import secret_report
@@ -70,6 +72,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(documents(spark, sf_dir)).drop("kept_text")
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -83,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_winnowing,
         op9_license_scan,
         op10_suffix_dedup,
+        op13_conversation_repair,
     )
 }
 
@@ -165,4 +172,5 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(js), 0) AS
     sha256(coalesce(body, '')) AS kept_sha256
 FROM d LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)
 """,
+    "op13_conversation_repair": REPAIR_SQL,
 }
