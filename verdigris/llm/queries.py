@@ -7,6 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from verdigris.llm.collocations import SQL as COLLOCATION_SQL
+from verdigris.llm.collocations import collocations
 from verdigris.llm.compression_bands import compression_bands
 from verdigris.llm.conversation_repair import repair
 from verdigris.llm.conversation_sql import SQL as REPAIR_SQL
@@ -72,6 +74,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(documents(spark, sf_dir)).drop("kept_text")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(documents(spark, sf_dir))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
@@ -89,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_winnowing,
         op9_license_scan,
         op10_suffix_dedup,
+        op11_collocations,
         op13_conversation_repair,
     )
 }
@@ -172,5 +179,6 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(js), 0) AS
     sha256(coalesce(body, '')) AS kept_sha256
 FROM d LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)
 """,
+    "op11_collocations": COLLOCATION_SQL,
     "op13_conversation_repair": REPAIR_SQL,
 }
