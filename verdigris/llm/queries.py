@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from verdigris.llm.collocations import SQL as COLLOCATION_SQL
 from verdigris.llm.collocations import collocations
+from verdigris.llm.column_bwt import SQL as REPEATED_BYTES_SQL
+from verdigris.llm.column_bwt import remove_repeated_bytes
 from verdigris.llm.compression_bands import compression_bands
 from verdigris.llm.conversation_repair import repair
 from verdigris.llm.conversation_sql import SQL as REPAIR_SQL
@@ -78,6 +80,10 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(documents(spark, sf_dir))
 
 
+def op12_column_bwt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_bytes(documents(spark, sf_dir)).drop("kept")
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
@@ -96,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_license_scan,
         op10_suffix_dedup,
         op11_collocations,
+        op12_column_bwt,
         op13_conversation_repair,
     )
 }
@@ -180,5 +187,6 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(js), 0) AS
 FROM d LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)
 """,
     "op11_collocations": COLLOCATION_SQL,
+    "op12_column_bwt": REPEATED_BYTES_SQL,
     "op13_conversation_repair": REPAIR_SQL,
 }
