@@ -27,7 +27,7 @@ SCALE = 2_000_000
 SHARE = 80
 REPORTED = 2000
 #: Bytes of text that a task looks at together, but for longer texts.
-PART_BYTES = 6_000_000
+PART_BYTES = 2_000_000
 #: Suffixes in one task's sort, about.
 TASK_SUFFIXES = 1_000_000
 #: Leading words whose suffixes are split over tasks, at most: the most frequent ones, 16 bytes each.
