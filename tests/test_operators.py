@@ -8,8 +8,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from verdigris.operators import aggregates, allocation, billing, dedup, history, inflation, joins, matching, ordering
-from verdigris.operators import quality, reshape, scoring, series
-from verdigris.operators.graph import reachable
+from verdigris.operators import graph, quality, reshape, scoring, series
 
 
 @pytest.fixture(scope="module")
@@ -20,26 +19,81 @@ def hot(spark):
     return spark.createDataFrame(data, "k int, id int, v double")
 
 
-def test_lookup_is_the_same_with_and_without_salt(spark, hot):
-    dim = spark.createDataFrame([(k, f"n{k}") for k in range(0, 40, 2)] + [(1, "one")], "k int, name string")
-    plain = hot.join(dim, "k", "left").select("k", "id", "v", "name")
+@pytest.fixture
+def shuffled(spark):
+    """Joins by exchange, as for sides that are too large to be sent."""
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        salted = joins.lookup(hot, dim, "k")
-        assert "__salt" in salted._jdf.queryExecution().optimizedPlan().toString()
-        assert sorted(rows(salted.select("k", "id", "v", "name"))) == sorted(rows(plain))
-        inner = joins.lookup(hot, dim, "k", how="inner")
-        assert inner.count() == plain.filter("name is not null").count()
-        with_null = spark.createDataFrame([(None, 1), (2, 2)], "k int, x int")
-        names = spark.createDataFrame([(None, "none"), (2, "two")], "k int, name string")
-        assert joins.lookup(with_null, names, "k", null_safe=True).filter("name = 'none'").count() == 1
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_keys_are_counted_and_only_those(spark, hot):
+    found = joins.hot_keys(hot, "k", share=0.1)
+    key = hot.filter("k = 1").select(F.xxhash64("k")).first()[0]
+    assert set(found) == {key} and found[key] == 4
+    assert joins.hot_keys(hot.filter("k <> 1"), "k", share=0.1) == {}
+    assert joins.hot_keys(hot.limit(0), "k") == {}
+    nulls = spark.createDataFrame([(None,)] * 50 + [(1,)], "k int")
+    assert len(joins.hot_keys(nulls, "k")) == 1
+    # more keys than a sketch keeps, in many parts
+    wide = spark.range(0, 400_000, 1, 7).select(F.when(F.col("id") % 20 == 0, -1).otherwise(F.col("id")).alias("k"))
+    assert list(joins.hot_keys(wide, "k", share=0.04)) == [wide.filter("k = -1").select(F.xxhash64("k")).first()[0]]
+
+
+def test_lookup_is_the_same_with_and_without_hot_keys(spark, hot, shuffled):
+    dim = spark.createDataFrame([(k, f"n{k}") for k in range(0, 40, 2)] + [(1, "one"), (1, "uno")], "k int, name string")
+    plain = hot.join(dim, "k", "left").select("k", "id", "v", "name")
+    found = joins.hot_keys(hot, "k", share=0.1)
+    cold = joins.lookup(hot, dim, "k")
+    assert "Generate" not in _plan(cold) and "__salt" not in _plan(cold)
+    salted = joins.lookup(hot, dim, "k", hot=found)
+    assert "Generate" in _plan(salted)
+    for joined in (cold, salted):
+        assert joined.columns == ["k", "id", "v", "name"]
+        assert sorted(map(str, rows(joined))) == sorted(map(str, rows(plain)))
+    # rows of the hot key, and copies of its partners, are dealt to four sub-keys
+    dealt, _ = joins._dealt(hot, ["k"], found)
+    spread = {r["k"]: r["n"] for r in dealt.groupBy("k").agg(F.count_distinct("__salt").alias("n")).collect()}
+    assert spread.pop(1) == 4 and set(spread.values()) == {1}
+    inner = joins.lookup(hot, dim, "k", how="inner", hot=found)
+    assert inner.count() == plain.filter("name is not null").count()
+    with_null = spark.createDataFrame([(None, 1), (2, 2)], "k int, x int")
+    names = spark.createDataFrame([(None, "none"), (2, "two")], "k int, name string")
+    assert joins.lookup(with_null, names, "k", null_safe=True, hot={5: 3}).filter("name = 'none'").count() == 1
     with pytest.raises(ValueError):
         joins.lookup(hot, dim, "k", how="full")
 
 
+def test_hot_key_in_facts_of_key_columns_only(spark, hot, shuffled, monkeypatch):
+    monkeypatch.setattr(joins, "_TOGETHER", 100)
+    facts = hot.select("k").unionByName(spark.createDataFrame([(None,)] * 3, "k int"))
+    dim = spark.createDataFrame([(1, "one"), (2, "two"), (2, "deux")], "k int, name string")
+    found = joins.hot_keys(facts, "k", share=0.1)
+    joined = joins.lookup(facts, dim, "k", hot=found)
+    assert joined.columns == ["k", "name"]
+    assert sorted(map(str, rows(joined))) == sorted(map(str, rows(facts.join(dim, "k", "left"))))
+    pieces, together = joins._dealt(facts, ["k"], found)
+    assert together and pieces.filter("k = 1").select("__salt").distinct().count() == 4
+    assert pieces.agg(F.max("__rows")).first()[0] <= 100
+    kept = joins.exclude(facts, dim, "k", hot=found)
+    assert sorted(map(str, rows(kept))) == sorted(map(str, rows(facts.join(dim, "k", "left_anti"))))
+
+
+def test_exclude_with_hot_keys(spark, hot, shuffled):
+    listed = spark.createDataFrame([(1,), (1,), (4,), (None,)], "k int")
+    found = joins.hot_keys(hot, "k", share=0.1)
+    with_null = hot.unionByName(spark.createDataFrame([(None, -1, 0.5)], "k int, id int, v double"))
+    want = sorted(rows(with_null.join(listed.distinct(), "k", "left_anti"), "id"), key=lambda r: r[1])
+    for hot_found in (None, found):
+        got = joins.exclude(with_null, listed, "k", hot=hot_found)
+        assert got.columns == ["k", "id", "v"] and sorted(rows(got), key=lambda r: r[1]) == want
+
+
 def test_share_of_total(spark, hot):
     grouped = hot.withColumn("g", F.when(F.col("k") > 20, F.col("k") % 3)).groupBy("g", "k").agg(F.sum("v").alias("v"))
     shares = aggregates.share_of_total(grouped, ["g"], {"s": "v"})
@@ -142,12 +196,48 @@ def test_track_changes(spark):
     assert sorted(map(tuple, again.collect()), key=str) == sorted(map(tuple, h.collect()), key=str)
 
 
-def test_reachable(spark):
-    edges = [(f"n{i}", f"n{i + 1}") for i in range(6)] + [("n6", "n0"), ("hub", "n0"), ("x", "y")]
-    edges += [("n2", f"leaf{i}") for i in range(200)]
-    got = reachable(spark.createDataFrame([("n0",)], "url string"), spark.createDataFrame(edges, "src string, dst string"))
-    assert {r[0] for r in got.collect()} == {f"n{i}" for i in range(7)} | {f"leaf{i}" for i in range(200)}
-    assert got.count() == 207
+@pytest.mark.parametrize("young,additions", [(6, 8), (2, 2), (1, 1)])
+def test_reachable(spark, monkeypatch, young, additions):
+    monkeypatch.setattr(graph, "YOUNG_ROUNDS", young)
+    monkeypatch.setattr(graph, "ADDITIONS", additions)
+    r = random.Random(young)
+    edges = [(f"n{i}", f"n{i + 1}") for i in range(9)] + [("n9", "n0"), ("hub", "n0"), ("x", "y"), ("n3", None), (None, "n1"), ("n4", "n4")]
+    edges += [("n2", f"leaf{i}") for i in range(200)] + [(f"leaf{r.randrange(200)}", f"m{r.randrange(60)}") for _ in range(80)]
+    edges += [(f"m{r.randrange(60)}", f"k{r.randrange(90)}") for _ in range(60)] + [("n2", "n3")] * 3
+    want, todo = {"n0", "alone"}, ["n0"]
+    while todo:
+        at = todo.pop()
+        for src, dst in edges:
+            if src == at and dst is not None and dst not in want:
+                want.add(dst)
+                todo.append(dst)
+    seeds = spark.createDataFrame([("n0",), ("n0",), ("alone",), (None,)], "url string")
+    got = [x[0] for x in graph.reachable(seeds, spark.createDataFrame(edges, "src string, dst string")).collect()]
+    assert len(got) == len(want) and set(got) == want
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith(("seen_", "edges_"))]
+
+
+def test_reachable_without_seeds_or_edges(spark):
+    none, edges = spark.createDataFrame([], "url string"), spark.createDataFrame([("a", "b")], "src string, dst string")
+    assert graph.reachable(none, edges).collect() == []
+    assert rows(graph.reachable(spark.createDataFrame([("q",)], "url string"), edges.limit(0))) == [("q",)]
+
+
+def test_nodes_seen_are_never_moved_again(spark, shuffled):
+    seen = graph.Buckets(spark, ["node"], "seen", 4)
+    for at in range(3):
+        seen.add(spark.range(at * 100, at * 100 + 100).select(F.col("id").alias("node")))
+    found = spark.range(250, 400).select(F.col("id").alias("node")).distinct()
+    for _ in range(2):
+        fresh = found.join(seen.table(), "node", "left_anti")
+        assert sorted(x[0] for x in fresh.collect()) == list(range(300, 400))
+        # one exchange, that of the nodes found
+        initial = found.join(seen.table(), "node", "left_anti")
+        assert _plan(initial).count("Exchange") == 1 and "Bucketed: true" in _plan(initial)
+        seen.compact()
+    assert "Exchange" not in _plan(seen.table().distinct())
+    assert len(seen.table().inputFiles()) == 4 and seen.additions == 1
+    seen.remove()
 
 
 def test_calibration(spark):

@@ -113,7 +113,7 @@ def resolve_against(base: Column, link: Column) -> Column:
     query = F.when((target == "") & (tail == ""), base["query"]).otherwise(tail)
     absolute = (
         F.when((own_scheme != "") & ~own_scheme.isin("http", "https"), link)
-        .when((own_scheme != "") & (own_scheme != base["scheme"]), link)
+        .when((own_scheme != "") & (own_scheme != base["scheme"]), _with_scheme(base["scheme"], link))
         .when(link.rlike(_AFTER_SCHEME + "//"), _with_scheme(base["scheme"], link))
         .otherwise(F.concat(base["scheme"], F.lit("://"), base["host"], merged, query))
     )

@@ -25,7 +25,7 @@ def with_totals(df: DataFrame, within: Sequence[str], measures: Mapping[str, str
         held = df.withColumn("__t", packed)
         return held.select("*", *[F.col("__t")[name].alias(name) for name in measures]).drop("__t")
     totals = same_columns(df, lambda rows, pin: rows.groupBy(*within).agg(*sums, pin))
-    return lookup(df, totals, within, null_safe=True, derived=True)
+    return lookup(df, totals, within, null_safe=True)
 
 
 def same_columns(df: DataFrame, summarise: Callable[[DataFrame, Column], DataFrame]) -> DataFrame:
@@ -100,7 +100,7 @@ def exact_median(df: DataFrame, group: str, value: str) -> DataFrame:
     counted = df.filter(F.col(value).isNotNull()).groupBy(group, value).agg(F.count("*").alias("__n"))
     ranked = prefix_sums(counted, [group, value], "__n", "__before")
     spans = ranked.groupBy(group).agg(F.min("__before").alias("__first"), F.sum("__n").alias("__size"))
-    placed = lookup(ranked, spans, group, how="inner", null_safe=True, derived=True)
+    placed = lookup(ranked, spans, group, how="inner", null_safe=True)
     start = F.col("__before") - F.col("__first")
     low, high = F.floor((F.col("__size") - 1) / 2), F.floor(F.col("__size") / 2)
     covers_low = (start <= low) & (low < start + F.col("__n"))

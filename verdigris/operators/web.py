@@ -132,7 +132,7 @@ def unique_links(references: DataFrame) -> DataFrame:
 def attach_validation(references: DataFrame, validated: DataFrame) -> DataFrame:
     """Each reference with the result found for its link."""
     checked = validated.select("link_url", "health", "status_code", "final_url", "error")
-    return lookup(references, checked, "link_url", derived=True)
+    return lookup(references, checked, "link_url")
 
 
 def page_table(pages: DataFrame, url: str, html: str, status: str, references: DataFrame | None = None) -> DataFrame:
@@ -154,7 +154,7 @@ def page_table(pages: DataFrame, url: str, html: str, status: str, references: D
     if references is None:
         return described
     counts = references.groupBy(F.col("source_page_url").alias("page_url")).agg(F.count("*").alias("link_count"))
-    return lookup(described, counts, "page_url", derived=True).withColumn("link_count", F.coalesce("link_count", F.lit(0)))
+    return lookup(described, counts, "page_url").withColumn("link_count", F.coalesce("link_count", F.lit(0)))
 
 
 def page_summary(pages: DataFrame) -> DataFrame:
@@ -187,9 +187,5 @@ def category_counts(pages: DataFrame, n: int = 20) -> DataFrame:
 
 def crawl_edges(references: DataFrame, base_host: Column | str, sections: Iterable[str] = SECTION_ROOTS) -> DataFrame:
     """Canonical edges whose target belongs to the crawl."""
-    target = urls.canonical("link_url")
-    return (
-        references.select(urls.canonical("source_page_url").alias("src"), target.alias("dst"))
-        .filter(urls.should_crawl("dst", base_host, sections))
-        .distinct()
-    )
+    inside = references.filter(urls.should_crawl("link_url", base_host, sections))
+    return inside.select(urls.canonical("source_page_url").alias("src"), urls.canonical("link_url").alias("dst")).distinct()

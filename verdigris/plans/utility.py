@@ -64,7 +64,7 @@ def usage_and_cost(usage: DataFrame, collectors: DataFrame, months: DataFrame, a
     costs = same_columns(
         summed, lambda rows, pin: rows.groupBy(*GRAIN).agg(F.max("utility_cost").alias("__cost"), pin)
     ).select(*keys, "__cost", F.lit(True).alias("__found"))
-    joined = lookup(summed.filter(F.col("__metered") > 0), costs, keys, derived=True)
+    joined = lookup(summed.filter(F.col("__metered") > 0), costs, keys)
     # every row finds at least itself; naming its own cost keeps both sides alike
     cost = F.when(F.col("__found"), F.col("__cost")).otherwise(F.col("utility_cost"))
     return joined.withColumn("utility_cost", cost).drop("__metered", "__cost", "__found")
@@ -130,7 +130,7 @@ def year_summary(history: DataFrame, group: str = "main") -> DataFrame:
         F.sum("utility_usage").alias("total_usage"),
         F.sum("utility_mmbtu").alias("total_mmbtu"),
     )
-    return lookup(totals, areas, ["fiscal_year", "category"], derived=True)
+    return lookup(totals, areas, ["fiscal_year", "category"])
 
 
 def intensity(summary: DataFrame) -> DataFrame:

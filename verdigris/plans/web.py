@@ -37,7 +37,17 @@ def pages(landed: DataFrame, refs: DataFrame | None = None) -> DataFrame:
     return web.page_table(landed, "page_url", "html", "http_status", refs)
 
 
-def crawled(seeds: DataFrame, refs: DataFrame, base_host: Column | str, sections: Iterable[str] = SECTION_ROOTS) -> DataFrame:
-    """Pages a crawl from the seeds reaches within the owned sections."""
-    start = seeds.select(urls.canonical("url").alias("url")).filter(urls.should_crawl("url", base_host, sections))
+def crawled(
+    seeds: DataFrame,
+    refs: DataFrame,
+    base_host: Column | str,
+    sections: Iterable[str] = SECTION_ROOTS,
+    seed_host: Column | str | None = None,
+) -> DataFrame:
+    """Pages a crawl from the seeds reaches within the owned sections.
+
+    ``base_host`` is a name or an expression over references, then ``seed_host`` is the one over seeds.
+    """
+    home = base_host if seed_host is None else seed_host
+    start = seeds.filter(urls.should_crawl("url", home, sections)).select(urls.canonical("url").alias("url"))
     return reachable(start, web.crawl_edges(refs, base_host, sections))

@@ -72,3 +72,12 @@ def durable(df: DataFrame) -> DataFrame:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder for a table or a streaming checkpoint."""
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder that :func:`scratch_path` named, once nothing reads it any more."""
+    root = shared_folder(spark).rstrip("/")
+    if not path.startswith(root + "/"):
+        raise ValueError(f"{path} is not below {root}")
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

@@ -181,7 +181,15 @@ def _(t):
     return reachable(seeds, t("supply_edges"))
 
 
-@query("reachable_pages")
+_CANONICAL = "regexp_replace(regexp_replace({0}, '[?#].*$', ''), '/+$', '')"
+
+
+@query(
+    "reachable_pages",
+    f"""WITH RECURSIVE seen(url) AS (SELECT {_CANONICAL.format("page_url")} FROM {{landed_pages}}
+         UNION SELECT {_CANONICAL.format("link_url")} FROM {{all_link_refs}} JOIN seen ON {_CANONICAL.format("source_page_url")} = url)
+       SELECT url FROM seen""",
+)
 def _(t):
     landed = t("landed_pages")
     refs = plans.link_refs(landed, sections=None)
@@ -189,6 +197,69 @@ def _(t):
     return reachable(landed.select(urls.canonical("page_url").alias("url")), edges)
 
 
+# pages of a host in a row, so that a crawl has depth
+INPUTS["site_refs"] = """
+    SELECT page_url AS source_page_url, link_url FROM (
+        SELECT page_url, lead(page_url) OVER (PARTITION BY host ORDER BY page_id) AS link_url FROM {hosted_pages}
+        UNION ALL SELECT page_url, lead(page_url, 3) OVER (PARTITION BY host ORDER BY page_id) FROM {hosted_pages}
+        UNION ALL SELECT page_url, first_value(page_url) OVER (PARTITION BY host ORDER BY page_id) || '.pdf' FROM {hosted_pages}
+    ) WHERE link_url IS NOT NULL
+"""
+INPUTS["hosted_pages"] = """
+    SELECT page_id, url AS page_url, split_part(url, '/', 3) AS host, split_part(url, '/', 4) AS section FROM {pages}
+"""
+# a crawl starts at the first page of each section of a host
+INPUTS["section_seeds"] = "SELECT host, section, min(page_url) AS url FROM {hosted_pages} GROUP BY host, section"
+_INNER = "regexp_extract({0}, '^[a-z]+://[^/?#]*/([^/?#]*)', 1) IN ('en', 'de')"
+
+
+@query(
+    "crawled_pages",
+    f"""WITH RECURSIVE edges AS (
+            SELECT DISTINCT {_CANONICAL.format("source_page_url")} AS src, {_CANONICAL.format("link_url")} AS dst FROM {{site_refs}}
+            WHERE {_HOST.format("source_page_url")} = {_HOST.format("link_url")} AND {_INNER.format("link_url")}
+              AND NOT regexp_matches({_CANONICAL.format("link_url")}, '[.]pdf$')),
+         seen(url) AS (SELECT {_CANONICAL.format("url")} FROM {{section_seeds}} WHERE {_INNER.format("url")}
+                       UNION SELECT dst FROM edges JOIN seen ON src = url)
+       SELECT url FROM seen""",
+)
+def _(t):
+    return plans.crawled(t("section_seeds"), t("site_refs"), urls.host("source_page_url"), sections=["en", "de"], seed_host=urls.host("url"))
+
+
+# every kind of address, with what it comes to for a page of a scheme, host and path
+_LINK_KINDS = [
+    ("HTTP://H.org/Z/", "'http://H.org/Z'"),
+    ("//cdn.example.org/a/b?x=1#y", "scheme || '://cdn.example.org/a/b?x=1'"),
+    ("../up/a/", "site || parent || 'up/a'"),
+    ("./b#c", "site || folder || 'b'"),
+    ("?q=1", "site || path || '?q=1'"),
+    ("#top", None),
+    ("", None),
+    ("mailto:A@b.C", "'mailto:A@b.C'"),
+    ("sub/p.html", "site || folder || 'sub/p.html'"),
+    ("/x/./y/../z/", "site || '/x/z'"),
+    ("../../../far", "site || '/far'"),
+    ("ftp://F.org/a/#b", "'ftp://F.org/a/#b'"),
+    (" https://s.org/q?a=/ ", "'https://s.org/q?a='"),
+]
+INPUTS["link_kinds"] = " UNION ALL ".join(f"SELECT {i} AS kind, '{href}' AS href" for i, (href, _) in enumerate(_LINK_KINDS))
+_EXPECTED = " ".join(f"WHEN {i} THEN {text or 'CAST(NULL AS VARCHAR)'}" for i, (_, text) in enumerate(_LINK_KINDS))
+
+
+@query(
+    "resolved_links",
+    f"""SELECT page_url, href, CASE kind {_EXPECTED} END AS link_url
+        FROM (SELECT *, regexp_replace(path, '[^/]*$', '') AS folder,
+                     regexp_replace(regexp_replace(path, '[^/]*$', ''), '[^/]+/$', '') AS parent
+              FROM (SELECT page_url, regexp_extract(page_url, '^([a-z]+)', 1) AS scheme,
+                           regexp_extract(page_url, '^([a-z]+://[^/?#]*)', 1) AS site, {_PATH} AS path FROM {{landed_pages}})), {{link_kinds}}""",
+)
+def _(t):
+    linked = t("landed_pages").select("page_url").join(F.broadcast(t("link_kinds")))
+    return linked.select("page_url", "href", urls.resolve("page_url", "href").alias("link_url"))
+
+
 @query("page_markdown")
 def _(t):
     return t("pages").select("page_id", markdown("html", "https://wiki.example.org").alias("markdown"))
