@@ -88,23 +88,24 @@ def test_long_text_and_empty_table(spark):
 def test_transform_equals_sorted_suffixes(n, longest, letters):
     r = random.Random(n)
     strings = [bytes(r.choices(range(97, 97 + letters), k=r.randint(0, longest))) for _ in range(n)]
-    made = column_bwt.Transform(strings)
+    made = column_bwt.Transform([np.frombuffer(s, dtype=np.uint8) for s in strings])
     want = sorted((s[i:], k) for k, s in enumerate(strings) for i in range(len(s) + 1))
-    lengths = [divmod(int(x), n) for x in made.suffix]
-    assert [(strings[k][len(strings[k]) - size :], k) for size, k in lengths] == want
+    found = {int(p): (strings[k][len(strings[k]) - size :], int(k)) for size, owner, place in made.places() for k, p in zip(owner, place)}
+    assert [found[p] for p in range(len(want))] == want
 
     def shared(a, b):
         return next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
 
     assert made.common.tolist() == [0] + [shared(a[0], b[0]) for a, b in zip(want, want[1:])]
-    assert made.symbols.tolist() == [strings[k][len(strings[k]) - size - 1] + 1 if size < len(strings[k]) else 0 for size, k in lengths]
+    assert made.symbols.tolist() == [strings[k][len(strings[k]) - len(s) - 1] if len(s) < len(strings[k]) else 0 for s, k in want]
 
 
 def test_masks_name_later_windows():
     r = random.Random(5)
     base = bytes(r.choices(range(97, 105), k=160))
-    strings = [base[:130], base[20:160], b"x" * 163, base[:130]]
-    masks = column_bwt.repeated_windows(strings, np.array([2, 1, 3, 2]), np.array([0, 50, 9, 0]))
+    strings = [base[:130], base[20:160], b"x" * 163, base[:130], base[:60] + b"zz" + base[62:130]]
+    # the anchor stands at 60 of the text, in the last one it is another one
+    masks = column_bwt.repeated_windows(strings, np.array([60, 40, 63, 60, 60]), np.array([2, 1, 3, 2, 0]), np.array([0, 50, 9, 0, 0]), np.array([0, 0, 1, 0, 1]))
     # the second stands first: windows 20 to 30 of the first and the fourth are in it
     assert masks.tolist()[0] == sum(1 << k for k in range(20, 31)) and masks[1] == 0
-    assert masks[2] == (1 << 64) - 2 and masks[3] == masks[0]
+    assert masks[2] == (1 << 64) - 2 and masks[3] == masks[0] and masks[4] == 0

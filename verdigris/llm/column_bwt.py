@@ -9,7 +9,7 @@ the stretches of them that can hold a repeat.
 These are found by anchors: of the ANCHOR-byte strings in a window of WINDOW bytes, that with the smallest hash. Equal
 windows have equal anchors. Consecutive windows with one anchor make a stretch of 100 to 163 bytes; stretches whose anchor
 no other has are unique, and the others meet in a task by anchor. The transform of such a task's stretches has equal windows
-side by side, with a common prefix of WINDOW bytes or more.
+side by side, with a common prefix of a window or more.
 """
 
 from __future__ import annotations
@@ -30,11 +30,11 @@ ANCHOR = 37
 #: Windows in one stretch at most: places of an anchor in a window, one bit of a mask each.
 PLACES = WINDOW - ANCHOR + 1
 #: Bytes of text hashed together; a longer text is looked at in parts that overlap.
-PART_BYTES = 1 << 20
+PART_BYTES = 1 << 18
 #: Stretches in one transform, about.
 TOGETHER = 1500
 #: Different stretches of one anchor at most; those of a more frequent one are taken window by window.
-MOST_STRETCHES = 4096
+MOST_STRETCHES = 16384
 
 _LOW = np.uint64(PLACES - 1)
 _VALUES = constants(256, 21)
@@ -52,7 +52,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 class Stretches:
-    """The stretches of some texts: text, first window, number of windows, anchor, hash of the bytes, whether an anchor is there twice."""
+    """The stretches of some texts: text, first window, number of windows, anchor and its offset, hash of the bytes, whether an anchor is there twice."""
 
     up = down = np.empty(0, dtype=np.uint64)
 
@@ -63,34 +63,38 @@ class Stretches:
             Stretches.up, Stretches.down = _powers(_BASE, size + 1), _powers(pow(_BASE, -1, 1 << 64), size + 1)
         self.data = data
         self.total = np.zeros(size + 1, dtype=np.uint64)
-        np.cumsum(_VALUES[data] * self.up[:size], out=self.total[1:])
-        lengths = np.array([len(p) for _, _, p in parts])
-        starts = np.cumsum(lengths) - lengths
-        windows = np.maximum(lengths - WINDOW + 1, 0)
-        part = np.repeat(np.arange(len(parts)), windows)
-        at = np.arange(len(part)) - np.repeat(np.cumsum(windows) - windows, windows) + starts[part]
-        if not len(at):
-            self.text = self.start = self.first = self.windows = np.empty(0, dtype=np.int64)
-            self.anchor = self.sum = np.empty(0, dtype=np.uint64)
-            self.twice = np.empty(0, dtype=bool)
-            return
-        hashes = self._hash(np.arange(size - ANCHOR + 1), ANCHOR) & ~_LOW
+        values = _VALUES[data]
+        values *= self.up[:size]
+        np.cumsum(values, out=self.total[1:])
+        hashes = self.total[ANCHOR:] - self.total[:-ANCHOR]
+        hashes *= self.down[: len(hashes)]
+        hashes = mix(hashes)
+        hashes &= ~_LOW
         place = np.arange(len(hashes), dtype=np.uint64) & _LOW
-        least = self._least(hashes | place)[at]
+        least = self._least(hashes | place)
         # another order of places: where it finds another one, the least hash is there twice
-        other = _LOW - (self._least(hashes | (_LOW - place))[at] & _LOW)
-        chosen = at + ((least.view(np.int64) - at) & (PLACES - 1))
-        new = np.ones(len(at), dtype=bool)
-        new[1:] = (chosen[1:] != chosen[:-1]) | (at[1:] != at[:-1] + 1)
+        other = self._least(hashes | (_LOW - place))
+        found = (least & _LOW).astype(np.uint8)
+        twice = found != (_LOW - (other & _LOW)).astype(np.uint8)
+        # the anchor's place in each window
+        offset = (found - place[: len(least)].astype(np.uint8)) & np.uint8(PLACES - 1)
+        lengths = np.array([len(p) for _, _, p in parts])
+        ends = np.cumsum(lengths)
+        inside = np.ones(len(least), dtype=bool)
+        for end in ends[:-1].tolist():
+            inside[max(0, end - WINDOW + 1) : end] = False
+        new = np.ones(len(least), dtype=bool)
+        new[1:] = (offset[1:] + np.uint8(1) != offset[:-1]) | (inside[1:] != inside[:-1])
         runs = np.flatnonzero(new)
-        self.first = at[runs]
-        self.windows = np.diff(np.append(runs, len(at)))
-        self.twice = np.logical_or.reduceat((least & _LOW) != other, runs)
-        self.anchor = least[runs] >> np.uint64(6)
+        windows = np.diff(np.append(runs, len(least)))
+        twice = np.logical_or.reduceat(twice, runs)
+        on = inside[runs]
+        self.first, self.windows, self.twice = runs[on], windows[on], twice[on]
+        self.anchor, self.offset = least[self.first] >> np.uint64(6), offset[self.first]
         self.sum = self._hash(self.first, self.windows + WINDOW - 1)
-        part = part[runs]
+        part = np.searchsorted(ends, self.first, side="right")
         self.text = np.array([t for t, _, _ in parts])[part]
-        self.start = self.first - starts[part] + np.array([o for _, o, _ in parts])[part]
+        self.start = self.first - (ends - lengths)[part] + np.array([o for _, o, _ in parts])[part]
 
     def _hash(self, first: np.ndarray, size: np.ndarray | int) -> np.ndarray:
         return mix((self.total[first + size] - self.total[first]) * self.down[first] + np.asarray(size).astype(np.uint64) * np.uint64(_BASE))
@@ -225,7 +229,7 @@ def _marks(firsts: DataFrame) -> DataFrame:
     return firsts.select("anchor", "sum", "id", "start").mapInArrow(run, "p long")
 
 
-STRETCHES = "anchor long, sum long, id long, start long, body binary"
+STRETCHES = "anchor long, sum long, id long, start long, offset int, twice boolean, body binary"
 
 
 def _bodies(source: DataFrame, test: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
@@ -239,8 +243,8 @@ def _bodies(source: DataFrame, test: Callable[[np.ndarray], np.ndarray]) -> Data
                 on = np.flatnonzero(test(_mark(made.anchor, made.sum, ids[made.text], made.start)))
                 bodies = pa.array([made.bytes(i) for i in on], pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(made.anchor[on].view(np.int64)), pa.array(made.sum[on].view(np.int64)), pa.array(ids[made.text[on]]), pa.array(made.start[on]), bodies],
-                    names=["anchor", "sum", "id", "start", "body"],
+                    [pa.array(made.anchor[on].view(np.int64)), pa.array(made.sum[on].view(np.int64)), pa.array(ids[made.text[on]]), pa.array(made.start[on]), pa.array(made.offset[on].astype(np.int32)), pa.array(made.twice[on]), bodies],
+                    names=["anchor", "sum", "id", "start", "offset", "twice", "body"],
                 )
 
     return source.mapInArrow(run, STRETCHES)
@@ -249,94 +253,143 @@ def _bodies(source: DataFrame, test: Callable[[np.ndarray], np.ndarray]) -> Data
 class Transform:
     """Burrows-Wheeler transform and common prefixes of a collection, made column by column.
 
-    ``symbols``: the byte before each suffix, plus 1; 0 before a whole string. ``common``: bytes that a suffix shares with the
-    one above it. ``suffix``: its length times the number of strings, plus its string.
+    ``symbols``: the symbol before each suffix, 0 before a whole string. ``common``: symbols that a suffix shares with
+    the one above it. ``strings`` are arrays of symbols from 1 to 255, of at most 254 each.
     """
 
-    def __init__(self, strings: list[bytes]) -> None:
+    def __init__(self, strings: list[np.ndarray]) -> None:
+        self.lengths = np.array([len(s) for s in strings], dtype=np.int64)
         n = len(strings)
-        lengths = np.array([len(s) for s in strings])
-        width = int(lengths.max(initial=0))
+        width = int(self.lengths.max(initial=0))
         columns = np.zeros((width + 1, n), dtype=np.uint8)
         for i, s in enumerate(strings):
-            columns[: len(s), i] = np.frombuffer(s, dtype=np.uint8)[::-1] + 1
+            columns[: len(s), i] = s[::-1]
         self.symbols = columns[0].copy()
         self.common = np.zeros(n, dtype=np.uint8)
-        self.suffix = np.arange(n)
-        active = np.flatnonzero(lengths)
+        active = np.flatnonzero(self.lengths)
         place = active
         for size in range(1, width + 1):
-            place = self._insert(place, active, columns[size, active], n, size * n + active)
-            on = lengths[active] > size
+            place = self._insert(place, columns[size, active], n)
+            on = self.lengths[active] > size
             place, active = place[on], active[on]
 
-    def _insert(self, place: np.ndarray, active: np.ndarray, following: np.ndarray, n: int, names: np.ndarray) -> np.ndarray:
+    def _order(self) -> tuple[np.ndarray, np.ndarray]:
+        """Places by the symbol before their suffix, and each one's rank: with the symbol in front, that is the order of the suffixes."""
+        order = np.argsort(self.symbols, kind="stable")
+        # nothing stands before whole strings, and no suffix comes of them
+        order = order[np.count_nonzero(self.symbols == 0) :]
+        rank = np.empty(len(self.symbols), dtype=np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
+        return order, rank
+
+    def _insert(self, place: np.ndarray, following: np.ndarray, n: int) -> np.ndarray:
         """Extends the suffixes at ``place`` by the symbols before them; returns the places of the new ones."""
         symbols, common = self.symbols, self.common
         size = len(symbols)
-        # nothing stands before whole strings, and no suffix comes of them
-        order = np.argsort(symbols, kind="stable")[np.count_nonzero(symbols == 0) :]
-        rank = np.empty(size, dtype=np.int64)
-        rank[order] = np.arange(len(order))
-        own = rank[place]
+        order, rank = self._order()
+        own = rank[place].astype(np.int64)
         # the n empty suffixes come first
         new = n + own
         table = [common]
-        while 2 ** len(table) <= size:
-            half = 2 ** (len(table) - 1)
-            table.append(np.minimum(table[-1][:-half], table[-1][half:]))
-        above = self._shared(table, order, own, symbols)
-        below = self._shared(table, order, own + 1, symbols)
-        kept = np.ones(size + len(active), dtype=bool)
+        above = self._shared(table, order, own)
+        below = self._shared(table, order, own + 1)
+        kept = np.ones(size + len(place), dtype=bool)
         kept[new] = False
-        out = []
-        for old, inserted in ((symbols, following), (common, above), (self.suffix, names)):
-            wide = np.empty(len(kept), dtype=old.dtype)
+        for name, old, inserted in (("symbols", symbols, following), ("common", common, above)):
+            wide = np.empty(len(kept), dtype=np.uint8)
             wide[kept] = old
             wide[new] = inserted
-            out.append(wide)
+            setattr(self, name, wide)
         # the suffix after a new one has a new neighbour
         inside = new + 1 < len(kept)
-        out[1][new[inside] + 1] = below[inside]
-        self.symbols, self.common, self.suffix = out
+        self.common[new[inside] + 1] = below[inside]
         return new
 
-    @staticmethod
-    def _shared(table: list[np.ndarray], order: np.ndarray, rank: np.ndarray, symbols: np.ndarray) -> np.ndarray:
-        """Bytes shared by the extended suffixes of these ranks with those above them."""
+    def _shared(self, table: list[np.ndarray], order: np.ndarray, rank: np.ndarray) -> np.ndarray:
+        """Symbols shared by the extended suffixes of these ranks with those above them.
+
+        ``table``: minima of the common prefixes over stretches of 1, 2, 4, ... entries, made as far as they are asked for.
+        """
         out = np.zeros(len(rank), dtype=np.uint8)
         there = np.flatnonzero((rank > 0) & (rank < len(order)))
         low, high = order[rank[there] - 1], order[rank[there]]
-        same = symbols[low] == symbols[high]
+        same = self.symbols[low] == self.symbols[high]
         there, low, high = there[same], low[same] + 1, high[same]
         level = np.frexp((high - low + 1).astype(np.float64))[1] - 1
-        for k in np.unique(level):
-            on = level == k
+        while len(table) <= level.max(initial=0):
+            half = 1 << (len(table) - 1)
+            table.append(np.minimum(table[-1][:-half], table[-1][half:]))
+        for k in np.flatnonzero(np.bincount(level)):
+            on = np.flatnonzero(level == k)
             step = table[k]
             out[there[on]] = np.minimum(step[low[on]], step[high[on] - (1 << int(k)) + 1]) + np.uint8(1)
         return out
 
+    def places(self, least: int = 0) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(size, strings, places): where the suffixes of each size from ``least`` on stand, by steps of the last-to-first mapping."""
+        n = len(self.lengths)
+        _, rank = self._order()
+        owner = np.arange(n)
+        place = owner
+        for size in range(int(self.lengths.max(initial=-1)) + 1):
+            if size:
+                on = self.lengths[owner] >= size
+                owner, place = owner[on], place[on]
+                place = n + rank[place]
+            if size >= least:
+                yield size, owner, place
+
+
+#: Stands for the anchor in the transform; UTF-8 has no byte from 0xF8 on.
+_ANCHOR_SYMBOL = 255
+#: Symbols of a window with its anchor as one.
+_SHORT = WINDOW - ANCHOR + 1
+
+
+def repeated_windows(strings: list[bytes], offsets: np.ndarray, ids: np.ndarray, starts: np.ndarray, twice: np.ndarray) -> np.ndarray:
+    """A mask for each stretch: its windows, by bit, that are also somewhere before it by (id, start) of the window.
+
+    ``offsets``: where the anchor stands in each. It is one symbol in the transform, as all windows of a stretch hold it; equal
+    windows of unlike anchors are told apart after. A window that has its least hash ``twice`` may have either place as its anchor:
+    stretches with such ones are compared as they are, too.
+    """
+    symbols = [np.frombuffer(string, dtype=np.uint8) + np.uint8(1) for string in strings]
+    number: dict[bytes, int] = {}
+    anchors = np.array([number.setdefault(string[at : at + ANCHOR], len(number)) for string, at in zip(strings, offsets.tolist())], dtype=np.int64)
+    one = np.full(1, _ANCHOR_SYMBOL, dtype=np.uint8)
+    short = [np.concatenate([x[:at], one, x[at + ANCHOR :]]) for x, at in zip(symbols, offsets.tolist())]
+    masks = _later_windows(short, _SHORT, anchors, ids, starts)
+    again = np.flatnonzero(twice)
+    if len(again):
+        masks[again] |= _later_windows([symbols[i] for i in again], WINDOW, np.zeros(len(again), dtype=np.int64), ids[again], starts[again])
+    return masks
+
 
-def repeated_windows(strings: list[bytes], ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """A mask for each string: its windows, by bit, that are also somewhere before it by (id, start) of the window."""
+def _later_windows(strings: list[np.ndarray], least_common: int, kinds: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """As ``repeated_windows``, for strings of symbols whose windows have ``least_common`` of them; of strings of one kind."""
     made = Transform(strings)
-    equal = made.common >= WINDOW
-    first = np.cumsum(~equal)
+    equal = made.common >= least_common
     grouped = equal.copy()
     grouped[:-1] |= equal[1:]
-    at = np.flatnonzero(grouped)
-    owner, length = made.suffix[at] % len(strings), made.suffix[at] // len(strings)
-    sizes = np.array([len(s) for s in strings])
-    offset = sizes[owner] - length
-    group, number, place = first[at], ids[owner], starts[owner] + offset
-    order = np.lexsort((place, number, group))
-    group, number, place = group[order], number[order], place[order]
-    least = np.ones(len(group), dtype=bool)
-    least[1:] = group[1:] != group[:-1]
-    head = np.maximum.accumulate(np.where(least, np.arange(len(group)), 0))
-    later = (number != number[head]) | (place != place[head])
+    runs = np.cumsum(~equal)
+    parts = []
+    for size, owner, place in made.places(least_common):
+        on = grouped[place]
+        owner = owner[on]
+        parts.append((owner, made.lengths[owner] - size, runs[place[on]]))
     masks = np.zeros(len(strings), dtype=np.uint64)
-    np.bitwise_or.at(masks, owner[order][later], np.uint64(1) << offset[order][later].astype(np.uint64))
+    if not parts:
+        return masks
+    owner, offset, run = (np.concatenate(x) for x in zip(*parts))
+    run = run * (int(kinds.max()) + 1) + kinds[owner]
+    document, window = ids[owner], starts[owner] + offset
+    order = np.lexsort((window, document, run))
+    owner, offset, run, document, window = (x[order] for x in (owner, offset, run, document, window))
+    least = np.ones(len(run), dtype=bool)
+    least[1:] = run[1:] != run[:-1]
+    head = np.maximum.accumulate(np.where(least, np.arange(len(run)), 0))
+    later = (document != document[head]) | (window != window[head])
+    np.bitwise_or.at(masks, owner[later], np.uint64(1) << offset[later].astype(np.uint64))
     return masks
 
 
@@ -351,7 +404,7 @@ def _masks(bodies: DataFrame, tasks: int) -> DataFrame:
             if key not in best or (row[2], row[3]) < (best[key][2], best[key][3]):
                 best[key] = row
         rows = list(best.values())
-        masks = repeated_windows([r[4] for r in rows], np.array([r[2] for r in rows]), np.array([r[3] for r in rows]))
+        masks = repeated_windows([r[6] for r in rows], *(np.array([r[k] for r in rows]) for k in (4, 2, 3, 5)))
         on = np.flatnonzero(masks)
         return pa.RecordBatch.from_arrays(
             [pa.array([rows[i][0] for i in on], pa.int64()), pa.array([rows[i][1] for i in on], pa.int64()), pa.array(masks[on].view(np.int64))], names=["anchor", "sum", "mask"]
