@@ -4,12 +4,16 @@ import json
 import os
 from datetime import datetime, timezone
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from verdigris.operators import history
 from verdigris.operators.quality import QualityError
-from verdigris.sources import files, sinks, tables
+from verdigris.sources import files, sinks, storage, tables
+from verdigris.sources.versions import Versions
 from verdigris.streaming import feeds
 
 
@@ -155,7 +159,85 @@ def test_stream_append_and_history(spark, tmp_path):
     feeds.run_once(feed().writeStream.foreachBatch(merge), str(tmp_path / "s2"))
     land("c", [("x", 5, 7)])
     feeds.run_once(feed().writeStream.foreachBatch(merge), str(tmp_path / "s2"))
-    got = rows(feeds.current_history(spark, target).select("k", "v", F.dayofmonth("valid_from"), F.dayofmonth("valid_to")), "k", "valid_from")
+    got = rows(feeds.current_history(spark, target, ["k"]).select("k", "v", F.dayofmonth("valid_from"), F.dayofmonth("valid_to")), "k", "valid_from")
     assert [g for g in got if g[0] == "x"][-1] == ("x", 7, 5, None) and len([g for g in got if g[0] == "x"]) == 2
     merge(spark.createDataFrame([("x", datetime(2024, 1, 5).date(), 7)], schema), 1)
-    assert feeds.current_history(spark, target).count() == len(got)
+    assert feeds.current_history(spark, target, ["k"]).count() == len(got)
+
+
+def test_versions_write_touched_buckets_only(spark, tmp_path):
+    target = str(tmp_path / "table")
+    schema = "k int, at int, v string"
+
+    def versions():
+        return Versions(spark, target, ["k"], buckets=8)
+
+    def load(version, data):
+        def change(before, new):
+            return history.merged_history(before, new, ["k"], "at")
+
+        versions().merge(spark.createDataFrame(data, schema), change, version)
+
+    def folders():
+        return {(n, b) for n in storage.names(spark, f"{target}/data") for b in storage.names(spark, f"{target}/data/{n}") if b.startswith("__bucket")}
+
+    assert versions().read() is None and versions().newest() is None
+    load(0, [(k, 1, "a") for k in range(40)])
+    first = folders()
+    assert len(first) == 8
+    load(1, [(3, 2, "b")])
+    assert len(folders() - first) == 1
+    old = versions().read(0).count()  # the version before is still there
+    assert old == 40 and versions().read().count() == 41
+    # a merge that is repeated gives the same, and one that failed before its manifest is not there
+    load(1, [(3, 2, "b")])
+    assert versions().read().count() == 41
+    storage.delete(spark, f"{target}/manifest/version=1/_SUCCESS")
+    assert versions().newest() == 0
+    load(1, [(3, 2, "b"), (99, 2, "new")])
+    load(2, [(3, 3, "c"), (None, 1, "null")])
+    load(3, [])
+    got = sorted(map(str, rows(versions().read().filter("k = 3 OR k IS NULL OR k = 99"))))
+    assert got == sorted(map(str, [(3, 1, "a", 1, 2), (3, 2, "b", 2, 3), (3, 3, "c", 3, None), (99, 2, "new", 2, None), (None, 1, "null", 1, None)]))
+    # what neither of the two newest versions names is gone
+    named = {(f"version={r['holder']}", f"__bucket={r['bucket']}") for n in (2, 3) for r in versions()._manifest(n)}
+    assert folders() == named and versions().complete() == [2, 3]
+    # the number of buckets stays that of the first version
+    assert Versions(spark, target, ["k"], buckets=3).buckets == 8
+
+
+def test_changed_files_are_read_again_and_no_others(spark, tmp_path):
+    landing, target = tmp_path / "in", str(tmp_path / "out")
+    landing.mkdir()
+    schema = "k int, v string"
+
+    def land(name, data, at):
+        pq.write_table(pa.table({"k": pa.array([k for k, _ in data], pa.int32()), "v": pa.array([v for _, v in data], pa.string())}), landing / name)
+        os.utime(landing / name, (at, at))
+
+    def run():
+        return sorted(path.rsplit("/", 1)[1] for path in feeds.load_changed(spark, str(landing), schema, target, pattern="*.parquet"))
+
+    def stored():
+        return sorted(tuple(r) for r in Versions(spark, f"{target}/rows", [feeds.FILE]).read().select("k", "v").collect())
+
+    assert run() == []
+    land("a.parquet", [(1, "x"), (2, "y")], 1000)
+    land("b.parquet", [(3, "z")], 1000)
+    assert run() == ["a.parquet", "b.parquet"] and stored() == [(1, "x"), (2, "y"), (3, "z")]
+    assert run() == []
+    land("a.parquet", [(2, "new")], 2000)
+    land("c c.parquet", [(4, "q"), (4, "q")], 2000)
+    assert len(run()) == 2
+    assert stored() == [(2, "new"), (3, "z"), (4, "q"), (4, "q")]
+    # an older time is a change too, and a file may lose all its rows
+    land("b.parquet", [], 500)
+    assert run() == ["b.parquet"] and stored() == [(2, "new"), (4, "q"), (4, "q")]
+    # rows that were committed without the cursor are read again, and replace themselves
+    cursor = f"{target}/cursor/manifest"
+    newest = sorted(storage.names(spark, cursor))[-1]
+    land("a.parquet", [(7, "seven")], 3000)
+    run()
+    storage.delete(spark, f"{cursor}/{sorted(storage.names(spark, cursor))[-1]}")
+    assert sorted(storage.names(spark, cursor))[-1] == newest
+    assert run() == ["a.parquet"] and stored() == [(4, "q"), (4, "q"), (7, "seven")]

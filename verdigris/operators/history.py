@@ -49,6 +49,11 @@ def track_changes(history: DataFrame, incoming: DataFrame, keys: Sequence[str],
     return closed.unionByName(rows)
 
 
+def merged_history(before: DataFrame | None, incoming: DataFrame, keys: Sequence[str], stamp: str) -> DataFrame:
+    """The history after a load; ``before`` is None for the first one."""
+    return open_history(incoming, stamp) if before is None else track_changes(before, incoming, keys, stamp)
+
+
 def refresh_by_version(
     listed: DataFrame, stored: DataFrame, key: str, version: str, stamp: str, flag: str = "refreshed"
 ) -> DataFrame:

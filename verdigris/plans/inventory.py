@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from verdigris.operators.dedup import priority_dedup
+from verdigris.operators.history import merged_history
 from verdigris.operators.joins import lookup
 from verdigris.operators.ordering import global_row_number
 from verdigris.params import SOURCE_PRIORITY, Params
 from verdigris.plans.goods import unit_areas
+from verdigris.sources.versions import Versions
 
 # fixed values: category labels
 DIRECT = "1. Direct emissions"
@@ -97,6 +99,19 @@ def inventory_of_year(full: DataFrame, year: int = Params().inventory_year) -> D
     )
 
 
+SNAPSHOT_KEYS = ("fiscal_year", "category")
+
+
+def take_snapshot(full: DataFrame, target: str, load: int) -> None:
+    """Keep the inventory's history: an entry whose stamp is newer closes the one before and opens another.
+
+    ``load`` numbers the loads; one that is repeated replaces itself. The history lies in buckets of its keys.
+    """
+    listed = full.withColumn("id", F.concat(F.col("fiscal_year").cast("string"), F.lit("-"), F.col("category")))
+    versions = Versions(full.sparkSession, target, SNAPSHOT_KEYS)
+    versions.merge(listed, lambda before, new: merged_history(before, new, SNAPSHOT_KEYS, "last_update"), load)
+
+
 def footprint_parts(
     per_head: DataFrame, energy: DataFrame, travel: DataFrame, goods: DataFrame, rollup: DataFrame
 ) -> DataFrame:

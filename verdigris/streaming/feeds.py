@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from verdigris.operators.dedup import keep_latest
-from verdigris.operators.history import open_history, track_changes
+from verdigris.operators.history import merged_history
+from verdigris.sources import storage
+from verdigris.sources.versions import BUCKETS, Versions
 
 
 def file_feed(
@@ -52,9 +54,51 @@ def scratch_label(checkpoint: str) -> str:
 
 def _read_batches(spark: SparkSession, target: str) -> DataFrame | None:
     """All batch folders below ``target``, or None before the first one."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return spark.read.parquet(target) if fs.exists(path) else None
+    return spark.read.parquet(target) if storage.exists(spark, target) else None
+
+
+FILE, MODIFIED = "source_file", "modified_at"
+
+
+def changed_files(spark: SparkSession, folder: str, cursor: Versions, pattern: str = "*") -> DataFrame:
+    """(source_file, modified_at, path) of the files of a folder that the cursor doesn't know, or knows with another time."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+    # the name as the scan of its rows tells it, and as it is asked for
+    files = listed.select(F.col("_metadata.file_path").alias(FILE), F.col("modificationTime").alias(MODIFIED), "path")
+    known = cursor.read()
+    return files if known is None else files.join(known, [FILE, MODIFIED], "left_anti")
+
+
+def load_changed(
+    spark: SparkSession, folder: str, schema: T.StructType | str, target: str, kind: str = "parquet", pattern: str = "*"
+) -> list[str]:
+    """Bring the table below ``target`` up to the folder's files; names of the files that were read.
+
+    A file source's checkpoint tells files by name alone, so a file that was written again is not read again. Here a
+    cursor keeps each file's time of change: new files are added, and rows of a changed file take the place of its
+    rows before. Nothing else is read or written but the buckets of these files. The rows are committed first and the cursor
+    after; a run that failed between the two reads the same files again and gives the same table.
+    """
+    cursor = Versions(spark, f"{target}/cursor", [FILE])
+    rows = Versions(spark, f"{target}/rows", [FILE])
+    found = [tuple(r) for r in changed_files(spark, folder, cursor, pattern).collect()]
+    if not found:
+        return []
+    paths = [path for _, _, path in found]
+    kind_of_row = spark.createDataFrame([], schema).schema
+    loaded = spark.read.format(kind).schema(kind_of_row).load(paths).select("*", F.col("_metadata.file_path").alias(FILE))
+    files = spark.createDataFrame([row[:2] for row in found], f"{FILE} string, {MODIFIED} timestamp")
+
+    def replaced(before: DataFrame | None, changed: DataFrame) -> DataFrame:
+        return loaded if before is None else before.join(changed, FILE, "left_anti").unionByName(loaded)
+
+    def moved(before: DataFrame | None, changed: DataFrame) -> DataFrame:
+        return changed if before is None else before.join(changed, FILE, "left_anti").unionByName(changed)
+
+    version = (cursor.newest() if cursor.newest() is not None else -1) + 1
+    rows.merge(files, replaced, version)
+    cursor.merge(files, moved, version)
+    return paths
 
 
 def align_feed(
@@ -92,35 +136,23 @@ def latest_updates(updates: DataFrame, keys: Sequence[str], target: str, checkpo
     return keep_latest(spark.read.parquet(target), keys, "__batch").drop("__batch", "part")
 
 
-def change_tracker(keys: Sequence[str], stamp: str, target: str) -> Callable[[DataFrame, int], None]:
+def change_tracker(keys: Sequence[str], stamp: str, target: str, buckets: int = BUCKETS) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that merges each batch into a history folder.
 
-    A batch counts as the state at its end: of several versions of a key the
-    newest is compared with the history. Each merge writes a whole new version of
-    the history from the newest earlier one, so repeating a batch gives the same.
+    A batch counts as the state at its end: of several versions of a key the newest is compared with the
+    history. The history lies in hash buckets of its keys, see :class:`~verdigris.sources.versions.Versions`: a batch writes the
+    buckets anew that it touches, and a batch that is repeated gives the same.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        incoming = keep_latest(batch, keys, stamp)
-        before = current_history(batch.sparkSession, target, before=batch_id)
-        merged = open_history(incoming, stamp) if before is None else track_changes(before, incoming, keys, stamp)
-        merged.write.mode("overwrite").parquet(f"{target}/version={batch_id}")
+        versions = Versions(batch.sparkSession, target, keys, buckets)
+        versions.merge(keep_latest(batch, keys, stamp), lambda before, new: merged_history(before, new, keys, stamp), batch_id)
 
     return merge
 
 
-def current_history(spark: SparkSession, target: str, before: int | None = None) -> DataFrame | None:
+def current_history(spark: SparkSession, target: str, keys: Sequence[str], before: int | None = None) -> DataFrame | None:
     """The newest complete version below ``target`` (older than ``before``), or None."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    root = path(target)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return None
-    found = []
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        if name.startswith("version=") and fs.exists(path(f"{target}/{name}/_SUCCESS")):
-            number = int(name.split("=")[1])
-            if before is None or number < before:
-                found.append(number)
-    return spark.read.parquet(f"{target}/version={max(found)}") if found else None
+    versions = Versions(spark, target, keys)
+    newest = versions.newest(before)
+    return None if newest is None else versions.read(newest)

@@ -7,7 +7,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from verdigris.params import SOURCE_PRIORITY, TRACKED_LOTS, Params
 from verdigris.plans import commuting, energy, food, parking, transit, utility
+from verdigris.plans.inventory import SNAPSHOT_KEYS, TRAVEL, take_snapshot
 from verdigris.plans.models import Warehouse
+from verdigris.session import durable, scratch_path
+from verdigris.sources.versions import Versions
 from verdigris.suite.inputs import fiscal
 from verdigris.suite.registry import STAGES, Tables, query
 
@@ -483,6 +486,30 @@ STAGES["stg_ghg_inventory"] = f"""
     GROUP BY category, fiscal_year
 """
 model("stg_ghg_inventory", "emission")
+
+
+@query(
+    "inventory_snapshot",
+    """SELECT category, fiscal_year, scope, emission / 2 AS emission, TIMESTAMP '2024-01-01' AS last_update,
+              fiscal_year || '-' || category AS id, TIMESTAMP '2024-01-01' AS valid_from,
+              CASE WHEN scope = 3 THEN TIMESTAMP '2024-02-01' END AS valid_to
+       FROM {stg_ghg_inventory} WHERE category <> '3.6 Business Travel'
+       UNION ALL
+       SELECT category, fiscal_year, scope, emission, TIMESTAMP '2024-02-01', fiscal_year || '-' || category, TIMESTAMP '2024-02-01', NULL
+       FROM {stg_ghg_inventory} WHERE scope = 3""",
+    "emission",
+)
+def _(t):
+    # two loads: the second lacks nothing, has one category more, and newer stamps in scope 3 alone
+    full = durable(warehouse(t).table("stg_ghg_inventory"))
+    early, late = (F.lit(day).cast("timestamp_ntz") for day in ("2024-01-01", "2024-02-01"))
+    folder = scratch_path(t.spark, "inventory-snapshot")
+    first = full.filter(F.col("category") != TRAVEL).withColumns({"emission": F.col("emission") / 2, "last_update": early})
+    take_snapshot(first, folder, 0)
+    take_snapshot(full.withColumn("last_update", F.when(F.col("scope") == 3, late).otherwise(early)), folder, 1)
+    return Versions(t.spark, folder, SNAPSHOT_KEYS).read()
+
+
 STAGES["final_ghg_inventory"] = "SELECT * FROM {stg_ghg_inventory} WHERE fiscal_year = 1999"
 model("final_ghg_inventory", "emission")
 STAGES["stg_dlc_footprint_capita"] = """
