@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from verdigris.functions import dates, measures, text
-from verdigris.operators import aggregates, allocation, dedup, history, inflation, joins, matching, ordering, quality
+from verdigris.operators import additive, aggregates, allocation, dedup, history, inflation, joins, matching, ordering, quality
 from verdigris.operators import reshape, scoring, series
 from verdigris.operators.billing import reconcile, split_billing
 from verdigris.plans import goods
@@ -530,10 +530,54 @@ def _(t):
     return series.weekday_trend(daily, t("holidays"), "day", "n", date(1996, 1, 1), date(2000, 12, 31))
 
 
-@query("trend_many")
+_DAILY_SPEND = "SELECT o_orderpriority, CAST(o_orderdate AS DATE) AS day, sum(o_totalprice) AS spend FROM {orders} GROUP BY ALL"
+_SPAN = (date(1995, 1, 1), date(2001, 8, 1))
+# least squares on 1, t and one hinge by Cramer's rule: the determinant of three columns of the normal equations
+_SUMS_OF = {
+    "a1 a2 a3": "a11 a12 a13 a12 a22 a23 a13 a23 a33", "y a2 a3": "y1 a12 a13 y2 a22 a23 y3 a23 a33",
+    "a1 y a3": "a11 y1 a13 a12 y2 a23 a13 y3 a33", "a1 a2 y": "a11 a12 y1 a12 a22 y2 a13 a23 y3",
+}
+
+
+def _determinant(names: str) -> str:
+    a, b, c, d, e, f, g, h, i = names.split()
+    return f"({a} * ({e} * {i} - {f} * {h}) - {b} * ({d} * {i} - {f} * {g}) + {c} * ({d} * {h} - {e} * {g}))"
+
+
+_WHOLE, *_PARTS = map(_determinant, _SUMS_OF.values())
+
+
+@query(
+    "trend_many",
+    f"""WITH d AS (SELECT *, greatest(t - 0.495, 0) AS h FROM (
+            SELECT *, date_diff('day', DATE '{_SPAN[0]}', day) / {(_SPAN[1] - _SPAN[0]).days}.0::DOUBLE AS t FROM ({_DAILY_SPEND}))),
+            s AS (SELECT o_orderpriority, count(*)::DOUBLE AS a11, sum(t) AS a12, sum(h) AS a13, sum(t * t) AS a22, sum(t * h) AS a23,
+                         sum(h * h) AS a33, sum(spend) AS y1, sum(t * spend) AS y2, sum(h * spend) AS y3 FROM d GROUP BY 1)
+       SELECT o_orderpriority, day, spend, ({_PARTS[0]} + {_PARTS[1]} * t + {_PARTS[2]} * h) / {_WHOLE} AS trend
+       FROM d JOIN s USING (o_orderpriority)""",
+    "spend trend:2",
+)
+def _(t):
+    daily = t("orders").groupBy("o_orderpriority", F.to_date("o_orderdate").alias("day")).agg(F.sum("o_totalprice").alias("spend"))
+    shape = additive.Shape(*_SPAN, changepoints=1)
+    return additive.additive_trends(daily, "o_orderpriority", "day", "spend", shape).drop("fitted")
+
+
+@query(
+    "weekly_trend",
+    f"""WITH d AS (SELECT *, isodow(day) AS w, date_diff('day', DATE '{_SPAN[0]}', day) / {(_SPAN[1] - _SPAN[0]).days}.0::DOUBLE AS t
+                   FROM ({_DAILY_SPEND})),
+            m AS (SELECT o_orderpriority, w, avg(t) AS mt, avg(spend) AS ms FROM d GROUP BY ALL),
+            s AS (SELECT o_orderpriority, sum((t - mt) * (spend - ms)) / sum((t - mt) * (t - mt)) AS slope
+                  FROM d JOIN m USING (o_orderpriority, w) GROUP BY 1),
+            l AS (SELECT o_orderpriority, avg(ms - slope * mt) AS level FROM m JOIN s USING (o_orderpriority) GROUP BY 1)
+       SELECT o_orderpriority, day, spend, level + slope * t AS trend, ms + slope * (t - mt) AS fitted
+       FROM d JOIN m USING (o_orderpriority, w) JOIN s USING (o_orderpriority) JOIN l USING (o_orderpriority)""",
+    "spend trend:1 fitted:1",
+)
 def _(t):
     daily = t("orders").groupBy("o_orderpriority", F.to_date("o_orderdate").alias("day")).agg(F.sum("o_totalprice").alias("spend"))
-    return series.hinge_trends(daily, "o_orderpriority", "day", "spend", date(1995, 1, 1), date(2001, 8, 1))
+    return additive.additive_trends(daily, "o_orderpriority", "day", "spend", additive.Shape(*_SPAN, changepoints=0, weekly=True))
 
 
 @query(
