@@ -109,3 +109,20 @@ def test_masks_name_later_windows():
     # the second stands first: windows 20 to 30 of the first and the fourth are in it
     assert masks.tolist()[0] == sum(1 << k for k in range(20, 31)) and masks[1] == 0
     assert masks[2] == (1 << 64) - 2 and masks[3] == masks[0] and masks[4] == 0
+
+
+def test_stretches_that_can_not_share_a_window_are_left_out():
+    anchor, r = b"a" * column_bwt.ANCHOR, random.Random(6)
+
+    def row(left, right, twice=False):
+        return (7, r.random(), 0, 0, len(left), twice, left + anchor + right)
+
+    def own(n):
+        return bytes(r.choices(range(98, 120), k=n))
+
+    left, right = own(32), own(32)
+    near = [row(own(8) + left, own(31)), row(own(20) + left, own(40)), row(own(31), right + own(5)), row(own(40), right)]
+    far = [row(own(63), own(63)), row(own(5) + left[1:], own(32)), row(own(31), own(32))]
+    assert column_bwt._may_share(near + far) == near
+    tied = row(own(63), own(63), True)
+    assert column_bwt._may_share([tied, *far]) == [tied]

@@ -29,6 +29,8 @@ WINDOW = 100
 ANCHOR = 37
 #: Windows in one stretch at most: places of an anchor in a window, one bit of a mask each.
 PLACES = WINDOW - ANCHOR + 1
+#: Bytes beside an anchor that a window has on one side at least.
+HALF = (WINDOW - ANCHOR + 1) // 2
 #: Bytes of text hashed together; a longer text is looked at in parts that overlap.
 PART_BYTES = 1 << 18
 #: Stretches in one transform, about.
@@ -393,6 +395,25 @@ def _later_windows(strings: list[np.ndarray], least_common: int, kinds: np.ndarr
     return masks
 
 
+def _may_share(rows: list[tuple]) -> list[tuple]:
+    """Stretches that can have a window in common with another one.
+
+    Beside its anchor a window has HALF bytes on one side at least: equal ones then share these with the anchor. Of a window that
+    has its least hash twice the anchor may be either place, so stretches with such ones all stay.
+    """
+    sides: dict[tuple, int] = {}
+    keys = []
+    for row in rows:
+        at, body = row[4], row[6]
+        left = (row[0], body[at - HALF : at + ANCHOR]) if at >= HALF else None
+        right = (row[0], body[at : at + ANCHOR + HALF], 1) if len(body) - at - ANCHOR >= HALF else None
+        keys.append((left, right))
+        for key in (left, right):
+            if key is not None:
+                sides[key] = sides.get(key, 0) + 1
+    return [row for row, pair in zip(rows, keys) if row[5] or any(k is not None and sides[k] > 1 for k in pair)]
+
+
 def _masks(bodies: DataFrame, tasks: int) -> DataFrame:
     """(anchor, sum, mask) of stretches with windows that are in an earlier one, or earlier in itself."""
 
@@ -403,7 +424,7 @@ def _masks(bodies: DataFrame, tasks: int) -> DataFrame:
             key = (row[0], row[1])
             if key not in best or (row[2], row[3]) < (best[key][2], best[key][3]):
                 best[key] = row
-        rows = list(best.values())
+        rows = _may_share(list(best.values()))
         masks = repeated_windows([r[6] for r in rows], *(np.array([r[k] for r in rows]) for k in (4, 2, 3, 5)))
         on = np.flatnonzero(masks)
         return pa.RecordBatch.from_arrays(
