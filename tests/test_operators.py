@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 from datetime import date, datetime
 
 import pytest
@@ -157,6 +158,38 @@ def test_longest_match_paths_agree(spark):
     assert [m for _, m in first] == ["flight", "heli", "car", "one", "misc.", "misc.", "wild", "under", "heli", "esc", "cent"]
 
 
+def test_longest_match_of_ten_thousand_patterns(spark):
+    r = random.Random(4)
+    words = ["".join(r.choices("abcdefghijklmnop", k=r.randint(3, 8))) for _ in range(4000)]
+    patterns = {" ".join(r.sample(words, 2)) for _ in range(6000)} | {f"{r.choice(words)}%{r.choice(words)}" for _ in range(3500)}
+    patterns |= {"%", "_", "___", "____%", "", "a", "pp", "\\%", "q_z", "é"} | set(r.sample(words, 600))
+    known = list(patterns)
+    texts = [" ".join(r.sample(words, r.randint(1, 9))) for _ in range(300)] + ["", "x", "xy", "100%", "Éa", None, "xyz", "wxyz"]
+    texts += [f"the {p.replace('%', ' mid ')} end" for p in r.sample(known, 200)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    table = spark.createDataFrame([(p, f"l{i}") for i, p in enumerate(known)] + [("a", "other")], "p string, c string")
+
+    def compiled(p):
+        parts = re.split(r"(?<!\\)([%_])", p)
+        return re.compile("".join({"%": ".*", "_": "."}.get(x, re.escape(x.replace("\\", ""))) for x in parts), re.DOTALL)
+
+    labels = {p: f"l{i}" for i, p in enumerate(known)}
+    searched = [(p, compiled(p)) for p in known]
+    want = []
+    for text in texts:
+        hits = [p for p, pattern in searched if text is not None and pattern.search(text.lower())]
+        best = min(hits, key=lambda p: (-len(p), p), default=None)
+        want.append("misc." if best is None else min(labels[best], "other") if best == "a" else labels[best])
+    got = rows(matching.longest_match(df, "t", table, "p", "c", "mode").select("i", "mode"), "i")
+    assert [m for _, m in got] == want
+
+    lowered = df.select(F.lower("t").alias("__text")).dropna().distinct()
+    split = table.select(F.col("p").alias("__pattern"), F.col("c").alias("__label")).withColumn("__runs", matching._literal_runs(F.col("__pattern")))
+    candidates = matching._candidates(lowered, split.filter(F.size("__runs") > 0))
+    hits = candidates.filter(F.like("__text", F.concat(F.lit("%"), "__pattern", F.lit("%"))))
+    assert candidates.count() < 6 * hits.count() < 0.01 * len(known) * lowered.count()
+
+
 def test_allocation_keeps_totals(spark):
     areas = spark.createDataFrame([("b1", "u1", 3.0), ("b1", "u2", 1.0), ("b2", "u1", 5.0), ("b1", "u1", 1.0)], "p string, u string, a double")
     shares = allocation.area_shares(areas, "p", "u", "a")
