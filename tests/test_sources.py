@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from verdigris.operators import history
 from verdigris.operators.quality import QualityError
-from verdigris.sources import files, sinks, storage, tables
+from verdigris.sources import files, headers, sinks, storage, tables
 from verdigris.sources.versions import Versions
 from verdigris.streaming import feeds
 
@@ -60,6 +60,47 @@ def test_csv_readers(spark, tmp_path):
     assert merged.count() == 2 and tuple(merged.columns) == files.INVOICE_COLUMNS
 
 
+def _jobs(spark, name, action):
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        return action(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+    finally:
+        spark.sparkContext.setJobGroup("tests", "tests")
+
+
+def test_many_files_of_few_headers(spark, tmp_path):
+    def land(folder, n):
+        folder.mkdir()
+        for i in range(n):
+            head, line = (("k,name,v", f'{i},"a, ""b""",{i}.5'), ("v,k", f"x,{i}"), ('\ufeffk,"v w",k', f"{i},7,99"))[i % 3]
+            write(folder, f"f {i}+{i}%41.csv", f"{head}\n{line}\n{line}\n")
+        write(folder, "empty.csv", "")
+        write(folder, "only header.csv", "k,name,v\n")
+        return str(folder)
+
+    few, many = land(tmp_path / "few", 3), land(tmp_path / "many", 45)
+    schema = "k int, v double, name string, missing date"
+    small, jobs = _jobs(spark, "few", lambda: headers.read_layouts(spark, few, schema).collect())
+    large, more = _jobs(spark, "many", lambda: headers.read_layouts(spark, many, schema).collect())
+    assert jobs == more and len(small) == 6 and len(large) == 90
+    got = {(r["k"], r["v"], r["name"], r["missing"]) for r in large}
+    want = {(i, (i + 0.5, None, None)[i % 3], ('a, "b"', None, None)[i % 3], None) for i in range(45)}
+    assert got == want
+    assert len({r["__source"] for r in large}) == 45
+    assert len(headers.layouts(spark, many)) == 3
+    untyped = files.read_many_csv(spark, many)
+    assert dict(untyped.dtypes) == {"k": "bigint", "name": "string", "v": "string", "v w": "bigint"} and untyped.count() == 90
+    with pytest.raises(QualityError):
+        headers.read_layouts(spark, str(tmp_path / "many" / "empty.csv"))
+
+
+def test_fields_of_lines_with_many_quotes(spark):
+    lines = ['a,"b,c",d', '"x ""y"", z",,', ",", '"",' + '"q""q",' * 5000 + "end", "plain", '"open,quote']
+    want = [["a", '"b,c"', "d"], ['"x ""y"", z"', "", ""], ["", ""], ['""', *['"q""q"'] * 5000, "end"], ["plain"], ['"open,quote']]
+    df = spark.createDataFrame(list(enumerate(lines)), "i int, line string")
+    assert [r[1] for r in rows(df.select("i", headers.split_fields(F.col("line"))), "i")] == want
+
+
 def test_json_sources(spark, tmp_path):
     config = write(tmp_path, "c.json", json.dumps({"304": {"floor": 3, "hobo_id": 21777611, "note": None}, "penthouse": {"orientation": "East"}}, indent=1))
     got = rows(files.read_sensor_config(spark, config).select("sensor_id", "hobo_id", "floor", "orientation"), "sensor_id")

@@ -12,6 +12,7 @@ from verdigris.operators.dedup import keep_first
 from verdigris.operators.joins import lookup
 from verdigris.operators.ordering import position_within
 from verdigris.operators.quality import QualityError
+from verdigris.sources.headers import SOURCE, read_layouts, split_fields
 
 # fixed values: the columns kept when invoice exports are merged
 INVOICE_COLUMNS = (
@@ -48,7 +49,8 @@ def read_csv(
 
     ``modified_after`` skips files not touched since (``YYYY-MM-DDTHH:MM:SS``).
     """
-    reader = spark.read.option("header", True)
+    # a quote inside of quotes is doubled
+    reader = spark.read.option("header", True).option("escape", '"')
     reader = reader.option("inferSchema", True) if schema is None else reader.schema(schema)
     if modified_after:
         reader = reader.option("modifiedAfter", modified_after)
@@ -57,18 +59,20 @@ def read_csv(
     return df.select(*[F.col(f"`{c}`") for c in columns]) if columns else df
 
 
-def read_many_csv(spark: SparkSession, paths: Sequence[str], **options) -> DataFrame:
-    """Files whose column sets differ, stacked by name with gaps as NULL."""
-    if not paths:
-        raise QualityError("no input files")
-    parts = [read_csv(spark, path, **options) for path in paths]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+def read_many_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | str | None = None) -> DataFrame:
+    """Files whose column sets differ, stacked by name with gaps as NULL; see :func:`~verdigris.sources.headers.read_layouts`."""
+    return read_layouts(spark, paths, schema).drop(SOURCE)
 
 
-def merge_exports(spark: SparkSession, paths: Sequence[str], columns: Sequence[str] = INVOICE_COLUMNS) -> DataFrame:
-    """All export files as one table without exact duplicates."""
-    merged = read_many_csv(spark, paths, schema=None).dropDuplicates()
-    return merged.select(*[F.col(f"`{c}`") for c in columns])
+def merge_exports(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str] = INVOICE_COLUMNS) -> DataFrame:
+    """All export files as one table without exact duplicates.
+
+    Rows are the same if all their columns are, those that are left out included: they are told by a checksum, so that
+    only the columns kept are moved.
+    """
+    stacked = read_layouts(spark, paths).drop(SOURCE)
+    same = F.sha2(F.to_json(F.struct(*stacked.columns), {"ignoreNullFields": "false"}), 256).alias("__same")
+    return stacked.select(*[F.col(f"`{c}`") for c in columns], same).dropDuplicates(["__same"]).drop("__same")
 
 
 def stack_years(parts: Mapping[int, DataFrame], year: str = "year") -> DataFrame:
@@ -148,8 +152,6 @@ SENSOR_HEADERS = {
     "Dew Point, °F": "dew_point_f",
 }
 REQUIRED_READINGS = ("datetime_edt", "temperature_c", "relative_humidity_pct")
-# a comma outside of quotes
-_COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 _TOKEN_BEFORE_DATE = r"(\S+)\s+\d{4}-\d{2}-\d{2}(?:\s|$)"
 
 
@@ -179,7 +181,7 @@ def read_sensor_logs(spark: SparkSession, paths: str | Sequence[str]) -> tuple[D
         F.regexp_replace("value", r"^﻿", "").alias("line"),
     )
     unquoted = lambda c: F.nullif(F.replace(F.regexp_replace(F.trim(c), r'^"(.*)"$', "$1"), F.lit('""'), F.lit('"')), F.lit(""))
-    cells = raw.filter(F.trim("line") != "").select("path", "block", "at", F.transform(F.split("line", _COMMA, -1), unquoted).alias("cells"))
+    cells = raw.filter(F.trim("line") != "").select("path", "block", "at", F.transform(split_fields(F.col("line")), unquoted).alias("cells"))
     is_header = F.exists("cells", lambda c: F.coalesce(c.startswith("Date-Time"), F.lit(False)))
 
     names = F.create_map(*[F.lit(x) for pair in SENSOR_HEADERS.items() for x in pair])
