@@ -90,13 +90,23 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
 def enforce(df: DataFrame, checks: Sequence[Check], fail_fast: bool = True) -> DataFrame:
     """Run the checks and raise if any fails; returns ``df`` unchanged.
 
-    With ``fail_fast`` later checks are not run once one has failed.
+    All row checks take one aggregation. With ``fail_fast`` the first check that fails, in the order given, is the one
+    reported, and uniqueness checks after it are not run.
     """
-    groups = [[c] for c in checks] if fail_fast else [list(checks)]
-    for group in groups:
-        failed = run_checks(df, group).filter(F.col("failures") > 0).collect()
-        if failed:
-            raise QualityError("; ".join(f"{r['check']}: {r['failures']}" for r in failed))
+    failures: dict[str, int] = {}
+    rows = [c for c in checks if isinstance(c, RowCheck)]
+    if rows:
+        failures.update({r["check"]: r["failures"] for r in run_checks(df, rows).collect()})
+    failed = []
+    for check in checks:
+        if isinstance(check, UniqueCheck):
+            failures[check.name] = run_checks(df, [check]).first()["failures"]
+        if failures[check.name]:
+            failed.append(f"{check.name}: {failures[check.name]}")
+            if fail_fast:
+                break
+    if failed:
+        raise QualityError("; ".join(failed))
     return df
 
 
