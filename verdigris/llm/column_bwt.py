@@ -206,16 +206,6 @@ def _single_windows(source: DataFrame, test: Callable[[np.ndarray], np.ndarray],
     return source.mapInArrow(run, PLACED)
 
 
-def _filtered(rows: DataFrame, passed: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
-    """Rows whose anchor does not pass."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(~passed(batch.column(0).to_numpy().view(np.uint64))))
-
-    return rows.mapInArrow(run, PLACED)
-
-
 def _mark(anchor: np.ndarray, total: np.ndarray, ids: np.ndarray, start: np.ndarray) -> np.ndarray:
     return mix(mix(mix(anchor + total) + ids.view(np.uint64)) + start.astype(np.uint64))
 
@@ -292,9 +282,7 @@ class Transform:
         own = rank[place].astype(np.int64)
         # the n empty suffixes come first
         new = n + own
-        table = [common]
-        above = self._shared(table, order, own)
-        below = self._shared(table, order, own + 1)
+        above, below = np.split(self._shared(order, np.concatenate([own, own + 1])), 2)
         kept = np.ones(size + len(place), dtype=bool)
         kept[new] = False
         for name, old, inserted in (("symbols", symbols, following), ("common", common, above)):
@@ -307,24 +295,27 @@ class Transform:
         self.common[new[inside] + 1] = below[inside]
         return new
 
-    def _shared(self, table: list[np.ndarray], order: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    def _shared(self, order: np.ndarray, rank: np.ndarray) -> np.ndarray:
         """Symbols shared by the extended suffixes of these ranks with those above them.
 
-        ``table``: minima of the common prefixes over stretches of 1, 2, 4, ... entries, made as far as they are asked for.
+        That is one more than the least common prefix between their places: the lesser of two overlapping stretches of 1, 2, 4, ...
+        entries, whose minima are made as far as they are asked for.
         """
         out = np.zeros(len(rank), dtype=np.uint8)
         there = np.flatnonzero((rank > 0) & (rank < len(order)))
         low, high = order[rank[there] - 1], order[rank[there]]
         same = self.symbols[low] == self.symbols[high]
         there, low, high = there[same], low[same] + 1, high[same]
-        level = np.frexp((high - low + 1).astype(np.float64))[1] - 1
-        while len(table) <= level.max(initial=0):
-            half = 1 << (len(table) - 1)
-            table.append(np.minimum(table[-1][:-half], table[-1][half:]))
-        for k in np.flatnonzero(np.bincount(level)):
-            on = np.flatnonzero(level == k)
-            step = table[k]
-            out[there[on]] = np.minimum(step[low[on]], step[high[on] - (1 << int(k)) + 1]) + np.uint8(1)
+        level = np.frexp((high - low + 1).astype(np.float32))[1] - 1
+        size, levels = len(self.common), int(level.max(initial=0)) + 1
+        minima = np.empty((levels, size), dtype=np.uint8)
+        minima[0] = self.common
+        for k in range(1, levels):
+            half = 1 << (k - 1)
+            np.minimum(minima[k - 1, : size - half], minima[k - 1, half:], out=minima[k, : size - half])
+        flat = minima.ravel()
+        row = level.astype(np.int64) * size
+        out[there] = np.minimum(flat[row + low], flat[row + high + 1 - (1 << level)]) + np.uint8(1)
         return out
 
     def places(self, least: int = 0) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -502,16 +493,18 @@ def remove_repeated_bytes(docs: DataFrame, id_column: str = "doc_id", text_colum
     repeated = stored(_repeated_anchors(source), "anchors")
     test = _bit_filter(spark, repeated, repeated.count())
     placed = stored(_placed(source, test), "placed")
-    firsts = _first_places(placed)
+    firsts = stored(_first_places(placed), "firsts")
     spread = firsts.groupBy("anchor").agg(F.count("*").alias("n"), F.max("twice").alias("twice")).where("n > 1 OR twice").select("anchor", "n")
     spread = stored(spread, "spread")
-    hot = spread.where(F.col("n") > MOST_STRETCHES).select(F.col("anchor").alias("p"))
+    hot = spread.where(F.col("n") > MOST_STRETCHES).select("anchor")
     hot_count = hot.count()
     if hot_count:
-        passed = _bit_filter(spark, hot, hot_count)
-        placed = stored(_filtered(placed, passed).union(_single_windows(source, test, passed)), "placed-again")
-        firsts = _first_places(placed)
-    firsts = stored(firsts, "firsts")
+        passed = _bit_filter(spark, hot.select(F.col("anchor").alias("p")), hot_count)
+        holders = where_listed(source, "id", placed.join(hot, "anchor", "left_semi").select("id").distinct())
+        # of an anchor that the filter lets through in vain there are windows and stretches: both tell the same
+        single = stored(_single_windows(holders, test, passed), "windows")
+        placed = placed.join(hot, "anchor", "left_anti").unionByName(single)
+        firsts = stored(firsts.join(hot, "anchor", "left_anti").unionByName(_first_places(single)), "firsts-again")
     # stretches that have something to be compared with
     met = stored(firsts.join(spread.where(F.col("n") <= MOST_STRETCHES), "anchor", "left_semi").select("anchor", "sum", "id", "start"), "met")
     number = met.count()
