@@ -58,6 +58,26 @@ def test_first_timestamp(spark):
     assert one(spark, dates.first_timestamp(F.array(F.lit("x")))) is None
 
 
+@pytest.mark.parametrize("text,want", [
+    ("May 1, 2024", "2024-05-01T00:00:00"), ("01 May 2024", "2024-05-01T00:00:00"), ("1st of May, 2024", "2024-05-01T00:00:00"),
+    ("Wednesday, September 4th 2024 at 5 pm", "2024-09-04T17:00:00"), ("Sept 4 2024 12:05 a.m.", "2024-09-04T00:05:00"),
+    ("2024 Feb 29", "2024-02-29T00:00:00"), ("29-Feb-23", None), ("4-Jul-99 12:00 PM", "1999-07-04T12:00:00"), ("March 2024", "2024-03-01T00:00:00"),
+    ("2024-05-01", "2024-05-01T00:00:00"), ("2024/5/1 7:08", "2024-05-01T07:08:00"), ("20240501", "2024-05-01T00:00:00"), ("2024-05", "2024-05-01T00:00:00"),
+    ("2024-05-01T10:15:30Z", "2024-05-01T10:15:30"), ("2024-05-01T10:15:30.5+02:00", "2024-05-01T08:15:30.500000"),
+    ("2024-05-01 00:30:00 -0400", "2024-05-01T04:30:00"), ("2024-05-01T10:15+05", "2024-05-01T05:15:00"),
+    ("05/06/2024", "2024-05-06T00:00:00"), ("25/06/2024 23:59:59", "2024-06-25T23:59:59"), ("5.6.24", "2024-05-06T00:00:00"),
+    ("Wed, 15 Mar 2025 12:00:00 GMT", "2025-03-15T12:00:00"), ("Fri, 1 Mar 2024 22:00:00 EST (later)", "2024-03-02T03:00:00"), ("10:00 UTC+0200 1 May 2024", "2024-05-01T08:00:00"),
+    ("10:30 May 1 2024", "2024-05-01T10:30:00"), ("  MAY   1\t2024 ", "2024-05-01T00:00:00"),
+    ("soon", None), ("", None), (None, None), ("May", None), ("13/13/2024", None), ("2024-02-30", None), ("May 1", None), ("1 2 3 4", None),
+    ("25:00 1 May 2024", None), ("13 pm May 1 2024", None), ("May June 2024", None), ("version 2024", None), ("10:00 CETX 1 May 2024", None),
+])
+def test_instants(spark, text, want):
+    from verdigris.functions.instants import instants, iso_text
+
+    got = one(spark, iso_text(F.get(instants(F.array(F.lit(text).cast("string"))), F.lit(0))))
+    assert got == (want and want + "+00:00")
+
+
 def test_argument_checks():
     with pytest.raises(ValueError):
         dates.checked_date_range("2024-02-01", "2024-01-01")

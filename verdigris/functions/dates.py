@@ -6,6 +6,8 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, functions as F
 
+from verdigris.functions.instants import instants, iso_text
+
 _MICROS = 1_000_000
 _DAY_MICROS = 86_400 * _MICROS
 
@@ -70,26 +72,9 @@ def local_to_utc_text(ts: Column | str, offset: str = "-04:00") -> Column:
 
 
 def first_timestamp(candidates: Column, fallback: Column | None = None) -> Column:
-    """First text in an array that parses as an instant, else ``fallback``, as UTC ISO text."""
-    parsed = F.filter(F.transform(candidates, _parse_instant), lambda ts: ts.isNotNull())
-    best = F.get(parsed, F.lit(0))
-    if fallback is not None:
-        best = F.coalesce(best, _parse_instant(fallback))
-    return F.date_format(best, "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
-
-
-# fixed values: date layouts accepted besides ISO text
-_HEADER_LAYOUT = "dd MMM yyyy HH:mm:ss zzz"
-_PLAIN_LAYOUT = "MM/dd/yyyy HH:mm:ss"
-
-
-def _parse_instant(text: Column) -> Column:
-    cleaned = F.nullif(F.trim(text), F.lit(""))
-    return F.coalesce(
-        F.try_to_timestamp(cleaned),
-        F.try_to_timestamp(F.regexp_replace(cleaned, r"^[A-Za-z]{3}, ", ""), F.lit(_HEADER_LAYOUT)),
-        F.try_to_timestamp(cleaned, F.lit(_PLAIN_LAYOUT)),
-    )
+    """First text in an array that tells an instant, else ``fallback``, as UTC ISO text."""
+    texts = candidates if fallback is None else F.concat(candidates, F.array(fallback))
+    return iso_text(F.get(F.filter(instants(texts), lambda ts: ts.isNotNull()), F.lit(0)))
 
 
 # --- argument checks made before a plan is built ----------------------------

@@ -7,7 +7,9 @@ from typing import Iterable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from verdigris.functions import urls
+from verdigris.functions.dates import first_timestamp
 from verdigris.functions.health import page_health
+from verdigris.functions.instants import iso_text
 from verdigris.functions.text import collapse_spaces
 from verdigris.operators.aggregates import top_counts
 from verdigris.operators.joins import lookup
@@ -135,8 +137,22 @@ def attach_validation(references: DataFrame, validated: DataFrame) -> DataFrame:
     return lookup(references, checked, "link_url")
 
 
-def page_table(pages: DataFrame, url: str, html: str, status: str, references: DataFrame | None = None) -> DataFrame:
-    """The published page columns; the hash covers the text before collapsing."""
+def page_table(
+    pages: DataFrame,
+    url: str,
+    html: str,
+    status: str,
+    references: DataFrame | None = None,
+    modified: str | None = None,
+    scanned_at: Column | None = None,
+) -> DataFrame:
+    """The published page columns; the hash covers the text before collapsing.
+
+    ``last_update`` is the first instant that the page tells of itself, else that of the column ``modified`` (the
+    answer's header), and ``scanned_at`` the time of the scan, now by default; both are ISO text in UTC.
+    """
+    header = F.lit(None).cast("string") if modified is None else F.col(modified)
+    now = F.convert_timezone(None, F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz"))
     shown = with_scope(pages, html).withColumn("__text", _decoded(F.regexp_replace("__scope", _TAG, "")))
     text = F.col("__text")
     described = shown.select(
@@ -145,11 +161,13 @@ def page_table(pages: DataFrame, url: str, html: str, status: str, references: D
         page_title(html).alias("page_title"),
         urls.category(url).alias("category"),
         urls.topic(url).alias("topic"),
+        first_timestamp(update_candidates(html), header).alias("last_update"),
         F.col(status).alias("http_status"),
         page_health(status).alias("page_health"),
         meta_description(html).alias("meta_description"),
         collapse_spaces(text).alias("content_text"),
         F.md5(text).alias("content_hash"),
+        (iso_text(now) if scanned_at is None else scanned_at).alias("scanned_at"),
     )
     if references is None:
         return described

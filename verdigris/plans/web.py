@@ -33,8 +33,10 @@ def links(refs: DataFrame, unique: DataFrame) -> DataFrame:
     return web.attach_validation(refs, unique)
 
 
-def pages(landed: DataFrame, refs: DataFrame | None = None) -> DataFrame:
-    return web.page_table(landed, "page_url", "html", "http_status", refs)
+def pages(
+    landed: DataFrame, refs: DataFrame | None = None, modified: str | None = None, scanned_at: Column | None = None
+) -> DataFrame:
+    return web.page_table(landed, "page_url", "html", "http_status", refs, modified, scanned_at)
 
 
 def crawled(

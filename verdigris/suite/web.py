@@ -134,22 +134,42 @@ def _(t):
     return web.page_summary(plans.pages(landed, plans.link_refs(landed, sections=None)))
 
 
+# every kind of date a page or the answer's header may tell, and what it comes to; d is a day of May 2024
+_DATES = [
+    ("'<meta property=\"article:modified_time\" content=\"May ' || d || ', 2024\">'", "NULL", "'2024-05-' || dd || 'T00:00:00+00:00'"),
+    ("'<meta name=\"date\" content=\"soon\"><time datetime=\"' || d || ' May 2024 10:00 +0200\">'", "NULL", "'2024-05-' || dd || 'T08:00:00+00:00'"),
+    ("''", "'Wed, ' || dd || ' May 2024 08:09:10 GMT'", "'2024-05-' || dd || 'T08:09:10+00:00'"),
+    ("''", "NULL", "CAST(NULL AS VARCHAR)"),
+    ("'<meta name=\"lastmod\" content=\"2024-05-' || dd || 'T10:00:00.250Z\">'", "'never'", "'2024-05-' || dd || 'T10:00:00.250000+00:00'"),
+    ("'<time datetime=\"05/' || dd || '/2024 3:04 PM EST\">'", "'Wed, 01 Jan 2020 00:00:00 GMT'", "'2024-05-' || dd || 'T20:04:00+00:00'"),
+    ("'<time datetime=\"\"><time datetime=\"' || d || '-May-24\">'", "'x'", "'2024-05-' || dd || 'T00:00:00+00:00'"),
+]
+_KIND_OF = "CASE page_id % 7 " + " ".join(f"WHEN {i} THEN {{{i}}}" for i in range(7)) + " END"
+INPUTS["dated_pages"] = f"""
+    SELECT page_url, http_status, replace(html, '</head>', {_KIND_OF.format(*(m for m, _, _ in _DATES))} || '</head>') AS html,
+           {_KIND_OF.format(*(h for _, h, _ in _DATES))} AS last_modified, page_id, d, dd
+    FROM (SELECT *, CAST(day AS STRING) AS d, lpad(CAST(day AS STRING), 2, '0') AS dd
+          FROM (SELECT url AS page_url, html, 200 AS http_status, page_id, 1 + page_id % 28 AS day FROM {{pages}}) a) b
+"""
+
+
 @query(
     "page_content",
-    f"""SELECT page_url, {_PATH} AS page_path,
+    f"""SELECT page_url, {_KIND_OF.format(*(u for _, _, u in _DATES))} AS last_update, '2024-06-01T00:00:00+00:00' AS scanned_at, {_PATH} AS page_path,
                trim({{d}}regexp_extract(html, '(?s)<title[^>]*>(.*?)</title>', 1){{e}}) AS page_title,
                md5(body) AS content_hash, trim(regexp_replace(body, '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g'), ' ') AS content_text
         FROM (SELECT page_url, html, {{d}}regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
                 '(?s)<!--.*?-->|<script.*?</script>|<style.*?</style>', '', 'g'), '(?s)<head>.*?</head>', ''), '(?s)^.*?<body[^>]*>', ''),
                 '<[^>]*>', '', 'g'){{e}}
-                AS body
-              FROM {{landed_pages}})""".replace("{d}", "replace(replace(replace(replace(replace(replace(").replace(
+                AS body, page_id, dd
+              FROM {{dated_pages}})""".replace("{d}", "replace(replace(replace(replace(replace(replace(").replace(
         "{e}",
         ", '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&amp;', '&')",
     ),
 )
 def _(t):
-    return plans.pages(t("landed_pages")).select("page_url", "page_path", "page_title", "content_hash", "content_text")
+    pages = plans.pages(t("dated_pages"), modified="last_modified", scanned_at=F.lit("2024-06-01T00:00:00+00:00"))
+    return pages.select("page_url", "last_update", "scanned_at", "page_path", "page_title", "content_hash", "content_text")
 
 
 @query(
