@@ -496,7 +496,8 @@ def remove_repeated_bytes(docs: DataFrame, id_column: str = "doc_id", text_colum
     firsts = stored(_first_places(placed), "firsts")
     spread = firsts.groupBy("anchor").agg(F.count("*").alias("n"), F.max("twice").alias("twice")).where("n > 1 OR twice").select("anchor", "n")
     spread = stored(spread, "spread")
-    hot = spread.where(F.col("n") > MOST_STRETCHES).select("anchor")
+    # by itself, so that its own size tells whether it can be sent to all tasks
+    hot = stored(spread.where(F.col("n") > MOST_STRETCHES).select("anchor").coalesce(1), "frequent-anchors")
     hot_count = hot.count()
     if hot_count:
         passed = _bit_filter(spark, hot.select(F.col("anchor").alias("p")), hot_count)
