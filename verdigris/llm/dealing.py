@@ -62,8 +62,8 @@ def unpack(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return keys.view("<u8").ravel(), np.repeat(joined("ids", "<i8"), counts), np.repeat(joined("tags", "<i8"), counts)
 
 
-def shared_keys(keys: np.ndarray, ids: np.ndarray, tags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, ids) of keys that two different tags have, sorted by key and id; of each tag only the smallest id."""
+def shared_keys(keys: np.ndarray, ids: np.ndarray, tags: np.ndarray, with_tags: bool = False) -> tuple[np.ndarray, ...]:
+    """(keys, ids) of keys that two different tags have, sorted by key and id; of each tag only the smallest id. The tags too, if asked for."""
     order = np.argsort(keys)
     keys = keys[order]
     alone = np.ones(len(keys), dtype=bool)
@@ -76,14 +76,14 @@ def shared_keys(keys: np.ndarray, ids: np.ndarray, tags: np.ndarray) -> tuple[np
     keys, ids, tags = keys[order], ids[order], tags[order]
     first = np.ones(len(keys), dtype=bool)
     first[1:] = (keys[1:] != keys[:-1]) | (tags[1:] != tags[:-1])
-    keys, ids = keys[first], ids[first]
+    keys, ids, tags = keys[first], ids[first], tags[first]
     several = np.zeros(len(keys), dtype=bool)
     same = keys[1:] == keys[:-1]
     several[1:] |= same
     several[:-1] |= same
-    keys, ids = keys[several], ids[several]
+    keys, ids, tags = keys[several], ids[several], tags[several]
     order = np.lexsort((ids, keys))
-    return keys[order], ids[order]
+    return (keys[order], ids[order], tags[order]) if with_tags else (keys[order], ids[order])
 
 
 def group_starts(keys: np.ndarray) -> np.ndarray:

@@ -171,6 +171,25 @@ def hot_shingles(measured: DataFrame, rows: int) -> np.ndarray:
     return np.sort(np.array([r.h1 for r in found.collect()], dtype=np.int64).view(np.uint64))
 
 
+#: Bits of a tag that hold the size of its set; larger sizes count as the largest that fits.
+_SIZE_BITS = 20
+_SIZE_MASK = (1 << _SIZE_BITS) - 1
+
+
+def _tag(values: np.ndarray) -> int:
+    """Tells a set from others: a hash of it above its size."""
+    if not len(values):
+        return 0
+    whole = int(np.bitwise_xor.reduce(mix(values)))
+    return ((whole >> (_SIZE_BITS + 1)) << _SIZE_BITS) | min(len(values), _SIZE_MASK)
+
+
+def _sizes_allow(one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Whether sets of these tags can be linked by their sizes."""
+    a, b = one & _SIZE_MASK, other & _SIZE_MASK
+    return (100 * np.minimum(a, b) >= PERCENT * np.maximum(a, b)) | (np.maximum(a, b) == _SIZE_MASK)
+
+
 def _block_keys(source: DataFrame, n: int, hot) -> DataFrame:
     """Packed keys of the sets; of equal sets in one part of the input only that of the smallest id is sent on."""
 
@@ -179,7 +198,7 @@ def _block_keys(source: DataFrame, n: int, hot) -> DataFrame:
         for batch, texts in slices(batches):
             sets = shingle_sets(texts, hasher)
             ids = batch.column(0).to_numpy()
-            tags = np.array([int(np.bitwise_xor.reduce(mix(s)).astype(np.int64)) if len(s) else 0 for s in sets], dtype=np.int64)
+            tags = np.array([_tag(s) for s in sets], dtype=np.int64)
             order = np.lexsort((ids, tags))
             keep = np.zeros(len(sets), dtype=bool)
             keep[order[np.append(True, tags[order][1:] != tags[order][:-1])]] = True
@@ -196,18 +215,20 @@ SMALL_GROUP = 12
 
 
 def _shared(packed: DataFrame) -> DataFrame:
-    """Who has a key in common. Small groups: pairs (a, b), b < a, each once per bucket; larger ones: (key, a) with null b."""
+    """Who has a key in common. Small groups: pairs (a, b), b < a, that their sizes allow, each once per bucket; larger ones: (key, a) with null b."""
 
     def run(table: pa.Table) -> pa.Table:
-        keys, ids = dealing.shared_keys(*dealing.unpack(table))
+        keys, ids, tags = dealing.shared_keys(*dealing.unpack(table), with_tags=True)
         new = np.flatnonzero(np.diff(keys, prepend=keys[0] ^ np.uint64(1))) if len(keys) else np.empty(0, dtype=np.int64)
         sizes = np.diff(np.append(new, len(keys)))
         found = [np.empty((0, 2), dtype=np.int64)]
         for m in range(2, SMALL_GROUP + 1):
-            rows = ids[new[sizes == m][:, None] + np.arange(m)]
+            at = new[sizes == m][:, None] + np.arange(m)
+            rows, kinds = ids[at], tags[at]
             for i in range(m - 1):
                 for j in range(i + 1, m):
-                    found.append(np.stack([rows[:, j], rows[:, i]], axis=1))
+                    on = _sizes_allow(kinds[:, i], kinds[:, j])
+                    found.append(np.stack([rows[on, j], rows[on, i]], axis=1))
             if len(rows):
                 found = [np.unique(np.concatenate(found), axis=0)]
         pairs = np.unique(np.concatenate(found), axis=0)
@@ -307,6 +328,14 @@ def _verified(pairs: DataFrame, source: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long")
 
 
+def _between(pairs: DataFrame, reached: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components; a node that is in none is by itself."""
+    for side in "ab":
+        named = reached.select(F.col("node").alias(side), F.col("component").alias(f"c{side}"))
+        pairs = pairs.join(named, side, "left").withColumn(f"c{side}", F.coalesce(f"c{side}", side))
+    return pairs.where("ca <> cb").select("a", "b")
+
+
 #: Side of the square of pairs compared at once, and rows of one key in one task.
 TILE = 512
 
@@ -400,11 +429,18 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
     sized = stored(pairs.join(na, "a").join(nb, "b").where(near_size), "pairs")
     involved = sized.select(F.col("a").alias("id")).union(sized.select("b")).union(members.select("id")).distinct()
     sketches = stored(_set_table(source, involved, whole=False), "sketches").dropDuplicates(["id"])
-    links = stored(_verified(stored(_near_pairs(sized, sketches), "near-pairs"), source), "links")
+    near = stored(_near_pairs(sized, sketches), "near-pairs")
+    # whole sets are compared along one pair of each node first; of the others only those that join two components matter
+    nearest = stored(near.groupBy("a").agg(F.min("b").alias("b")), "nearest")
+    links = stored(_verified(nearest, source), "links")
     # rows with equal sets or equal ids are linked from the start
     equal = whole.join(nodes, ["n_shingles", "h1", "h2"]).where("id <> node").select(F.col("id").alias("a"), F.col("node").alias("b"))
     edges = stored(links.union(equal), "links-and-copies")
     reached = stored(components(edges), "components")
+    open_pairs = stored(_between(near.join(nearest, ["a", "b"], "left_anti"), reached), "open-pairs")
+    if open_pairs.take(1):
+        edges = stored(edges.union(_verified(open_pairs, source)), "links-of-components")
+        reached = stored(components(edges), "components")
     grouped = members.join(reached.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
     mixed = grouped.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
     rest = grouped.join(mixed, "key").dropDuplicates(["key", "id"])
