@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterable, Iterator
+from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +15,8 @@ from pyspark.sql import functions as F
 from verdigris.llm.words import mix
 from verdigris.session import scratch_path
 
+T = TypeVar("T")
+
 #: Most bits of an id filter: 8 MB, whatever the number of ids.
 MOST_BITS = 1 << 26
 
@@ -69,6 +74,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def kept_in_worker(key: tuple, make: Callable[[], T]) -> T:
+    """What ``make`` gives, made once in the life of a Python process and used by all its tasks.
+
+    This package may come to a task by value, with fresh globals each time, so these can't hold it.
+    """
+    holder = sys.modules.setdefault("_kept_in_worker", types.ModuleType("_kept_in_worker")).__dict__
+    if key not in holder:
+        holder[key] = make()
+    return holder[key]
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

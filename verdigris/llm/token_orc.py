@@ -13,12 +13,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from verdigris.llm.shared import stored
+from verdigris.llm.shared import kept_in_worker, stored
 from verdigris.llm.words import WordTable, slices
 from verdigris.session import scratch_path
 
 END_ID = 1
-#: Distinct words whose ids a task keeps; the table is emptied when it is full.
+#: Distinct words whose ids a worker keeps; when there are more, those used most stay, half as many.
 WORDS_KEPT = 300_000
 #: New letter or sign runs that the tokenizer gets as one text.
 ATOMS_A_CALL = 200
@@ -58,6 +58,16 @@ class WordEncoder:
 
     def forget(self) -> None:
         self.table, self.atoms = WordTable(), WordTable()
+        self.uses = np.empty(0, dtype=np.int64)
+
+    def make_room(self) -> None:
+        """Words that were met most stay; runs that they are made of are learnt again where new words have them."""
+        most = np.argpartition(-self.uses, WORDS_KEPT // 2)[: WORDS_KEPT // 2]
+        on = np.sort(most)
+        self.table.keep(on)
+        self.uses = self.uses[on]
+        if len(self.atoms.number) > WORDS_KEPT:
+            self.atoms = WordTable()
 
     def _atoms(self, atoms: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of letter runs and sign runs, and how many each has: each ends at its first id with a word end."""
@@ -85,10 +95,13 @@ class WordEncoder:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids with the end id after each text, and where each text starts (one entry more)."""
         if len(self.table.number) > WORDS_KEPT:
-            self.forget()
+            self.make_room()
         numbers, count, fresh = self.table.numbers([t.replace("\n", " ").split(" ") for t in texts])
         if fresh:
             self.learn(fresh)
+        uses = np.bincount(numbers, minlength=len(self.table.number))
+        uses[: len(self.uses)] += self.uses
+        self.uses = uses
         return self.table.put_together(numbers, count, [END_ID])
 
 
@@ -97,7 +110,7 @@ def with_ids(docs: DataFrame, tokenizer_path: str, id_column: str = "doc_id", te
     source = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer_path)
+        encoder = kept_in_worker(("word encoder", tokenizer_path), lambda: WordEncoder(tokenizer_path))
         for batch, texts in slices(batches):
             ids, starts = encoder.encode([t.decode("utf-8", "surrogatepass") for t in texts])
             column = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids))

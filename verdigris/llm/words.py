@@ -172,6 +172,16 @@ class WordTable:
         self.sizes = np.concatenate([self.sizes, sizes])
         self.ids = np.concatenate([self.ids, ids])
 
+    def keep(self, on: np.ndarray) -> None:
+        """Only the words of these ascending numbers stay; they are numbered anew."""
+        names = list(self.number)
+        self.number = _Numbers()
+        for i in on.tolist():
+            self.number[names[i]]
+        sizes = self.sizes[on]
+        self.ids = self.ids[np.repeat(self.first[on], sizes) + ranges(sizes)]
+        self.first, self.sizes = np.cumsum(sizes) - sizes, sizes
+
     def put_together(self, numbers: np.ndarray, count: np.ndarray, end: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of texts given as ``count`` word numbers each, with the ids ``end`` after each text, and where each starts."""
         sizes = self.sizes[numbers]
