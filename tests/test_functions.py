@@ -184,6 +184,10 @@ def test_markdown(spark):
     assert kept == "Hidden **body**"
     assert to_markdown("<ol><li>a<ul><li>b</li></ul></li></ol><pre>x</pre><blockquote>q</blockquote>", "x") == "1. a\n\n  - b\n\n```\nx\n```\n\n> q"
     assert to_markdown(None, "x") is None
+    # lists that stay open over many pieces, and as many items as a page can have
+    long = "<ol>" + "<li>a</li>" * 700 + "<li>b<ul>" + "<li>c</li>" * 700 + "</ol></ul></li>" + "<li>d</li>" * 9000 + "</ol><li>e</li>"
+    lines = to_markdown(long, "x").split("\n")
+    assert [x for x in lines if x] == ["1. a"] * 700 + ["1. b"] + ["  - c"] * 700 + ["1. d"] * 9000 + ["- e"]
     assert to_markdown("<p>a &amp;lt; b&#x20AC;&#8364;</p>", "x") == "a &lt; b€€"
     assert to_markdown('<p><a href="x/y">l</a> <a href="#t">m</a><br/>n</p>', "https://h") == "[l](https://h/x/y) [m](#t)\nn"
 

@@ -47,9 +47,17 @@ def _links(text: Column, base: str) -> Column:
     return F.regexp_replace(text, rf"(?is)<a{label}", "[$1]")
 
 
+#: Tags and texts whose results are put together before they join those of the others.
+_TOGETHER = 256
+
+
 def _lists(text: Column) -> Column:
-    """Items on lines of their own, indented by depth. The open lists are one letter each, inmost last."""
-    parts = F.regexp_extract_all(text, F.lit(r"(?is)(<[^>]*>|[^<]+|<)"), 1)
+    """Items on lines of their own, indented by depth. The open lists are one letter each, inmost last.
+
+    An accumulated array is copied with each element that it gets. So tags and texts go through in pieces, and what comes of a piece
+    is one element: the work grows with the text as long as it has fewer pieces than a piece has tags, a thousand times over.
+    """
+    found = F.regexp_extract_all(text, F.lit(r"(?is)(<[^>]*>|[^<]+|<)"), 1)
 
     def step(acc: Column, part: Column) -> Column:
         tag = F.lower(F.regexp_extract(part, r"^<(/?\w+)", 1))
@@ -64,8 +72,20 @@ def _lists(text: Column) -> Column:
             F.concat(acc["out"], F.array(F.when(tag == "li", lead).otherwise(part))).alias("out"),
         )
 
-    start = F.struct(F.lit("").alias("open"), F.array().cast("array<string>").alias("out"))
-    shown = F.aggregate(parts, start, step, lambda acc: F.array_join(acc["out"], ""))
+    def start(opened: Column) -> Column:
+        return F.struct(opened.alias("open"), F.array().cast("array<string>").alias("out"))
+
+    def piece(acc: Column, parts: Column) -> Column:
+        # a lambda over one element names a value, so that it is computed once
+        done = F.transform(F.array(F.aggregate(parts, start(acc["open"]), step)), lambda d: F.struct(d["open"].alias("open"), F.array_join(d["out"], "").alias("text")))
+        return F.get(F.transform(done, lambda d: F.struct(d["open"].alias("open"), F.concat(acc["out"], F.array(d["text"])).alias("out"))), F.lit(0))
+
+    def cut(parts: Column) -> Column:
+        places = F.sequence(F.lit(0), F.floor((F.size(parts) - 1) / _TOGETHER).cast("int"))
+        return F.transform(places, lambda i: F.slice(parts, i * _TOGETHER + 1, F.lit(_TOGETHER)))
+
+    pieces = F.get(F.transform(F.array(found), cut), F.lit(0))
+    shown = F.aggregate(pieces, start(F.lit("")), piece, lambda acc: F.array_join(acc["out"], ""))
     return F.when(text.rlike(r"(?i)<li[\s/>]"), shown).otherwise(text)
 
 

