@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verdigris.llm.shared import MOST_BITS, stored, where_listed
-from verdigris.llm.words import constants, mix, slices, utf8
+from verdigris.llm.words import constants, mix, slices
 
 WINDOW = 100
 ANCHOR = 37
@@ -443,27 +443,26 @@ def _cut(marked: DataFrame) -> DataFrame:
     types = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for start in range(0, whole.num_rows, 256):
-                rows = []
-                for number, text, marks in zip(*(c.to_pylist() for c in whole.slice(start, 256).columns)):
-                    data = utf8(text)
-                    edges = np.zeros(len(data) + 1, dtype=np.int32)
-                    for mark in marks:
-                        first, mask = mark["start"], mark["mask"]
-                        if mask is None:
-                            edges[first] += 1
-                            edges[first + mark["windows"] + WINDOW - 1] -= 1
-                            continue
-                        on = first + np.flatnonzero([(mask >> k) & 1 for k in range(mark["windows"])])
-                        edges[on] += 1
-                        edges[on + WINDOW] -= 1
-                    gone = np.cumsum(edges)[:-1] > 0
-                    kept = np.frombuffer(data, dtype=np.uint8)[~gone].tobytes()
-                    spans = int(np.count_nonzero(np.diff(gone.astype(np.int8), prepend=0) == 1))
-                    rows.append((number, hashlib.sha256(data).hexdigest(), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), kept))
-                columns = list(zip(*rows)) if rows else [()] * len(names)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+        for batch, texts in slices(batches):
+            rows = []
+            lists = batch.column(2)
+            marks = lists.flatten()
+            start, windows, mask = (marks.field(k) for k in range(3))
+            whole, bits = mask.is_null().to_numpy(zero_copy_only=False), mask.fill_null(0).to_numpy()
+            start, windows = start.to_numpy(), windows.to_numpy().astype(np.int64)
+            cuts = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+            for number, data, low, high in zip(batch.column(0).to_pylist(), texts, cuts[:-1], cuts[1:]):
+                first, every = start[low:high], whole[low:high]
+                row, place = np.nonzero(np.unpackbits(bits[low:high].astype("<i8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
+                begins = np.concatenate([first[every], first[row] + place])
+                ends = np.concatenate([first[every] + windows[low:high][every] + WINDOW - 1, first[row] + place + WINDOW])
+                edges = np.bincount(begins, minlength=len(data) + 1) - np.bincount(ends, minlength=len(data) + 1)
+                gone = np.cumsum(edges)[:-1] > 0
+                kept = np.frombuffer(data, dtype=np.uint8)[~gone].tobytes()
+                spans = int(np.count_nonzero(np.diff(gone.astype(np.int8), prepend=0) == 1))
+                rows.append((number, hashlib.sha256(data).hexdigest(), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), kept))
+            columns = list(zip(*rows)) if rows else [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
     return marked.mapInArrow(run, "id long, sha string, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
