@@ -65,23 +65,33 @@ def upstream_part(upstream: DataFrame) -> DataFrame:
     )
 
 
+def by_unit(facts: DataFrame) -> DataFrame:
+    """Emission of each unit in a year: all that the inventory and the footprint ask of a fact table.
+
+    One aggregation, so that a table that both read is scanned once and what is kept for them is small.
+    """
+    owned = [F.max("school_area").alias("school_area")] if "school_area" in facts.columns else []
+    stamp = F.current_timestamp().alias("last_update")
+    return facts.groupBy("fiscal_year", "dlc_name").agg(F.sum("mtco2").alias("mtco2"), *owned, stamp)
+
+
 def inventory(
     manual: DataFrame,
-    travel_summary: DataFrame,
+    travel: DataFrame,
     construction: DataFrame,
     waste: DataFrame,
     goods: DataFrame,
     energy: DataFrame,
     upstream: DataFrame,
 ) -> DataFrame:
-    """Best source per category and year.
+    """Best source per category and year; ``travel`` and ``goods`` are rows of any grain with ``mtco2``.
 
     One row wins: of several entries of the winning source the larger emission,
     then the later stamp.
     """
     parts = {
         "manual": manual_part(manual),
-        "business": _part(travel_summary, TRAVEL, "total_mtco2"),
+        "business": _part(travel, TRAVEL, "mtco2"),
         "construction": _part(construction, CONSTRUCTION, "ghg_emission"),
         "waste": _part(waste, WASTE, "co2eq"),
         "pgs": _part(goods, GOODS, "mtco2", F.current_timestamp()),
@@ -115,25 +125,18 @@ def take_snapshot(full: DataFrame, target: str, load: int) -> None:
 def footprint_parts(
     per_head: DataFrame, energy: DataFrame, travel: DataFrame, goods: DataFrame, rollup: DataFrame
 ) -> DataFrame:
-    """All emissions of all units in one layout."""
+    """All emissions of all units in one layout; ``travel`` and ``goods`` come from :func:`by_unit`."""
     columns = ("fiscal_year", "category", "emission", "dlc_name", "school_area")
     label = F.when(F.col("category") == CONSTRUCTION, F.lit("3.2 Capital Goods")).otherwise(F.col("category"))
     head = per_head.withColumn("category", label).select(*columns)
     power = energy.withColumn("category", F.lit("1 & 2 Energy")).select(*columns)
-    trips = (
-        travel.filter(F.col("dlc_name").isNotNull())
-        .groupBy("fiscal_year", "dlc_name")
-        .agg(F.sum("mtco2").alias("emission"), F.max("school_area").alias("school_area"))
-        .withColumn("category", F.lit(TRAVEL))
-        .select(*columns)
-    )
-    bought = (
-        goods.filter(F.col("dlc_name").isNotNull())
-        .groupBy("fiscal_year", "dlc_name")
-        .agg(F.sum("mtco2").alias("emission"))
-        .withColumn("category", F.lit(GOODS))
-    )
-    named = lookup(bought, unit_areas(rollup), "dlc_name").select(*columns)
+
+    def owned(facts: DataFrame, category: str) -> DataFrame:
+        known = facts.filter(F.col("dlc_name").isNotNull())
+        return known.withColumnRenamed("mtco2", "emission").withColumn("category", F.lit(category))
+
+    trips = owned(travel, TRAVEL).select(*columns)
+    named = lookup(owned(goods, GOODS), unit_areas(rollup), "dlc_name").select(*columns)
     return power.unionByName(head).unionByName(named).unionByName(trips)
 
 

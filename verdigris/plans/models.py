@@ -131,14 +131,16 @@ MODELS: dict[str, Model] = {
     "stg_dlc_energy_summary": Model(
         energy.unit_energy, ("stg_building_dlc_share", "stg_building_energy", "cost_object_warehouse")
     ),
+    "travel_by_unit": Model(inventory.by_unit, ("stg_travel_spending",)),
+    "purchased_goods_by_unit": Model(inventory.by_unit, ("stg_purchased_goods_invoice",)),
     "stg_ghg_inventory": Model(
         inventory.inventory,
         (
             "ghg_manual_entries",
-            "travel_FY_exp_group_summary",
+            "travel_by_unit",
             "construction_expense_emission",
             "final_waste_emission",
-            "stg_purchased_goods_invoice",
+            "purchased_goods_by_unit",
             "purchased_energy",
             "stg_fuel_energy_upstream",
         ),
@@ -154,8 +156,8 @@ MODELS: dict[str, Model] = {
         (
             "stg_dlc_footprint_capita",
             "stg_dlc_energy_summary",
-            "stg_travel_spending",
-            "stg_purchased_goods_invoice",
+            "travel_by_unit",
+            "purchased_goods_by_unit",
             "stg_cost_object_rollup",
         ),
         True,

@@ -64,8 +64,8 @@ def warehouse(t: Tables, kept: tuple[str, ...] = ()) -> Warehouse:
     return Warehouse(lambda name: DERIVED[name](t) if name in DERIVED else t(name), SUITE, kept=kept)
 
 
-# intermediates that the footprint reads more than once
-SHARED = ("stg_travel_spending", "stg_purchased_goods_invoice")
+# intermediates that the footprint and the inventory in it both read: a row for each unit and year
+SHARED = ("travel_by_unit", "purchased_goods_by_unit")
 
 
 def model(name: str, rounded: str = "", digits: int = 4, dropped: tuple[str, ...] = ("last_update",)) -> None:
