@@ -18,8 +18,8 @@ from verdigris.llm.words import WordTable, slices
 from verdigris.session import scratch_path
 
 END_ID = 1
-#: Distinct words whose ids a worker keeps; when there are more, those used most stay, half as many.
-WORDS_KEPT = 300_000
+#: Distinct words whose ids a worker keeps; when there are more, those used most stay, two thirds as many.
+WORDS_KEPT = 450_000
 #: New letter or sign runs that the tokenizer gets as one text.
 ATOMS_A_CALL = 200
 #: A run of Latin letters and the run of signs after it: two words for the pre-tokenizer, whatever
@@ -62,8 +62,8 @@ class WordEncoder:
 
     def make_room(self) -> None:
         """Words that were met most stay; runs that they are made of are learnt again where new words have them."""
-        most = np.argpartition(-self.uses, WORDS_KEPT // 2)[: WORDS_KEPT // 2]
-        on = np.sort(most)
+        stay = 2 * WORDS_KEPT // 3
+        on = np.sort(np.argpartition(-self.uses, stay)[:stay])
         self.table.keep(on)
         self.uses = self.uses[on]
         if len(self.atoms.number) > WORDS_KEPT:
