@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import verdigris
@@ -29,9 +29,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: that with the smallest id, once. Rows without id stay."""
+    """One document of each group of near copies stays: that with the smallest id, once. Rows without id stay.
+
+    Rows of one id are one document: the one with the least text stays (nulls last), and of equal texts the least of the other columns.
+    """
     chosen = jaccard_components(docs).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    place = "_place"
+    while place in docs.columns:
+        place += "_"
+    others = [F.col(c).cast("string").asc_nulls_last() for c in docs.columns if c not in ("doc_id", "text")]
+    order = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last(), *others)
+    kept = docs.join(chosen, "doc_id", "left_semi").withColumn(place, F.row_number().over(order)).where(F.col(place) == 1)
     return kept.select(*docs.columns).union(docs.where("doc_id IS NULL"))
 
 
