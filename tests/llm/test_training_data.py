@@ -293,6 +293,24 @@ def test_html(spark):
     assert html_templates.extract_main_text(df.where("page_id > 99")).count() == 0
 
 
+def test_html_names_that_only_hold_a_marked_word(spark):
+    pages = {
+        '<body class="has-sidebar"><p>Main text</p></body>': "Main text",
+        '<div id="page" class="site no-sidebar"><p>a</p><p>b</p></div>': "a\nb",
+        '<article class="post comments-open"><p>body</p></article><div class="comments">c</div>': "body",
+        '<article><p>one</p><p class="social-history">two</p><p class="related">three</p></article>': "one\ntwo\nthree",
+        '<article><p>one</p><div class="related-work">two</div><div class="related posts">go</div></article>': "one\ntwo",
+        '<body id="menu"><main class="widget"><p>kept</p></main></body>': "kept",
+        '<div class="sidebar-wrapper"><div class="menu-box">m</div><article><p>in</p></article></div>': "in",
+        '<div class="banner"><p>most of the text stands in here</p></div><p>rest</p>': "most of the text stands in here\nrest",
+        '<p>long enough to be the text</p><div class="cookie-banner">c</div><div role="complementary">d</div><p hidden>e</p>': "long enough to be the text",
+        '<p>long enough to be the text</p><article class="comment-body"><p>c</p></article>': "long enough to be the text",
+    }
+    df = spark.createDataFrame([(i, f"http://h{i}/", page) for i, page in enumerate(pages)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_templates.extract_main_text(df).collect()}
+    assert got == dict(enumerate(pages.values()))
+
+
 def test_html_keeps_the_blocks_of_copies(spark):
     bare = "<body><h1>Title</h1><div class=body><p>one</p><ul><li>two</ul></div></body>"
     article = "<title>{}</title><article><div class=body><p>one</p></div><section>two</section></article><footer>{}</footer>"

@@ -33,13 +33,20 @@ _NEVER = frozenset(
     "head script style noscript template textarea title xmp iframe noembed noframes nav header footer aside form button "
     "select option input label fieldset svg math canvas object audio video dialog menu search".split()
 )
-#: Words of a class, id or role that mark menus, notices, adverts and comments.
+#: Words of a token of a class, id or role that mark menus, notices, adverts and comments.
 _MARKED = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr "
     "notice notices alert popup modal overlay sidebar menu menus nav navbar navigation breadcrumb breadcrumbs pagination pager "
     "footer header masthead topbar toolbar share sharing social related recommended newsletter subscribe signup login "
     "comment comments disqus respond reply replies widget complementary contentinfo".split()
 )
+#: Words beside a marked one that leave what it says as it is: `ad-container`, not `no-sidebar` or `related-work`.
+_NEUTRAL = frozenset(
+    "area bar block body bottom box button buttons container form holder icons inner item items left link links list main message outer page "
+    "panel posts reader right section site slot top unit user view wrap wrapper".split()
+)
+#: Elements that can be marked inside of a page's own article or main element; running text there stays.
+_STRUCTURE = frozenset("div section ul ol table figure dl article center details".split())
 #: A start tag on the left ends open elements on the right, up to an element that holds them.
 _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 _HOLDS = frozenset("ul ol menu dl table tbody thead tfoot select html body article section div main".split())
@@ -112,29 +119,64 @@ def parse(page: str) -> Node:
             stack.append(node)  # a slash means nothing on a block
 
 
-def _marked(node: Node) -> bool:
+def _named(node: Node) -> bool:
+    """Whether an element hides itself, or a whole token of its class, id or role says that it holds no main text."""
     if not node.attributes:
         return False
     for name, *values in _ATTRIBUTE.findall(node.attributes):
         value = "".join(values).lower()
         if name.lower() == "hidden" or (name.lower() == "aria-hidden" and value == "true"):
             return True
-        if name.lower() in ("class", "id", "role") and not _MARKED.isdisjoint(_MARK_WORDS.findall(value)):
-            return True
+        if name.lower() in ("class", "id", "role"):
+            for token in value.split():
+                words = set(_MARK_WORDS.findall(token))
+                if not _MARKED.isdisjoint(words) and words <= _MARKED | _NEUTRAL:
+                    return True
     return False
 
 
-def main_roots(root: Node) -> list[Node]:
-    """Outermost articles that aren't comments; else the main element; else the whole page."""
+def marked(root: Node) -> frozenset[int]:
+    """The elements (by ``id`` of the node) that their names mark and that can be left out for it.
+
+    Not html, body or main, nor what holds an article or more than half of the page's text: such a name tells of the page's
+    layout. Inside of an article or main element that is not marked itself only structural elements are marked.
+    """
+    order, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        stack.extend(p for p in node.parts if isinstance(p, Node))
+    size: dict[int, int] = {}
+    holds: dict[int, bool] = {}
+    for node in reversed(order):
+        children = [p for p in node.parts if isinstance(p, Node)]
+        own = 0 if node.tag in _RAW or node.tag == "head" else sum(len(p.strip()) for p in node.parts if isinstance(p, str))
+        size[id(node)] = 0 if node.tag == "head" else own + sum(size[id(c)] for c in children)
+        holds[id(node)] = any(c.tag == "article" or holds[id(c)] for c in children)
+    found = set()
+    walk = [(root, False)]
+    while walk:
+        node, inside = walk.pop()
+        if node.tag not in ("#root", "html", "body", "main") and _named(node):
+            if not holds[id(node)] and 2 * size[id(node)] <= size[id(root)] and (not inside or node.tag in _STRUCTURE):
+                found.add(id(node))
+                continue  # all below goes with it
+        inside = inside or node.tag in ("article", "main")
+        walk.extend((p, inside) for p in node.parts if isinstance(p, Node))
+    return frozenset(found)
+
+
+def main_roots(root: Node, left_out: frozenset[int]) -> list[Node]:
+    """Outermost articles that aren't marked; else the main element; else the whole page."""
     found: dict[str, list[Node]] = {"article": [], "main": []}
 
     def walk(top: Node) -> None:
         stack = [top]
         while stack:
             node = stack.pop()
-            if node.tag in _NEVER and node.tag != "form":
+            if (node.tag in _NEVER and node.tag != "form") or id(node) in left_out:
                 continue
-            if node.tag in found and not _marked(node):
+            if node.tag in found:
                 found[node.tag].append(node)
                 if node.tag == "article":
                     continue
@@ -179,8 +221,8 @@ def subtree_hashes(root: Node, roots: list[Node]) -> dict[int, int]:
     return out
 
 
-def text_of(roots: list[Node], template: frozenset[int] | set[int], hashes: dict[int, int]) -> str:
-    """Blocks of the roots in page order, without elements that hold no main text or are template."""
+def text_of(roots: list[Node], left_out: frozenset[int], template: frozenset[int] | set[int], hashes: dict[int, int]) -> str:
+    """Blocks of the roots in page order, without elements that hold no main text, are left out or are template."""
     blocks: list[str] = []
     line: list[str] = []
 
@@ -201,7 +243,7 @@ def text_of(roots: list[Node], template: frozenset[int] | set[int], hashes: dict
                 line.append(item)
             else:
                 node = item
-                if node is not top and (node.tag in _NEVER or hashes.get(id(node)) in template or _marked(node)):
+                if node is not top and (node.tag in _NEVER or id(node) in left_out or hashes.get(id(node)) in template):
                     if node.tag in _BLOCK:
                         end_block()
                     continue
@@ -229,8 +271,9 @@ def subtrees(pages: DataFrame) -> DataFrame:
             texts, found = [], []
             for page in batch.column(3).to_pylist():
                 root = parse(page)
-                roots = main_roots(root)
-                text = text_of(roots, frozenset(), {}).encode("utf-8", "surrogatepass")
+                left_out = marked(root)
+                roots = main_roots(root, left_out)
+                text = text_of(roots, left_out, frozenset(), {}).encode("utf-8", "surrogatepass")
                 texts.append(int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "big", signed=True))
                 found.append(list(set(subtree_hashes(root, roots).values())))
             columns = [*batch.columns[:3], pa.array(texts, pa.int64()), pa.array(found, pa.list_(pa.int64()))]
@@ -304,9 +347,10 @@ def extract_main_text(pages: DataFrame, least_pages: int = LEAST_PAGES, growth:
             texts = []
             for page, hashes in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 root = parse(page or "")
-                roots = main_roots(root)
+                left_out = marked(root)
+                roots = main_roots(root, left_out)
                 own = frozenset(hashes or ())
-                texts.append(text_of(roots, own, subtree_hashes(root, roots) if own else {}))
+                texts.append(text_of(roots, left_out, own, subtree_hashes(root, roots) if own else {}))
             columns = [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "text", "n_chars"])
 
