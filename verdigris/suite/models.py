@@ -490,7 +490,7 @@ model("stg_ghg_inventory", "emission")
 
 @query(
     "inventory_snapshot",
-    """SELECT category, fiscal_year, scope, emission / 2 AS emission, TIMESTAMP '2024-01-01' AS last_update,
+    """SELECT category, fiscal_year, scope, emission / 7 AS emission, TIMESTAMP '2024-01-01' AS last_update,
               fiscal_year || '-' || category AS id, TIMESTAMP '2024-01-01' AS valid_from,
               CASE WHEN scope = 3 THEN TIMESTAMP '2024-02-01' END AS valid_to
        FROM {stg_ghg_inventory} WHERE category <> '3.6 Business Travel'
@@ -504,7 +504,7 @@ def _(t):
     full = durable(warehouse(t).table("stg_ghg_inventory"))
     early, late = (F.lit(day).cast("timestamp_ntz") for day in ("2024-01-01", "2024-02-01"))
     folder = scratch_path(t.spark, "inventory-snapshot")
-    first = full.filter(F.col("category") != TRAVEL).withColumns({"emission": F.col("emission") / 2, "last_update": early})
+    first = full.filter(F.col("category") != TRAVEL).withColumns({"emission": F.col("emission") / 7, "last_update": early})
     take_snapshot(first, folder, 0)
     take_snapshot(full.withColumn("last_update", F.when(F.col("scope") == 3, late).otherwise(early)), folder, 1)
     return Versions(t.spark, folder, SNAPSHOT_KEYS).read()
