@@ -8,6 +8,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -154,6 +155,20 @@ def test_parity_join(docs, empty, monkeypatch, small_group):
         assert parity_join.jaccard_components(empty).count() == 0
 
 
+def test_sketches_fold_to_those_of_fewer_words():
+    r = np.random.default_rng(2)
+    sets = [np.unique(r.integers(0, 1 << 63, n, dtype=np.uint64)) for n in (3, 100, 500, 1500, 9000, 0)]
+    made = parity_join.Sketches([parity_join.sketch(s, parity_join.sketch_words(len(s))).tobytes() for s in sets])
+    assert made.words.tolist() == [2, 2, 8, 32, 32, 2]
+    for words, rows in made.at.items():
+        for i, values in enumerate(sets):
+            if made.words[i] >= words:
+                assert rows[i].tolist() == parity_join.sketch(values, words).tolist()
+    i, j = np.array([0, 2, 3]), np.array([1, 3, 4])
+    want = [np.bitwise_count(parity_join.sketch(sets[a], w) ^ parity_join.sketch(sets[b], w)).sum() for a, b, w in ((0, 1, 2), (2, 3, 8), (3, 4, 32))]
+    assert parity_join.apart(made, i, made, j).tolist() == want
+
+
 def test_parity_keys_of_linked_sets_meet():
     import numpy as np
 

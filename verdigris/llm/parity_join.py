@@ -105,8 +105,45 @@ def sketch(values: np.ndarray, words: int) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8)).view(np.uint64)
 
 
-#: Words of 64 bits of a sketch, for sets of up to as many shingles (the last: any larger).
-SKETCH_WORDS = 32
+#: Words of 64 bits of the largest sketch and of the least.
+SKETCH_WORDS, LEAST_WORDS = 32, 2
+
+
+def sketch_words(size: int) -> int:
+    """Words of a set's sketch: a power of two, with a bit for each shingle as far as there are so many words."""
+    words = LEAST_WORDS
+    while words < SKETCH_WORDS and 64 * words < size:
+        words *= 2
+    return words
+
+
+class Sketches:
+    """Sketches of several sizes. One of twice the words is folded to the size of another by the XOR of its halves."""
+
+    def __init__(self, column: list[bytes]) -> None:
+        self.words = np.array([len(c) // 8 for c in column], dtype=np.int64)
+        self.at: dict[int, np.ndarray] = {}
+        words = SKETCH_WORDS
+        while words >= LEAST_WORDS:
+            own = np.zeros((len(column), words), dtype=np.uint64)
+            if 2 * words in self.at:
+                larger = self.at[2 * words]
+                own[:] = larger[:, :words] ^ larger[:, words:]
+            rows = np.flatnonzero(self.words == words)
+            if len(rows):
+                own[rows] = np.frombuffer(b"".join(column[i] for i in rows), dtype="<u8").reshape(len(rows), words)
+            self.at[words] = own
+            words //= 2
+
+
+def apart(one: Sketches, i: np.ndarray, other: Sketches, j: np.ndarray) -> np.ndarray:
+    """Bits in which sketches differ, at the lesser size of each two: at most their sets' symmetric difference."""
+    words = np.minimum(one.words[i], other.words[j])
+    out = np.zeros(len(i), dtype=np.int64)
+    for size in np.unique(words).tolist():
+        on = np.flatnonzero(words == size)
+        out[on] = np.bitwise_count(one.at[size][i[on]] ^ other.at[size][j[on]]).sum(axis=1, dtype=np.int64)
+    return out
 
 
 def shingle_sets(texts: list[bytes], hasher: Hasher) -> list[np.ndarray]:
@@ -265,7 +302,7 @@ def _set_table(texts: DataFrame, ids: DataFrame, whole: bool) -> DataFrame:
                 low = [np.sort(s & np.uint64((1 << 48) - 1)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_SHINGLE_BYTES].tobytes() for s in sets]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(low, pa.binary())], names=["id", "shingles"])
             else:
-                columns = [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([sketch(s, SKETCH_WORDS).tobytes() for s in sets], pa.binary())]
+                columns = [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([sketch(s, sketch_words(len(s))).tobytes() for s in sets], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "sketch"])
 
     return with_hash(texts, "id").mapInArrow(run, "id long, shingles binary" if whole else "id long, n long, sketch binary")
@@ -278,15 +315,10 @@ def _shingles(data: pa.Buffer) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-def _near(n1: np.ndarray, n2: np.ndarray, s1: np.ndarray, s2: np.ndarray) -> np.ndarray:
-    """Whether sizes and sketches (rows of 64-bit words) allow a link."""
-    apart = np.bitwise_count(s1 ^ s2).sum(axis=-1, dtype=np.int64)
+def _near(n1: np.ndarray, n2: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Whether sizes, and the bits in which sketches differ, allow a link."""
     total = n1 + n2
-    return ((100 + PERCENT) * apart <= (100 - PERCENT) * total) & (100 * np.minimum(n1, n2) >= PERCENT * np.maximum(n1, n2))
-
-
-def _matrix(column: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(column), dtype="<u8").reshape(len(column), SKETCH_WORDS)
+    return ((100 + PERCENT) * bits <= (100 - PERCENT) * total) & (100 * np.minimum(n1, n2) >= PERCENT * np.maximum(n1, n2))
 
 
 def _near_pairs(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -299,7 +331,8 @@ def _near_pairs(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
             if not batch.num_rows:
                 continue
             a, b, na, sa, nb, sb = batch.columns
-            ok = _near(na.to_numpy(), nb.to_numpy(), _matrix(sa.to_pylist()), _matrix(sb.to_pylist()))
+            every = np.arange(batch.num_rows)
+            ok = _near(na.to_numpy(), nb.to_numpy(), apart(Sketches(sa.to_pylist()), every, Sketches(sb.to_pylist()), every))
             yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"]).filter(pa.array(ok))
 
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "na", "sa", "nb", "sb")
@@ -328,14 +361,6 @@ def _verified(pairs: DataFrame, source: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long")
 
 
-def _between(pairs: DataFrame, reached: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components; a node that is in none is by itself."""
-    for side in "ab":
-        named = reached.select(F.col("node").alias(side), F.col("component").alias(f"c{side}"))
-        pairs = pairs.join(named, side, "left").withColumn(f"c{side}", F.coalesce(f"c{side}", side))
-    return pairs.where("ca <> cb").select("a", "b")
-
-
 #: Side of the square of pairs compared at once, and rows of one key in one task.
 TILE = 512
 
@@ -359,7 +384,7 @@ def _rest_pairs(members: DataFrame) -> DataFrame:
         def done(table: pa.Table) -> Iterator[pa.RecordBatch]:
             g, h, own, ids, comp, n = (table.column(c).to_numpy() for c in ("g", "h", "own", "id", "component", "n"))
             keys = table.column("key").to_numpy()
-            bits = _matrix(table.column("sketch").to_pylist())
+            sketches = Sketches(table.column("sketch").to_pylist())
             edges = np.flatnonzero((np.diff(keys) != 0) | (np.diff(g) != 0) | (np.diff(h) != 0)) + 1
             found = []
             for part in np.split(np.arange(len(keys)), edges):
@@ -371,7 +396,7 @@ def _rest_pairs(members: DataFrame) -> DataFrame:
                     rows = one[start : start + 64]
                     i, j = np.nonzero(comp[rows][:, None] != comp[two][None, :])
                     i, j = rows[i], two[j]
-                    ok = _near(n[i], n[j], bits[i], bits[j])
+                    ok = _near(n[i], n[j], apart(sketches, i, sketches, j))
                     x, y = ids[i[ok]], ids[j[ok]]
                     found.append(np.stack([np.maximum(x, y), np.minimum(x, y)], axis=1))
             pairs = np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), dtype=np.int64)
@@ -429,18 +454,11 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
     sized = stored(pairs.join(na, "a").join(nb, "b").where(near_size), "pairs")
     involved = sized.select(F.col("a").alias("id")).union(sized.select("b")).union(members.select("id")).distinct()
     sketches = stored(_set_table(source, involved, whole=False), "sketches").dropDuplicates(["id"])
-    near = stored(_near_pairs(sized, sketches), "near-pairs")
-    # whole sets are compared along one pair of each node first; of the others only those that join two components matter
-    nearest = stored(near.groupBy("a").agg(F.min("b").alias("b")), "nearest")
-    links = stored(_verified(nearest, source), "links")
+    links = stored(_verified(stored(_near_pairs(sized, sketches), "near-pairs"), source), "links")
     # rows with equal sets or equal ids are linked from the start
     equal = whole.join(nodes, ["n_shingles", "h1", "h2"]).where("id <> node").select(F.col("id").alias("a"), F.col("node").alias("b"))
     edges = stored(links.union(equal), "links-and-copies")
     reached = stored(components(edges), "components")
-    open_pairs = stored(_between(near.join(nearest, ["a", "b"], "left_anti"), reached), "open-pairs")
-    if open_pairs.take(1):
-        edges = stored(edges.union(_verified(open_pairs, source)), "links-of-components")
-        reached = stored(components(edges), "components")
     grouped = members.join(reached.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
     mixed = grouped.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
     rest = grouped.join(mixed, "key").dropDuplicates(["key", "id"])
