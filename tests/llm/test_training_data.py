@@ -170,8 +170,6 @@ def test_sketches_fold_to_those_of_fewer_words():
 
 
 def test_parity_keys_of_linked_sets_meet():
-    import numpy as np
-
     r = np.random.default_rng(5)
     for size in [*range(1, 40), 75, 178, 420, 997, 3000]:
         a = np.unique(r.integers(0, 2**63, size).astype(np.uint64))

@@ -6,7 +6,6 @@ Everything runs as column expressions: no Python on the executors.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession

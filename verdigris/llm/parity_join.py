@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from verdigris.llm import dealing
 from verdigris.llm.shared import components, id_filter, listed, stored, with_hash
-from verdigris.llm.words import SPACES, Hasher, constants, mix, ngrams, slices, utf8
+from verdigris.llm.words import SPACES, Hasher, constants, mix, ngrams, slices
 
 SHINGLE = 5
 #: Similarity in percent from which two sets are linked.

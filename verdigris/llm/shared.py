@@ -12,7 +12,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdigris.llm.words import mix
 from verdigris.session import scratch_path
 
 T = TypeVar("T")
