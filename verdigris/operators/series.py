@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, functions as F
 from verdigris.functions.dates import is_weekday, nearest_bin
 from verdigris.functions.measures import round_even
 from verdigris.operators.aggregates import exact_median
-from verdigris.operators.dedup import keep_first
 from verdigris.operators.joins import lookup
 from verdigris.operators.reshape import day_spine, stack_columns
 from verdigris.params import EXCLUDED_SIGMA, OUTLIER_SIGMA

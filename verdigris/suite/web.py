@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from verdigris.functions import urls
-from verdigris.functions.health import link_health
 from verdigris.operators import web
 from verdigris.operators.graph import reachable
 from verdigris.operators.markup import markdown
