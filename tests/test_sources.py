@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 import os
+import time
 from datetime import datetime, timezone
 
 import pyarrow as pa
@@ -12,8 +13,11 @@ from pyspark.sql import functions as F
 
 from verdigris.operators import history
 from verdigris.operators.quality import QualityError
+from verdigris.session import scratch_path
 from verdigris.sources import files, headers, sinks, storage, tables
 from verdigris.sources.versions import Versions
+from verdigris.suite.landing import _csv
+from verdigris.suite.registry import Tables
 from verdigris.streaming import feeds
 
 
@@ -282,3 +286,28 @@ def test_changed_files_are_read_again_and_no_others(spark, tmp_path):
     storage.delete(spark, f"{cursor}/{sorted(storage.names(spark, cursor))[-1]}")
     assert sorted(storage.names(spark, cursor))[-1] == newest
     assert run() == ["a.parquet"] and stored() == [(4, "q"), (4, "q"), (7, "seven")]
+
+
+def test_kinds_of_odd_numbers(spark, tmp_path):
+    cells = {"whole": ["1", "-2", "+3"], "broken": ["1", "2.50", "-1e3"], "named": ["NaN", "-inf", "Infinity"], "suffix": ["1d", ".5f", "0x1p3"],
+             "day": ["1996-03-13", "1", "2"], "letter": ["N", "O", "F"], "large": ["1", "9223372036854775808", "2"], "dots": ["1.2.3", "4", "5"]}
+    path = write(tmp_path, "odd.csv", "\n".join([",".join(cells)] + [",".join(line) for line in zip(*cells.values())]) + "\n")
+    got = dict(files.read_many_csv(spark, [path]).dtypes)
+    assert got == {"whole": "bigint", "broken": "double", "named": "double", "suffix": "double", "day": "string", "letter": "string", "large": "double", "dots": "string"}
+
+
+def test_telling_text_from_numbers_costs_no_exceptions(spark, tmp_path):
+    def seconds(name, line):
+        path = write(tmp_path, name, ",".join("abcdef") + "\n" + f"{line}\n" * 60_000)
+        files.read_many_csv(spark, [path])
+        start = time.perf_counter()
+        files.read_many_csv(spark, [path])
+        return time.perf_counter() - start
+
+    assert seconds("text.csv", "N,1996-03-13,x y,A,b,c") < 4 * seconds("numbers.csv", "1,2,3,4,5,6") + 1
+
+
+def test_a_large_scan_lands_in_as_many_files(spark):
+    held = Tables(spark, "unused")
+    for parts in (1, 3, 7):
+        assert len(_csv(held, spark.range(0, 70, 1, parts), scratch_path(spark, "landed"), "x")) == max(3, parts)

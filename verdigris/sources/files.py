@@ -71,7 +71,7 @@ def merge_exports(spark: SparkSession, paths: str | Sequence[str], columns: Sequ
     only the columns kept are moved.
     """
     stacked = read_layouts(spark, paths).drop(SOURCE)
-    same = F.sha2(F.to_json(F.struct(*stacked.columns), {"ignoreNullFields": "false"}), 256).alias("__same")
+    same = F.unhex(F.sha2(F.to_json(F.struct(*stacked.columns), {"ignoreNullFields": "false"}), 256)).alias("__same")
     return stacked.select(*[F.col(f"`{c}`") for c in columns], same).dropDuplicates(["__same"]).drop("__same")
 
 

@@ -12,6 +12,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from verdigris.operators.quality import QualityError
 
 SOURCE = "__source"
+# whatever can be a number; a cast that fails costs an exception, a hundred times the look at the text
+_NUMERIC = {
+    "long": r"^[\x00-\x20\x7F]*[+-]?[0-9]+[\x00-\x20\x7F]*$",
+    "double": r"^[\x00-\x20\x7F]*[+-]?(?:[0-9.]+(?:[eE][+-]?[0-9]+)?[dDfF]?|0[xX][0-9A-Fa-f.]+[pP][+-]?[0-9]+[dDfF]?|(?i:nan|inf|infinity))[\x00-\x20\x7F]*$",
+}
 
 
 @dataclass(frozen=True)
@@ -81,15 +86,17 @@ def read_layouts(spark: SparkSession, paths: str | Sequence[str], schema: T.Stru
 def _as_numbers(df: DataFrame) -> DataFrame:
     """Columns whose every value is a whole or decimal number, as such; one aggregation over all columns."""
     names = [c for c in df.columns if c != SOURCE]
+    kinds = ["string", "double", "long"]
 
-    def all_are(name: str, kind: str) -> Column:
-        return F.bool_and(_plain(name).isNull() | _plain(name).try_cast(kind).isNotNull())
+    def kind(name: str) -> Column:
+        """The place in ``kinds`` of the narrowest one that a value is of; NULL for none."""
+        value = _plain(name)
 
-    tests = [F.struct(F.count(_plain(n)).alias("n"), all_are(n, "long").alias("long"), all_are(n, "double").alias("double")).alias(f"_{i}") for i, n in enumerate(names)]
-    row = df.agg(*tests).first()
-    cells = []
-    for i, name in enumerate(names):
-        told = row[f"_{i}"]
-        kind = "string" if not told["n"] else "long" if told["long"] else "double" if told["double"] else "string"
-        cells.append(_plain(name).try_cast(kind).alias(name))
+        def can_be(wanted: str) -> Column:
+            return value.rlike(_NUMERIC[wanted]) & value.try_cast(wanted).isNotNull()
+
+        return F.when(can_be("long"), 2).when(can_be("double"), 1).when(value.isNotNull(), 0)
+
+    row = df.agg(*[F.min(kind(n)).alias(f"_{i}") for i, n in enumerate(names)]).first()
+    cells = [_plain(name).try_cast(kinds[row[f"_{i}"] or 0]).alias(name) for i, name in enumerate(names)]
     return df.select(*cells, SOURCE)

@@ -28,7 +28,9 @@ def _land(t: Tables, written, folder: str, name: str, ending: str) -> list[str]:
 
 
 def _csv(t: Tables, df: DataFrame, folder: str, name: str) -> list[str]:
-    return _land(t, df.repartition(3).write.option("header", True).option("escape", '"').csv, folder, name, "csv")
+    # at least three files, and one for each task of a larger scan
+    several = df if df.rdd.getNumPartitions() >= 3 else df.repartition(3)
+    return _land(t, several.write.option("header", True).option("escape", '"').csv, folder, name, "csv")
 
 
 # --- delimited files ----------------------------------------------------------
