@@ -143,6 +143,40 @@ def test_utility_override_and_energy(spark):
     assert got == [(707448.70, 1934740.0, pytest.approx(193474.0), "main"), (3.0, 2.0, None, None)]
 
 
+def _ledger(spark, folder):
+    ledger = [(1, 1, 1, 10.0, 1.0, 2.0, "THM"), (1, 1, 1, 5.0, 1.0, 2.0, "CCF"), (1, 1, 2, 100.0, 9.0, 9.0, "ZZZ"), (2, 1, 1, 7.0, 1.0, None, "THM"),
+              (3, 1, 1, 1.0, 3.0, 2.0, "THM"), (4, 1, 1, 2.0, 4.0, 2.0, "THM"), (5, 1, 2, 50.0, 1.0, 1.0, "THM"), (None, 1, 1, 1.0, 1.0, 1.0, "THM"), (1, 2, 1, 1.0, 1.0, 1.0, "THM")]
+    fields = "cost_collector_key long, time_month_key long, gl_account_key long, utility_usage_amount double, number_of_units double, number_of_btu double, unit_of_measure string"
+    spark.createDataFrame(ledger, fields).write.parquet(folder)
+    # one id under two names, one of them listed twice, and two without an id
+    collectors = [(1, "A", "one", "P"), (2, "A", "two", "P"), (2, "A", "two", "P"), (3, None, "x", "P"), (4, None, "y", "P"), (5, "A", "unmetered", "P")]
+    months = [(1, 2020, 7), (2, 2000, 7)]
+    return (
+        spark.read.parquet(folder),
+        spark.createDataFrame(collectors, "cost_collector_key long, cost_collector_id string, cost_collector_name string, profit_center_name string"),
+        spark.createDataFrame(months, "time_month_key long, fiscal_year int, calendar_month int"),
+        spark.createDataFrame([(1, "421113"), (2, "421118"), (1, "421139")], "gl_account_key long, gl_account_id string"),
+    )
+
+
+def test_utility_costs_of_names_and_gaps(spark, tmp_path):
+    got = utility.usage_and_cost(*_ledger(spark, str(tmp_path / "ledger")))
+    oil = [tuple(r) for r in got.filter("utility_type = '#6 Oil'").select("cost_collector_id", "cost_collector_name", "utility_unit", "total_btu", "utility_usage", "utility_cost").collect()]
+    by_text = sorted(oil, key=str)
+    # each name meets the cost of each name of its id; without an id it keeps its own
+    assert by_text == sorted([("A", "one", "THM", 4.0, 2.0, 15.0), ("A", "one", "THM", 4.0, 2.0, 14.0), ("A", "two", "THM", None, 2.0, 15.0),
+                              ("A", "two", "THM", None, 2.0, 14.0), (None, "x", "THM", 2.0, 3.0, 1.0), (None, "y", "THM", 2.0, 4.0, 2.0)], key=str)
+    # account 1 is gas too; commodity accounts add cost, not usage, and meet the names that have usage
+    gas = got.filter("utility_type = 'Gas'").select("cost_collector_id", "cost_collector_name", "utility_usage", "utility_cost").collect()
+    assert sorted(map(tuple, gas), key=str) == sorted([("A", n, 2.0, c) for n in ("one", "two") for c in (115.0, 14.0, 50.0)] + [(None, "x", 3.0, 1.0), (None, "y", 4.0, 2.0)], key=str)
+
+
+def test_utility_reads_the_ledger_once(spark, tmp_path):
+    buildings = spark.createDataFrame([("A", True, "main", "B", 10.0), ("A", False, "main", "C", 5.0)], "cost_collector_id string, district_electricity boolean, building_group string, agg_bldg string, ext_gross_area double")
+    history = utility.utility_history(utility.usage_and_cost(*_ledger(spark, str(tmp_path / "ledger"))), buildings)
+    assert history._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
+
+
 RAW_HEAT = "row_num long, datetime_edt timestamp_ntz, temperature_c double, relative_humidity_pct double, dew_point_c double, sensor_id string, source_file string, last_update timestamp"
 
 

@@ -7,7 +7,6 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from verdigris.functions.measures import mmbtu, safe_ratio
-from verdigris.operators.aggregates import same_columns
 from verdigris.operators.joins import lookup
 from verdigris.params import (
     COMMODITY_ACCOUNTS,
@@ -41,33 +40,60 @@ def utility_type(account) -> Column:
 def usage_and_cost(usage: DataFrame, collectors: DataFrame, months: DataFrame, accounts: DataFrame) -> DataFrame:
     """Monthly usage without commodity accounts, with the cost of all accounts.
 
-    Both come from one aggregation of the ledger. Cost is then matched by year,
-    month, collector id and utility alone, so a collector known under several
-    names meets the cost of each.
+    The ledger is summed by collector key, month, utility and unit before it meets the collectors: these are
+    exact numbers of few bytes, and what moves afterwards is rows of the table, not of the ledger. Calendar and
+    accounts have a row for each month and account and are broadcast.
+
+    Cost is matched by year, month, collector id and utility alone, so a collector known under several
+    names meets the cost of each. Rows are dealt by these four once; summing and matching both happen there.
     """
     recent = months.filter(F.col("fiscal_year") >= FIRST_YEAR)
-    facts = lookup(usage, collectors, "cost_collector_key", how="inner")
-    facts = lookup(facts, recent, "time_month_key", how="inner")
-    facts = lookup(facts, accounts, "gl_account_key", how="inner")
+    facts = lookup(usage, F.broadcast(recent), "time_month_key", how="inner")
+    facts = lookup(facts, F.broadcast(accounts), "gl_account_key", how="inner")
     typed = facts.withColumn("utility_type", utility_type(F.col("gl_account_id"))).filter(
         F.col("utility_type") != "Other"
     )
     metered = ~F.col("gl_account_id").isin(*COMMODITY_ACCOUNTS)
-    summed = typed.groupBy(*GRAIN).agg(
-        F.max(F.when(metered, F.col("unit_of_measure"))).alias("utility_unit"),
+    keyed = typed.groupBy(
+        "cost_collector_key",
+        "fiscal_year",
+        "calendar_month",
+        "utility_type",
+        F.when(metered, F.col("unit_of_measure")).alias("utility_unit"),
+    ).agg(
         F.sum(F.when(metered, F.col("number_of_btu"))).alias("total_btu"),
         F.sum(F.when(metered, F.col("number_of_units"))).alias("utility_usage"),
         F.sum("utility_usage_amount").alias("utility_cost"),
         F.count_if(metered).alias("__metered"),
     )
+    named = lookup(keyed, collectors, "cost_collector_key", how="inner")
+    kinds = {f.name: f.dataType for f in keyed.schema.fields}
     keys = ["fiscal_year", "calendar_month", "cost_collector_id", "utility_type"]
-    costs = same_columns(
-        summed, lambda rows, pin: rows.groupBy(*GRAIN).agg(F.max("utility_cost").alias("__cost"), pin)
-    ).select(*keys, "__cost", F.lit(True).alias("__found"))
-    joined = lookup(summed.filter(F.col("__metered") > 0), costs, keys)
-    # every row finds at least itself; naming its own cost keeps both sides alike
-    cost = F.when(F.col("__found"), F.col("__cost")).otherwise(F.col("utility_cost"))
-    return joined.withColumn("utility_cost", cost).drop("__metered", "__cost", "__found")
+    summed = named.repartition(*keys).groupBy(*GRAIN).agg(
+        F.max("utility_unit").alias("utility_unit"),
+        # a sum of sums has the type of the sum
+        *[F.sum(c).cast(kinds[c]).alias(c) for c in ("total_btu", "utility_usage", "utility_cost")],
+        F.sum("__metered").alias("__metered"),
+    )
+    return _with_costs(summed, keys)
+
+
+def _with_costs(summed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each metered row once for the cost of each row of its keys; with a NULL among the keys, with its own cost.
+
+    A group is the names of one collector in a month. Rows with a NULL among the keys are groups of their own.
+    """
+    others = [c for c in summed.columns if c not in keys]
+    known = F.lit(True)
+    for key in keys:
+        known = known & F.col(key).isNotNull()
+    apart = [F.when(~known, F.col(c)).alias(f"__own_{c}") for c in GRAIN if c not in keys]
+    alike = summed.groupBy(*keys, *apart).agg(F.collect_list(F.struct(*others)).alias("__rows"))
+    costs = F.transform("__rows", lambda r: r["utility_cost"])
+    placed = alike.withColumn("__costs", costs).withColumn("__row", F.explode(F.filter("__rows", lambda r: r["__metered"] > 0)))
+    matched = placed.select(*keys, "__row", F.explode("__costs").alias("__cost"))
+    cells = {c: F.col(f"__row.{c}") for c in others} | {c: F.col(c) for c in keys} | {"utility_cost": F.col("__cost")}
+    return matched.select(*[cells[c].alias(c) for c in summed.columns if c != "__metered"])
 
 
 def apply_overrides(df: DataFrame, overrides: Sequence[tuple] = OVERRIDES) -> DataFrame:
