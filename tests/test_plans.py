@@ -174,7 +174,12 @@ def test_utility_costs_of_names_and_gaps(spark, tmp_path):
 def test_utility_reads_the_ledger_once(spark, tmp_path):
     buildings = spark.createDataFrame([("A", True, "main", "B", 10.0), ("A", False, "main", "C", 5.0)], "cost_collector_id string, district_electricity boolean, building_group string, agg_bldg string, ext_gross_area double")
     history = utility.utility_history(utility.usage_and_cost(*_ledger(spark, str(tmp_path / "ledger"))), buildings)
-    assert history._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
+    summary = utility.year_summary(history)
+    for df in (history, summary, utility.intensity(summary)):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
+    # gas of three costs for each of two names; the area of both names' buildings
+    got = {(r["utility_type"], r["category"]): (r["total_cost"], r["total_usage"], r["total_gross_area"]) for r in summary.collect()}
+    assert got == {("Gas", "district"): (358.0, 12.0, 20.0), ("Gas", "standalone"): (358.0, 12.0, 10.0), ("#6 Oil", "district"): (58.0, 8.0, 20.0), ("#6 Oil", "standalone"): (58.0, 8.0, 10.0)}
 
 
 RAW_HEAT = "row_num long, datetime_edt timestamp_ntz, temperature_c double, relative_humidity_pct double, dew_point_c double, sensor_id string, source_file string, last_update timestamp"

@@ -145,18 +145,24 @@ def year_summary(history: DataFrame, group: str = "main") -> DataFrame:
     district = F.col("district_electricity")
     kind = F.when(district, F.lit("district")).when(~district, F.lit("standalone")).otherwise(F.col("building_group"))
     main = history.filter(F.col("building_group") == group).withColumn("category", kind)
-    areas = (
-        main.select("fiscal_year", "cost_collector_name", "ext_gross_area", "category")
-        .distinct()
-        .groupBy("fiscal_year", "category")
-        .agg(F.sum("ext_gross_area").alias("total_gross_area"))
+    sums = {"total_cost": "utility_cost", "total_usage": "utility_usage", "total_mmbtu": "utility_mmbtu"}
+    building = ["fiscal_year", "category", "cost_collector_name", "ext_gross_area"]
+    # one reading of the history: a building's utilities, and its area at the first of them
+    parts = main.groupBy(*building, "utility_type").agg(*[F.sum(c).alias(name) for name, c in sums.items()])
+    listed = parts.groupBy(*building).agg(F.collect_list(F.struct("utility_type", *sums)).alias("__parts"))
+    rows = listed.select(*building, F.posexplode("__parts").alias("__at", "__part"))
+    area = F.when(F.col("__at") == 0, F.col("ext_gross_area"))
+    kinds = {f.name: f.dataType for f in parts.schema.fields}
+    totals = rows.groupBy("fiscal_year", "category", F.col("__part.utility_type").alias("utility_type")).agg(
+        *[F.sum(f"__part.{name}").cast(kinds[name]).alias(name) for name in sums], F.sum(area).alias("__area")
     )
-    totals = main.groupBy("fiscal_year", "utility_type", "category").agg(
-        F.sum("utility_cost").alias("total_cost"),
-        F.sum("utility_usage").alias("total_usage"),
-        F.sum("utility_mmbtu").alias("total_mmbtu"),
+    # a handful of utilities for each year and category
+    years = totals.groupBy("fiscal_year", "category").agg(
+        F.collect_list(F.struct("utility_type", *sums)).alias("__totals"), F.sum("__area").alias("__area")
     )
-    return lookup(totals, areas, ["fiscal_year", "category"])
+    total_area = F.when(F.col("fiscal_year").isNotNull(), F.col("__area")).cast(totals.schema["__area"].dataType)
+    shown = years.select("fiscal_year", "category", F.explode("__totals").alias("__total"), total_area.alias("total_gross_area"))
+    return shown.select("fiscal_year", "__total.utility_type", "category", *[f"__total.{name}" for name in sums], "total_gross_area")
 
 
 def intensity(summary: DataFrame) -> DataFrame:
