@@ -203,3 +203,15 @@ def test_markdown_reads_every_reference_and_address(spark):
     df = spark.createDataFrame([(0, f"<p>x{names}</p>"), (1, f"<p>{numbers}y</p>"), (2, links)], "id int, text string")
     got = [r[0] for r in df.orderBy("id").select(markdown("text", "https://h")).collect()]
     assert got[0] == "x" + unescape(names) and got[1] == unescape(numbers) + "y" and got[2].split() == wanted.split()
+
+
+def test_markdown_of_ends_and_odd_line_separators(spark):
+    cells = {"  a \n": "a", "\t\n ": "", " a \u2028": "a\u2028", " a b\x85": "a b\x85", "<p> x </p>\u2029": "x\u2029", None: None}
+    df = spark.createDataFrame([(k,) for k in cells], "t string")
+    got = {r["t"]: r["m"] for r in df.select("t", markdown("t", "https://w.org").alias("m")).collect()}
+    assert got == cells
+
+
+def test_markdown_computes_each_step_once(spark):
+    plan = spark.range(1).select(markdown(F.col("id").cast("string"), "https://w.org").alias("m"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("blockquote)") == 1

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from html import unescape
 from html.entities import html5
+from typing import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -27,12 +28,46 @@ def _tag(names: str, slash: str = "/?") -> str:
     return rf"(?i)<{slash}(?:{names})(?=[\s/>])[^>]*>"
 
 
+def _named(value: Column, shown: Callable[[Column], Column]) -> Column:
+    """``shown`` of a value that is computed once, however often ``shown`` uses it: an element has a name in a lambda."""
+    return F.get(F.transform(F.array(value), shown), F.lit(0))
+
+
+def _where(text: Column, found: Callable[[Column], Column], change: Callable[[Column], Column]) -> Column:
+    """``change`` of the texts in which ``found`` sees what it changes; one look instead of many replacements."""
+    return _named(text, lambda t: F.when(found(t), change(t)).otherwise(t))
+
+
+def _holds(*parts: str) -> Callable[[Column], Column]:
+    def found(text: Column) -> Column:
+        seen = F.lit(False)
+        for part in parts:
+            seen = seen | text.contains(part)
+        return seen
+
+    return found
+
+
+def _replaced(pattern: str, by: str) -> Callable[[Column], Column]:
+    return lambda text: F.regexp_replace(text, pattern, by)
+
+
+def _ends(text: Column) -> Column:
+    """Without the white space at both ends; a line separator that ends a text stays, but not the white space before it."""
+    odd = lambda t: t.endswith("\x85") | t.endswith("\u2028") | t.endswith("\u2029")
+    return _named(text, lambda t: F.when(odd(t), F.regexp_replace(t, r"^\s+|\s+$", "")).otherwise(F.btrim(t, F.lit(" \t\n\x0b\f\r"))))
+
+
 def _drop(text: Column) -> Column:
-    text = F.regexp_replace(text, "[\r\x01\x02]", "")
-    text = F.regexp_replace(text, r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>", "")
-    text = F.regexp_replace(text, r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>", "")
+    text = _where(text, _holds("\r", "\x01", "\x02"), _replaced("[\r\x01\x02]", ""))
+    text = _where(text, _holds("<!"), _replaced(r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>", ""))
     toc = r'(?is)<ac:structured-macro(?=[^>]*\bac:name="toc")'
-    return F.regexp_replace(F.regexp_replace(text, toc + r"[^>]*/>", ""), toc + r"[^>]*>.*?</ac:structured-macro\s*>", "")
+
+    def without(t: Column) -> Column:
+        t = F.regexp_replace(t, r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>", "")
+        return F.regexp_replace(F.regexp_replace(t, toc + r"[^>]*/>", ""), toc + r"[^>]*>.*?</ac:structured-macro\s*>", "")
+
+    return _where(text, lambda t: t.rlike(r"(?i)<(?:script|style|ac:structured-macro)"), without)
 
 
 def _links(text: Column, base: str) -> Column:
@@ -118,7 +153,7 @@ def _references(text: Column) -> Column:
     shown = F.transform(F.regexp_extract_all(text, F.lit(_REFERENCE), 1), character)
     gaps = F.split(text, _REFERENCE, -1)
     joined = F.array_join(F.transform(F.arrays_zip(gaps.alias("g"), shown.alias("s")), lambda z: F.concat(z["g"], F.coalesce(z["s"], F.lit("")))), "")
-    return F.when(text.rlike(_REFERENCE), joined).otherwise(text)
+    return F.when(text.contains("&") & text.rlike(_REFERENCE), joined).otherwise(text)
 
 
 def markdown(column: Column | str, base: str) -> Column:
@@ -128,18 +163,23 @@ def markdown(column: Column | str, base: str) -> Column:
     set apart by an empty line, items of lists by a line each. References are read once, all
     names of HTML and numbers; tags without a meaning go.
     """
-    text = _links(_drop(F.col(column) if isinstance(column, str) else column), base)
-    text = F.regexp_replace(F.regexp_replace(text, r">\s+<", f">{_BLANK}<"), r"^\s+|\s+$", "")
-    for names, mark in INLINE.items():
-        text = F.regexp_replace(text, _tag(names), mark)
-    text = F.regexp_replace(text, _tag("br"), "\n")
-    text = _lists(text)
-    for level in range(1, 7):
-        text = F.regexp_replace(text, _tag(f"h{level}", ""), _GAP + "#" * level + " ")
-    text = F.regexp_replace(text, _tag("blockquote", ""), f"{_GAP}> ")
-    text = F.regexp_replace(F.regexp_replace(text, _tag("pre", ""), f"{_GAP}```\n"), _tag("pre", "/"), f"\n```\n{_GAP}")
+    text = _drop(F.col(column) if isinstance(column, str) else column)
+    text = _where(text, lambda t: t.rlike(r"(?i)<a[\s>]"), lambda t: _links(t, base))
+    text = _ends(F.regexp_replace(text, r">\s+<", f">{_BLANK}<"))
+
+    def marked(t: Column) -> Column:
+        for names, mark in INLINE.items():
+            t = F.regexp_replace(t, _tag(names), mark)
+        t = _named(F.regexp_replace(t, _tag("br"), "\n"), _lists)
+        for level in range(1, 7):
+            t = F.regexp_replace(t, _tag(f"h{level}", ""), _GAP + "#" * level + " ")
+        t = F.regexp_replace(t, _tag("blockquote", ""), f"{_GAP}> ")
+        return F.regexp_replace(F.regexp_replace(t, _tag("pre", ""), f"{_GAP}```\n"), _tag("pre", "/"), f"\n```\n{_GAP}")
+
+    # where none of these tags is, each step leaves the text as it is
+    text = _where(text, lambda t: t.rlike(rf"(?i)</?(?:{'|'.join(INLINE)}|br|li|h[1-6]|blockquote|pre)[\s/>]"), marked)
     text = F.regexp_replace(text, _tag(BLOCK_TAGS), _GAP)
-    text = F.regexp_replace(text, r"(?s)</?[A-Za-z!?][^>]*>", "")
-    text = F.regexp_replace(F.regexp_replace(text, rf"(^|[\n {_GAP}]){_BLANK}+", "$1"), _BLANK + "+", " ")
-    text = F.regexp_replace(F.regexp_replace(text, rf"\n*{_GAP}[\n{_GAP}]*", "\n\n"), r"\n{3,}", "\n\n")
-    return F.regexp_replace(_references(text), r"^\s+|\s+$", "")
+    text = _where(text, _holds("<"), _replaced(r"(?s)</?[A-Za-z!?][^>]*>", ""))
+    text = _where(text, _holds(_BLANK), lambda t: F.regexp_replace(F.regexp_replace(t, rf"(^|[\n {_GAP}]){_BLANK}+", "$1"), _BLANK + "+", " "))
+    text = _where(F.regexp_replace(text, rf"\n*{_GAP}[\n{_GAP}]*", "\n\n"), _holds("\n\n\n"), _replaced(r"\n{3,}", "\n\n"))
+    return _ends(_named(text, _references))
