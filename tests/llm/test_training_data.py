@@ -186,6 +186,62 @@ def test_parity_keys_of_linked_sets_meet():
                 assert np.intersect1d(parity_join.set_keys(a, hot), parity_join.set_keys(b, hot)).size, (size, larger)
 
 
+def test_sketches_tell_large_unlike_sets_apart(spark):
+    r = random.Random(11)
+    texts = [" ".join(str(r.randrange(10**9)) for _ in range(6000)) for _ in range(2)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    drawn = parity_join._set_table(rows, rows.select("id"), whole=False)
+    pairs = spark.createDataFrame([(1, 0, 5996, 5996)], "a long, b long, na long, nb long")
+    assert parity_join._near_pairs(pairs, drawn.select("id", "n", "sketch")).count() == 0
+
+
+def test_linked_sets_have_the_keys_in_common_that_are_said():
+    r = np.random.default_rng(6)
+    for size in (*range(4, 40, 3), 75, 178, 420, 997):
+        for _ in range(4):
+            a = np.unique(r.integers(0, 2**63, size).astype(np.uint64))
+            common = -(-6 * len(a) // 7)
+            b = np.unique(np.concatenate([r.permutation(a)[:common], r.integers(0, 2**63, len(a) - common).astype(np.uint64)]))
+            hot = np.sort(r.permutation(a)[: len(a) // 3])
+            keys = [parity_join.set_keys(s, hot) for s in (a, b)]
+            said = [{c & 15: c >> 4 for c in parity_join.keys_in_common(s, hot)} for s in (a, b)]
+            both = Counter((np.intersect1d(*keys) & np.uint64(15)).tolist())
+            for layout in said[0].keys() & said[1].keys():
+                assert both[layout] >= max(said[0][layout], said[1][layout])
+
+
+def near_copies(n, seed):
+    r = random.Random(seed)
+    base = ["".join(r.choices(SYLLABLES, k=3)) for _ in range(90)]
+    out = []
+    for i in range(n):
+        own = base[:]
+        for _ in range(r.randint(0, 5)):
+            own[r.randrange(len(own))] = "zz" + str(r.randrange(40))
+        out.append((n - i, " ".join(own)))
+    return out
+
+
+def test_parity_join_of_many_near_copies(spark, monkeypatch):
+    monkeypatch.setattr(parity_join, "SMALL_GROUP", 3)
+    monkeypatch.setattr(parity_join, "TILE", 16)
+    large, kept = [], []
+    in_doubt = parity_join._in_doubt
+
+    def seen(rows, drawn):
+        out = in_doubt(rows, drawn)
+        large.append(rows.count())
+        kept.append(out.count())
+        return out
+
+    monkeypatch.setattr(parity_join, "_in_doubt", seen)
+    df = spark.createDataFrame(near_copies(120, 7), "doc_id long, text string").repartition(3)
+    got = parity_join.jaccard_components(df).collect()
+    assert {r.doc_id: r.component_id for r in got} == components_plain(df.collect())
+    # every set keeps all but its last keys of many sets, so far fewer rows meet in the tiles
+    assert 0 < kept[0] < large[0]
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 40) if i % 10 != 9] + [(100, k) for k in range(101, 160)] + [(5, 5), (160, 39)]
     got = {r.node: r.component for r in shared.components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -15,7 +15,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from verdigris.llm import dealing
@@ -68,37 +68,69 @@ def blocks(band: int) -> int:
         n += max(1, n // 50)
 
 
-def set_keys(values: np.ndarray, hot: np.ndarray | None = None) -> np.ndarray:
-    """Join keys of one set of shingle hashes; linked sets have one in common, or are equal.
+#: Low bits of a key that tell its layout: the last bits of its band, of which a set has two that follow each other, and its seed.
+_LAYOUT_BITS = 4
+_LAYOUT_MASK = (1 << _LAYOUT_BITS) - 1
 
-    Leaving the same shingles out of both sets changes no more blocks, so the first layout is without ``hot`` ones
-    (sorted hashes): passages of many documents would make alike blocks in all of them.
-    A set with too few non-empty blocks to be sure of an equal one tries other layouts, of all its shingles.
-    """
+
+def _layouts(values: np.ndarray, hot: np.ndarray | None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(band, seed, shingles, block of each, non-empty blocks) of the layouts that a set tries; without blocks where single shingles are the keys."""
     cold = values
     if hot is not None and len(hot) and len(values):
         cold = values[hot[np.minimum(np.searchsorted(hot, values), len(hot) - 1)] != values]
-    out = []
+    none = np.empty(0, dtype=np.int64)
     for band in bands_of(len(values)) if len(values) else ():
         n = blocks(band)
         allowed = difference(len(values), band_range(band)[1])
         for seed in range(SEEDS):
             used = values if seed else cold
-            factors = constants(3, 100 + band * 8 + seed)
-            place = ((mix(used ^ factors[0]) >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
+            place = ((mix(used ^ constants(3, 100 + band * 8 + seed)[0]) >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
             place = place.astype(np.int64)
-            parity = np.zeros(n, dtype=np.uint64)
-            np.bitwise_xor.at(parity, place, mix(used + factors[1]))
             full = np.flatnonzero(np.bincount(place, minlength=n))
-            out.append(mix(parity[full] + (full.astype(np.uint64) + np.uint64(1)) * factors[2]))
+            yield band, seed, used, place, full
             if len(full) > allowed:
                 break
         else:
             # two sets that both come here are linked only if they share a shingle
-            out.append(mix(values + constants(1, 100 + band * 8 + SEEDS)[0]))
+            yield band, SEEDS, values, none, none
+
+
+def _layout(band: int, seed: int) -> int:
+    return (band & 3) * 4 + seed
+
+
+def set_keys(values: np.ndarray, hot: np.ndarray | None = None) -> np.ndarray:
+    """Join keys of one set of shingle hashes; linked sets have one in common, or are equal.
+
+    Leaving the same shingles out of both sets changes no more blocks, so the first layout is without ``hot`` ones
+    (sorted hashes): passages of many documents would make alike blocks in all of them.
+    A set with too few non-empty blocks to be sure of an equal one tries other layouts, of all its shingles.
+    """
+    out = []
+    for band, seed, used, place, full in _layouts(values, hot):
+        factors = constants(3, 100 + band * 8 + seed)
+        if seed == SEEDS:
+            keys = mix(used + factors[0])
+        else:
+            parity = np.zeros(blocks(band), dtype=np.uint64)
+            np.bitwise_xor.at(parity, place, mix(used + factors[1]))
+            keys = mix(parity[full] + (full.astype(np.uint64) + np.uint64(1)) * factors[2])
+        out.append(keys & ~np.uint64(_LAYOUT_MASK) | np.uint64(_layout(band, seed)))
     return np.concatenate(out) if out else np.empty(0, dtype=np.uint64)
 
 
+def keys_in_common(values: np.ndarray, hot: np.ndarray | None = None) -> list[int]:
+    """For each layout of a set, how many of its keys a linked set has at least, if that set tries this layout too and not fewer; above _LAYOUT_BITS bits that tell the layout.
+
+    0 where nothing is sure of the layout.
+    """
+    out = []
+    for band, seed, _, _, full in _layouts(values, hot):
+        sure = max(0, len(full) - difference(len(values), band_range(band)[1]))
+        out.append(sure << _LAYOUT_BITS | _layout(band, seed))
+    return out
+
+
 def sketch(values: np.ndarray, words: int) -> np.ndarray:
     """Parity of the shingles that fall on each of ``64 * words`` bits."""
     bits = np.bincount((mix(values) % np.uint64(64 * words)).astype(np.int64), minlength=64 * words) & 1
@@ -107,42 +139,63 @@ def sketch(values: np.ndarray, words: int) -> np.ndarray:
 
 #: Words of 64 bits of the largest sketch and of the least.
 SKETCH_WORDS, LEAST_WORDS = 32, 2
+#: The same where pairs are told apart: as many bits as shingles at least, as a fuller sketch lets unlike sets through.
+PAIR_WORDS = 4096
+PAIR_BITS = 2
 
 
-def sketch_words(size: int) -> int:
-    """Words of a set's sketch: a power of two, with a bit for each shingle as far as there are so many words."""
+def sketch_words(size: int, most: int = SKETCH_WORDS, bits: int = 1) -> int:
+    """Words of a set's sketch: a power of two, with so many bits for each shingle as far as there are so many words."""
     words = LEAST_WORDS
-    while words < SKETCH_WORDS and 64 * words < size:
+    while words < most and 64 * words < bits * size:
         words *= 2
     return words
 
 
+class _Rows:
+    """Sketches of one size, of those rows alone that have one, by the number of the row."""
+
+    def __init__(self, rows: np.ndarray, values: np.ndarray, total: int) -> None:
+        self.rows, self.values = rows, values
+        self.place = np.full(total, -1, dtype=np.int64)
+        self.place[rows] = np.arange(len(rows))
+
+    def __getitem__(self, i: int | np.ndarray) -> np.ndarray:
+        return self.values[self.place[i]]
+
+
 class Sketches:
     """Sketches of several sizes. One of twice the words is folded to the size of another by the XOR of its halves."""
 
     def __init__(self, column: list[bytes]) -> None:
         self.words = np.array([len(c) // 8 for c in column], dtype=np.int64)
-        self.at: dict[int, np.ndarray] = {}
-        words = SKETCH_WORDS
+        self.at: dict[int, _Rows] = {}
+        words = int(self.words.max(initial=LEAST_WORDS))
         while words >= LEAST_WORDS:
-            own = np.zeros((len(column), words), dtype=np.uint64)
+            own = np.flatnonzero(self.words == words)
+            values = np.frombuffer(b"".join(column[i] for i in own), dtype="<u8").reshape(len(own), words)
             if 2 * words in self.at:
                 larger = self.at[2 * words]
-                own[:] = larger[:, :words] ^ larger[:, words:]
-            rows = np.flatnonzero(self.words == words)
-            if len(rows):
-                own[rows] = np.frombuffer(b"".join(column[i] for i in rows), dtype="<u8").reshape(len(rows), words)
-            self.at[words] = own
+                own = np.concatenate([own, larger.rows])
+                values = np.concatenate([values, larger.values[:, :words] ^ larger.values[:, words:]])
+            self.at[words] = _Rows(own, values, len(column))
             words //= 2
 
 
+#: Words of sketches compared in one step.
+_STEP_WORDS = 1 << 20
+
+
 def apart(one: Sketches, i: np.ndarray, other: Sketches, j: np.ndarray) -> np.ndarray:
     """Bits in which sketches differ, at the lesser size of each two: at most their sets' symmetric difference."""
     words = np.minimum(one.words[i], other.words[j])
     out = np.zeros(len(i), dtype=np.int64)
     for size in np.unique(words).tolist():
         on = np.flatnonzero(words == size)
-        out[on] = np.bitwise_count(one.at[size][i[on]] ^ other.at[size][j[on]]).sum(axis=1, dtype=np.int64)
+        step = max(1, _STEP_WORDS // size)
+        for start in range(0, len(on), step):
+            part = on[start : start + step]
+            out[part] = np.bitwise_count(one.at[size][i[part]] ^ other.at[size][j[part]]).sum(axis=1, dtype=np.int64)
     return out
 
 
@@ -287,8 +340,9 @@ def _shared(packed: DataFrame) -> DataFrame:
 _SHINGLE_BYTES = 6
 
 
-def _set_table(texts: DataFrame, ids: DataFrame, whole: bool) -> DataFrame:
-    """(id, n, sketch), or (id, shingles), of the rows (id, text) with an id of ``ids``, and of a few others.
+def _set_table(texts: DataFrame, ids: DataFrame, whole: bool, hot=None) -> DataFrame:
+    """(id, n, sketch, common), or (id, shingles), of the rows (id, text) with an id of ``ids``, and of a few others.
+    ``common``: see ``keys_in_common``.
 
     One Python step: two in a row would hold two Python processes for each task.
     """
@@ -302,10 +356,11 @@ def _set_table(texts: DataFrame, ids: DataFrame, whole: bool) -> DataFrame:
                 low = [np.sort(s & np.uint64((1 << 48) - 1)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_SHINGLE_BYTES].tobytes() for s in sets]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(low, pa.binary())], names=["id", "shingles"])
             else:
-                columns = [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([sketch(s, sketch_words(len(s))).tobytes() for s in sets], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "sketch"])
+                drawn = pa.array([sketch(s, sketch_words(len(s), PAIR_WORDS, PAIR_BITS)).tobytes() for s in sets], pa.binary())
+                common = pa.array([keys_in_common(s, hot.value if hot else None) for s in sets], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), drawn, common], names=["id", "n", "sketch", "common"])
 
-    return with_hash(texts, "id").mapInArrow(run, "id long, shingles binary" if whole else "id long, n long, sketch binary")
+    return with_hash(texts, "id").mapInArrow(run, "id long, shingles binary" if whole else "id long, n long, sketch binary, common array<long>")
 
 
 def _shingles(data: pa.Buffer) -> np.ndarray:
@@ -315,10 +370,14 @@ def _shingles(data: pa.Buffer) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
+def _near_size(n1: np.ndarray, n2: np.ndarray) -> np.ndarray:
+    """Whether sizes allow a link."""
+    return 100 * np.minimum(n1, n2) >= PERCENT * np.maximum(n1, n2)
+
+
 def _near(n1: np.ndarray, n2: np.ndarray, bits: np.ndarray) -> np.ndarray:
     """Whether sizes, and the bits in which sketches differ, allow a link."""
-    total = n1 + n2
-    return ((100 + PERCENT) * bits <= (100 - PERCENT) * total) & (100 * np.minimum(n1, n2) >= PERCENT * np.maximum(n1, n2))
+    return ((100 + PERCENT) * bits <= (100 - PERCENT) * (n1 + n2)) & _near_size(n1, n2)
 
 
 def _near_pairs(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -361,6 +420,27 @@ def _verified(pairs: DataFrame, source: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long")
 
 
+def _in_doubt(large: DataFrame, drawn: DataFrame) -> DataFrame:
+    """The rows (key, id) of keys of many sets that are needed for every link that shows in no key of few.
+
+    A linked set has so many of a set's keys as ``common`` says. So all but its last keys, one fewer than these, are enough if all
+    sets have theirs in one order: of two linked sets the first key in common is among both. Keys of few come first, where the
+    pair is compared already; then smaller keys before larger ones. Of the texts of one id the least number counts.
+    """
+    layout = F.col("key").bitwiseAND(_LAYOUT_MASK)
+    said = drawn.select("id", F.explode("common").alias("c"))
+    least = said.groupBy("id", F.col("c").bitwiseAND(_LAYOUT_MASK).alias("layout")).agg(F.min(F.shiftright("c", _LAYOUT_BITS)).alias("least"))
+    sizes = large.groupBy("key").agg(F.count("*").alias("size"))
+    own = Window.partitionBy("id", "layout")
+    placed = (
+        large.join(sizes, "key")
+        .select("id", layout.alias("layout"), "key", F.struct("size", "key").alias("order"))
+        .withColumns({"place": F.row_number().over(own.orderBy("order")), "keys": F.count("*").over(own)})
+    )
+    spare = F.greatest(F.coalesce("least", F.lit(0)) - 1, F.lit(0))
+    return placed.join(least, ["id", "layout"], "left").where(F.col("place") <= F.col("keys") - spare).select("key", "id")
+
+
 #: Side of the square of pairs compared at once, and rows of one key in one task.
 TILE = 512
 
@@ -394,7 +474,7 @@ def _rest_pairs(members: DataFrame) -> DataFrame:
                 two = part if g[part[0]] == h[part[0]] else part[own[part] == h[part[0]]]
                 for start in range(0, len(one), 64):
                     rows = one[start : start + 64]
-                    i, j = np.nonzero(comp[rows][:, None] != comp[two][None, :])
+                    i, j = np.nonzero((comp[rows][:, None] != comp[two][None, :]) & _near_size(n[rows][:, None], n[two][None, :]))
                     i, j = rows[i], two[j]
                     ok = _near(n[i], n[j], apart(sketches, i, sketches, j))
                     x, y = ids[i[ok]], ids[j[ok]]
@@ -444,7 +524,10 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
     source = docs.select(docs[id_column].cast("long").alias("id"), docs[text_column].alias("text")).where("id IS NOT NULL AND text IS NOT NULL")
     hot = docs.sparkSession.sparkContext.broadcast(hot_shingles(measured, base.count()))
     shared = stored(_shared(_block_keys(source, n, hot)), "shared-keys")
-    members = shared.where("b IS NULL").select("key", F.col("a").alias("id"))
+    involved = shared.select(F.col("a").alias("id")).union(shared.where("b IS NOT NULL").select("b")).distinct()
+    drawn = stored(_set_table(source, involved, whole=False, hot=hot), "sketches")
+    sketches = drawn.select("id", "n", "sketch").dropDuplicates(["id"])
+    members = stored(_in_doubt(shared.where("b IS NULL").select("key", F.col("a").alias("id")), drawn), "members")
     least = members.groupBy("key").agg(F.min("id").alias("b"))
     stars = members.join(least, "key").where("id <> b").select(F.col("id").alias("a"), "b")
     pairs = shared.where("b IS NOT NULL").select("a", "b").union(stars).distinct()
@@ -452,8 +535,6 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
     na, nb = (sizes.select(F.col("id").alias(c), F.col("n").alias(f"n{c}")) for c in "ab")
     near_size = 100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")
     sized = stored(pairs.join(na, "a").join(nb, "b").where(near_size), "pairs")
-    involved = sized.select(F.col("a").alias("id")).union(sized.select("b")).union(members.select("id")).distinct()
-    sketches = stored(_set_table(source, involved, whole=False), "sketches").dropDuplicates(["id"])
     links = stored(_verified(stored(_near_pairs(sized, sketches), "near-pairs"), source), "links")
     # rows with equal sets or equal ids are linked from the start
     equal = whole.join(nodes, ["n_shingles", "h1", "h2"]).where("id <> node").select(F.col("id").alias("a"), F.col("node").alias("b"))
